@@ -23,8 +23,7 @@ def surrogate_id(keys: Sequence[str]) -> Column:
     A random id would change when a lost executor's task runs again.
     """
     digest = F.md5(F.to_json(F.struct(*keys)))
-    parts = [F.substring(digest, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat_ws("-", *parts)
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
 def last_per_key(

@@ -1,0 +1,210 @@
+import datetime as dt
+import json
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.functions.values import member_text, strip
+from rosterlake.operators import tables
+from rosterlake.operators.envelope import to_envelope
+from rosterlake.operators.upsert import KEYS, last_per_key, merge, read_raw, upsert
+from rosterlake.operators.validate import InvalidBatch, admit, batch_summary, validate
+from rosterlake.schemas import APPLICATION_FIELDS, EMPLOYEE_FIELDS
+from rosterlake.sources.mapping import map_applications, map_workers
+from tests.conftest import RUN_TS
+from tests.people import application, record_frame, worker
+
+
+def checked(spark, *records):
+    return validate(map_workers(record_frame(spark, records), ["k"]), EMPLOYEE_FIELDS, ["k"])
+
+
+def errors(spark, **changes):
+    return checked(spark, worker(1, **changes)).first().errors
+
+
+def test_valid_worker_is_typed(spark):
+    row = checked(spark, worker(1, Legal_First_Name=" \tAda  ", Base_Pay="95000.10")).first()
+    assert row.errors == []
+    assert row.first_name == "Ada"
+    assert row.hire_date == dt.date(2023, 1, 10)
+    assert row.salary == Decimal("95000.100000")
+    assert row.termination_date is None
+
+
+@pytest.mark.parametrize(
+    "changes, expected",
+    [
+        ({"Work_Email": ...}, ["email:missing"]),
+        ({"Work_Email": None}, ["email:null"]),
+        ({"Work_Email": 5}, ["email:type"]),
+        ({"Work_Email": ["a"]}, ["email:type"]),
+        ({"Work_Email": ""}, []),
+        ({"Manager_ID": None}, []),
+        ({"Manager_ID": ...}, []),
+        ({"Manager_ID": True}, ["manager_id:type"]),
+        ({"Hire_Date": ""}, ["hire_date:value"]),
+        ({"Hire_Date": "2024-02-30"}, ["hire_date:value"]),
+        ({"Hire_Date": "2024-2-3"}, ["hire_date:value"]),
+        ({"Hire_Date": " 2024-02-03"}, ["hire_date:value"]),
+        ({"Hire_Date": "2024-02-03T00:00:00"}, []),
+        ({"Hire_Date": "2024-02-03T10:00:00"}, ["hire_date:value"]),
+        ({"Termination_Date": "soon"}, ["termination_date:value"]),
+        ({"Base_Pay": "100k"}, ["salary:value"]),
+        ({"Base_Pay": ""}, ["salary:value"]),
+        ({"Base_Pay": True}, ["salary:value"]),
+        ({"Base_Pay": 7}, []),
+        ({"Base_Pay": 1e5}, []),
+        ({"Base_Pay": None}, []),
+        ({"Worker_ID": "x" * 256}, ["source_id:length"]),
+        ({"Worker_ID": None, "Cost_Center": ...}, ["source_id:null", "department:missing"]),
+    ],
+)
+def test_validation_rules(spark, changes, expected):
+    assert errors(spark, **changes) == expected
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("2024-01-01T12:00:00", dt.datetime(2024, 1, 1, 12)),
+        ("2024-01-01 12:00:00.250", dt.datetime(2024, 1, 1, 12, 0, 0, 250000)),
+        ("2024-01-01T12:00:00+05:00", dt.datetime(2024, 1, 1, 12)),
+        ("2024-01-01T12:00:00Z", dt.datetime(2024, 1, 1, 12)),
+        ("2024-01-01T12:00", dt.datetime(2024, 1, 1, 12)),
+        ("2024-01-01", dt.datetime(2024, 1, 1)),
+        ("2024-13-01T12:00:00", None),
+        ("yesterday", None),
+    ],
+)
+def test_timestamps(spark, text, value):
+    mapped = map_applications(record_frame(spark, [application(1, applied_at=text)]), ["k"])
+    row = validate(mapped, APPLICATION_FIELDS, ["k"]).first()
+    assert row.applied_at == value
+    assert row.errors == ([] if value else ["applied_at:value"])
+
+
+def test_explicit_null_activity_is_invalid(spark):
+    mapped = map_applications(record_frame(spark, [application(1, last_activity_at=None)]), ["k"])
+    assert validate(mapped, APPLICATION_FIELDS, ["k"]).first().errors == ["stage_changed_at:null"]
+
+
+def test_strict_batch_is_all_or_nothing(spark):
+    frame = checked(spark, worker(1), worker(2, Hire_Date=""), worker(3))
+    assert tuple(batch_summary(frame).first()) == (3, 1)
+    with pytest.raises(InvalidBatch, match="1 of 3"):
+        admit(frame, "workday")
+    valid, records, invalid = admit(frame, "workday", strict=False)
+    assert (valid.count(), records, invalid) == (2, 3, 1)
+
+
+def test_strip_knows_unicode_space(spark):
+    frame = spark.createDataFrame([(" 　 a b\t\n",)], "t string")
+    assert frame.select(strip(F.col("t")).alias("t")).first().t == "a b"
+
+
+def test_payload_names_every_field(spark):
+    frame = checked(spark, worker(1, Performance_Rating=None))
+    row = to_envelope(frame, EMPLOYEE_FIELDS, "workday", "b", RUN_TS, as_text=True).first()
+    payload = json.loads(row.payload)
+    assert list(payload) == [f.name for f in EMPLOYEE_FIELDS]
+    assert payload["salary"] == "120000.5" and payload["hire_date"] == "2023-01-10"
+    assert payload["performance_rating"] is None
+    assert (row.source, row.source_id, row.batch_id) == ("workday", "w-1", "b")
+
+
+def test_timestamp_payload_is_iso(spark):
+    records = [application(1), application(2, applied_at="2024-01-01T12:00:00.25")]
+    mapped = map_applications(record_frame(spark, records), ["k"])
+    rows = to_envelope(
+        validate(mapped, APPLICATION_FIELDS, ["k"]), APPLICATION_FIELDS, "greenhouse", "b", RUN_TS, ["k"], True
+    ).orderBy("k")
+    stamps = [json.loads(r.payload)["applied_at"] for r in rows.collect()]
+    assert stamps == ["2024-01-01T12:00:00", "2024-01-01T12:00:00.250000"]
+
+
+def batch(spark, workers, batch_id):
+    return to_envelope(checked(spark, *workers), EMPLOYEE_FIELDS, "workday", batch_id, RUN_TS, ["k"])
+
+
+def test_upsert_twice_keeps_rows_and_ids(spark, folder):
+    workers = [worker(i) for i in range(10)]
+    upsert(spark, folder, batch(spark, workers, "b1"), "workday", ["k"])
+    first = {r.source_id: r.id for r in read_raw(spark, folder, ["workday"]).collect()}
+    upsert(spark, folder, batch(spark, workers, "b2"), "workday", ["k"])
+    again = read_raw(spark, folder, ["workday"])
+    assert again.count() == 10
+    assert {r.source_id: r.id for r in again.collect()} == first
+    assert {r.batch_id for r in again.collect()} == {"b2"}
+    assert len(set(first.values())) == 10
+
+
+def test_upsert_replaces_hits_and_leaves_the_rest(spark, folder):
+    upsert(spark, folder, batch(spark, [worker(i) for i in range(4)], "b1"), "workday", ["k"])
+    changed = [worker(i, Job_Title="Lead") for i in range(2, 6)]
+    upsert(spark, folder, batch(spark, changed, "b2"), "workday", ["k"])
+    title = member_text(F.col("payload"), "job_title").alias("title")
+    rows = read_raw(spark, folder, ["workday"]).select("source_id", "batch_id", title).collect()
+    assert {(r.source_id, r.batch_id, r.title) for r in rows} == {
+        ("w-0", "b1", "Engineer"), ("w-1", "b1", "Engineer"), ("w-2", "b2", "Lead"),
+        ("w-3", "b2", "Lead"), ("w-4", "b2", "Lead"), ("w-5", "b2", "Lead"),
+    }
+
+
+def test_upsert_of_one_source_leaves_others(spark, folder):
+    upsert(spark, folder, batch(spark, [worker(1)], "b1"), "workday", ["k"])
+    upsert(spark, folder, batch(spark, [worker(1), worker(2)], "b2"), "airtable", ["k"])
+    assert read_raw(spark, folder, ["workday"]).count() == 1
+    assert read_raw(spark, folder, ["workday", "airtable"]).count() == 3
+    assert read_raw(spark, folder, ["greenhouse"]).count() == 0
+
+
+def test_last_record_of_a_key_wins(spark, folder):
+    workers = [worker(1, Job_Title="old"), worker(2), worker(1, Job_Title="new")]
+    upsert(spark, folder, batch(spark, workers, "b1"), "workday", ["k"])
+    rows = read_raw(spark, folder, ["workday"]).select(
+        "source_id", member_text(F.col("payload"), "job_title").alias("t")
+    )
+    assert {tuple(r) for r in rows.collect()} == {("w-1", "new"), ("w-2", "Engineer")}
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    rows = spark.range(5000).selectExpr("'s' source", "if(id % 3 = 0, 'hot', 'k' || id) source_id", "id k")
+    plan = last_per_key(rows, ["k"])._jdf.queryExecution().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_merge_shuffles_each_side_once(spark):
+    shape = "id string, source string, source_id string, payload string, ingested_at timestamp, batch_id string"
+    empty = spark.createDataFrame([], shape)
+    plan = merge(empty, empty.drop("id"), KEYS)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_failed_version_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.replace(spark.range(3).toDF("n"), root)
+    (tmp_path / "t" / "v=2").mkdir()
+    assert tables.read(spark, root).count() == 3
+    tables.replace(spark.range(5).toDF("n"), root)
+    assert tables.current(spark, root).endswith("v=3")
+
+
+def test_table_can_be_rebuilt_from_itself(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.replace(spark.range(3).toDF("n"), root)
+    for _ in range(3):
+        grown = tables.read(spark, root).selectExpr("n + 1 as n")
+        assert tables.materialize(grown, root).count() == 3
+    assert tables.versions(spark, root) == [3, 4]
+    assert sorted(r.n for r in tables.read(spark, root).collect()) == [3, 4, 5]
+
+
+def test_published_table_follows_new_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (3, 5):
+        tables.replace(spark.range(n).toDF("n"), root)
+        tables.publish(spark, "analytics", "numbers", root)
+        assert spark.sql("select count(*) c from analytics.numbers").first().c == n
+    spark.sql("drop table analytics.numbers")

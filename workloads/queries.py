@@ -61,6 +61,13 @@ def checked_workers(spark, sf, recipe="native_workers"):
     return validate(mapped, EMPLOYEE_FIELDS, ["k"])
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """Validated records as the daily run has them: written once, then read."""
+    path = f"{work_folder(df.sparkSession, 'landing')}/records"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checked_applications(spark, sf):
     mapped = mapping.map_applications(records(spark, sf, "native_applications"), ["k"])
     return validate(mapped, APPLICATION_FIELDS, ["k"])
@@ -155,8 +162,10 @@ def materialize_roundtrip(spark, sf):
 @query
 def drift_log(spark, sf):
     path = f"{work_folder(spark, 'drift')}/log"
-    drift.append_log(raw_drift(spark, sf), "workday", RUN_TS, path)
-    drift.append_log(raw_drift(spark, sf), "workday", RUN_TS + dt.timedelta(days=1), path)
+    found = raw_drift(spark, sf).persist()
+    drift.append_log(found, "workday", RUN_TS, path)
+    drift.append_log(found, "workday", RUN_TS + dt.timedelta(days=1), path)
+    found.unpersist()
     logged = spark.read.parquet(path).drop("id")
     return logged.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
 
@@ -426,7 +435,7 @@ def upsert_raw(spark, sf):
 def upsert_idempotent(spark, sf):
     """The same batch lands twice in a real table, with unchanged ids."""
     raw = work_folder(spark, "raw")
-    checked = checked_workers(spark, sf)
+    checked = landed(checked_workers(spark, sf))
     batch = to_envelope(checked, EMPLOYEE_FIELDS, "workday", BATCH_ID, RUN_TS, ["k"])
     upsert.upsert(spark, raw, batch, "workday", ["k"])
     first = upsert.read_raw(spark, raw, ["workday"]).select("source", "source_id", F.col("id").alias("first_id"))
@@ -464,7 +473,7 @@ def infer_schema(spark, sf):
 
 @query
 def drift_events(spark, sf):
-    canonical = canonical_records(checked_workers(spark, sf), ["k"])
+    canonical = canonical_records(landed(checked_workers(spark, sf)), ["k"])
     observed = drift.infer_schema(canonical, ["k"])
     # Two further baseline fields show a removal and a change of type.
     baseline = EMPLOYEE_BASELINE | {"salary": "float", "badge": "str"}

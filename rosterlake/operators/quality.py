@@ -46,59 +46,79 @@ def expression(table: str, column: str, failing: str, show: Sequence[str]) -> Ch
     return Check("expression", table, column, failing=failing, show=tuple(show))
 
 
-def _row_predicate(check: Check) -> Column:
-    """Predicate of a failing row for checks that look at single rows."""
+def _failing(check: Check) -> Column:
+    """Predicate of a failing row; a NULL passes a list of accepted values."""
+    column = F.col(check.column)
     if check.kind == "not_null":
-        return F.col(check.column).isNull()
+        return column.isNull()
+    if check.kind == "accepted_values":
+        return ~column.isin(*check.values)
     return F.expr(check.failing)
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     """Offending rows; for value checks one row per offending value with its count."""
-    column = F.col(check.column)
     if check.kind == "unique":
-        counts = df.where(column.isNotNull()).groupBy(check.column).agg(F.count("*").alias("n_records"))
+        known = df.where(F.col(check.column).isNotNull())
+        counts = known.groupBy(check.column).agg(F.count("*").alias("n_records"))
         return counts.where("n_records > 1")
+    rows = df.where(_failing(check))
     if check.kind == "accepted_values":
-        # NULL is neither accepted nor rejected, so it passes.
-        return (
-            df.where(~column.isin(*check.values))
-            .groupBy(check.column)
-            .agg(F.count("*").alias("n_records"))
-        )
-    rows = df.where(_row_predicate(check))
+        return rows.groupBy(check.column).agg(F.count("*").alias("n_records"))
     return rows.select(*check.show) if check.show else rows
 
 
+def _hits(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``(number, failures)`` of the checks that look at single rows, in one pass.
+
+    Only failing rows give output, so a clean table shuffles nothing. Accepted
+    values count once per value, the other checks once per row.
+    """
+    verdicts = [
+        F.when(
+            _failing(c),
+            F.struct(
+                F.lit(i).alias("number"),
+                (F.col(c.column) if c.kind == "accepted_values" else F.lit(None))
+                .cast("string")
+                .alias("value"),
+            ),
+        )
+        for i, c in enumerate(checks)
+        if c.kind != "unique"
+    ]
+    by_value = [i for i, c in enumerate(checks) if c.kind == "accepted_values"]
+    return (
+        df.select(F.explode(F.array_compact(F.array(*verdicts))).alias("hit"))
+        .groupBy("hit.number", "hit.value")
+        .agg(F.count("*").alias("n"))
+        .groupBy("number")
+        .agg(F.sum(F.when(F.col("number").isin(*by_value), 1).otherwise(F.col("n"))).alias("failures"))
+    )
+
+
 def summarize(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(check_name, table_name, column_name, failures)`` of one table.
 
-    All row-level checks share one aggregation pass; value checks read only
-    their own column.
+    One pass for all row and value checks; each uniqueness check adds a count
+    per key over its own column.
     """
-    by_row = [c for c in checks if c.kind in ("not_null", "expression")]
-    by_value = [c for c in checks if c not in by_row]
-    parts = []
-    if by_row:
-        counted = df.agg(
-            *[F.count_if(_row_predicate(c)).alias(f"c{i}") for i, c in enumerate(by_row)]
-        )
-        results = F.array(
-            *[_summary_row(c, F.col(f"c{i}")) for i, c in enumerate(by_row)]
-        )
-        parts.append(counted.select(F.explode(results).alias("r")).select("r.*"))
-    for check in by_value:
-        counted = failing_rows(df, check).agg(F.count("*").alias("n"))
-        parts.append(counted.select(_summary_row(check, F.col("n")).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _summary_row(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        failures.alias("failures"),
+    parts = [_hits(df, checks)] if any(c.kind != "unique" for c in checks) else []
+    for i, check in enumerate(checks):
+        if check.kind == "unique":
+            repeated = failing_rows(df, check).agg(F.count("*").alias("failures"))
+            parts.append(repeated.select(F.lit(i).alias("number"), "failures"))
+    found = reduce(DataFrame.unionByName, parts)
+    rows = [(i, c.name, c.table, c.column) for i, c in enumerate(checks)]
+    names = df.sparkSession.createDataFrame(
+        rows, "number int, check_name string, table_name string, column_name string"
+    )
+    # At most one row per declared check on either side.
+    return names.join(F.broadcast(found), "number", "left").select(
+        "check_name",
+        "table_name",
+        "column_name",
+        F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"),
     )
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -206,9 +207,14 @@ def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None)
     configure(spark)
     batch_id = batch_id or str(uuid.uuid4())
     result = RunResult()
-    for source in SOURCES.values():
+
+    def load(source: Source) -> SourceStats:
         step = extract_optional if source.optional else extract
-        result.stats.append(step(spark, cfg, source, batch_id))
+        return step(spark, cfg, source, batch_id)
+
+    # Sources do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(len(SOURCES)) as pool:
+        result.stats = list(pool.map(load, SOURCES.values()))
     events = worker_drift(spark, cfg, batch_id).persist()
     try:
         if drift_ops.append_log(events, WORKDAY.name, cfg.run_ts, cfg.drift_log):

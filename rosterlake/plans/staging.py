@@ -29,16 +29,14 @@ def _payload_texts(raw: DataFrame, fields: Sequence[Field], *kept: Column) -> Da
     """Payload members as text next to ``kept`` columns, JSON null as NULL.
 
     A VARIANT payload is read member by member, which the parquet scan narrows
-    to the members a query uses. A JSON text is parsed once, all members as
-    strings, so the casts that follow still fail on malformed values.
+    to the members a query uses. A JSON text goes through ``json_tuple``: a
+    generator parses it once, where a filter on a plain expression would be
+    pushed below and parse it again.
     """
-    payload = F.col("payload")
+    payload, names = F.col("payload"), [f.name for f in fields]
     if isinstance(raw.schema["payload"].dataType, T.VariantType):
-        return raw.select(*kept, *[member_text(payload, f.name).alias(f.name) for f in fields])
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    return raw.select(*kept, F.from_json(payload, schema).alias("_p")).select(
-        *[c for c in raw.select(*kept).columns], "_p.*"
-    )
+        return raw.select(*kept, *[member_text(payload, n).alias(n) for n in names])
+    return raw.select(*kept, F.json_tuple(payload, *names).alias(*names))
 
 
 def _blank_to_null(name: str) -> Column:

@@ -95,8 +95,6 @@ def test_dimension_columns_are_not_sensitive(spark):
         "termination_date", "is_active", "employment_type", "manager_id", "location", "created_at",
         "updated_at",
     ]
-    plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert "salary" not in plan.split("from_json")[0]
     with pytest.raises(ValueError, match="salary"):
         marts.without_sensitive(staged(spark, employee(1)))
 

@@ -521,12 +521,19 @@ def dq_no_null_id(spark, sf):
 
 @query
 def dq_summary(spark, sf):
+    root = work_folder(spark, "checked")
+
+    def built(name, frame):
+        return tables.materialize(frame, f"{root}/{name}")
+
+    employees = built("dim_employees", dim(spark, sf))
+    counted = built("fct_headcount_daily", marts.fct_headcount_daily(employees, AS_OF))
     frames = {
         "stg_employees": staged(spark, sf),
         "stg_job_applications": applications(spark, sf),
-        "dim_employees": dim(spark, sf),
-        "fct_headcount_daily": daily(spark, sf),
-        "fct_attrition_monthly": attrition(spark, sf),
+        "dim_employees": employees,
+        "fct_headcount_daily": counted,
+        "fct_attrition_monthly": marts.fct_attrition_monthly(employees, counted, AS_OF),
         "rpt_recruiting_funnel": funnel(spark, sf),
     }
     parts = [quality.summarize(frame, CHECKS[name]) for name, frame in frames.items()]

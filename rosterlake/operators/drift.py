@@ -99,7 +99,7 @@ def append_log(events: DataFrame, source: str, detected_at: dt.datetime, path: s
     """Append events to the log; no events, no write."""
     if events.isEmpty():
         return False
-    log_rows(events, source, detected_at).coalesce(1).write.mode("append").parquet(path)
+    log_rows(events, source, detected_at).write.mode("append").parquet(path)
     return True
 
 

@@ -7,9 +7,13 @@ version in place, and a table can be rebuilt from its own content.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rosterlake.schemas import NUMERIC
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,14 +81,20 @@ def materialize(df: DataFrame, root: str) -> DataFrame:
     return read(df.sparkSession, root)
 
 
-def publish(spark: SparkSession, layer: str, name: str, root: str) -> None:
-    """Point the catalog table ``layer.name`` at the current version of ``root``."""
-    path, table = current(spark, root), f"{layer}.{name}"
+def publish(
+    spark: SparkSession, layer: str, name: str, root: str, numerics: Iterable[str] = ()
+) -> None:
+    """Serve the current version of ``root`` as the catalog view ``layer.name``.
+
+    Replacing a view is one step, so readers see the old or the new version.
+    Unbounded numerics are served as decimals with six places.
+    """
+    path, numerics = current(spark, root), set(numerics)
+    columns = [
+        f"CAST(`{c}` AS {NUMERIC.simpleString()}) AS `{c}`" if c in numerics else f"`{c}`"
+        for c in spark.read.parquet(path).columns
+    ]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    if spark.catalog.tableExists(table):
-        if spark.table(table).schema == spark.read.parquet(path).schema:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
-            return
-        spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {', '.join(columns)} FROM parquet.`{path}`"
+    )

@@ -29,6 +29,7 @@ from rosterlake.schemas import (
     ENTITY_FIELDS,
     PII_FIELDS,
     RETENTION_DAYS,
+    SERVED_NUMERICS,
     WORKER_FIELD_MAP,
 )
 from rosterlake.session import configure
@@ -52,7 +53,7 @@ class RunConfig:
     drift_raw: bool = False  # look at records before mapping, so new fields show
     drift_sample: int | None = DRIFT_SAMPLE  # None: all records
     retention_days: int | None = RETENTION_DAYS
-    publish: bool = False  # point catalog tables at what was built
+    publish: bool = False  # serve what was built as catalog views
 
     def raw(self, entity: str) -> str:
         return f"{self.root}/raw/{entity}"
@@ -185,7 +186,7 @@ def build_models(spark: SparkSession, cfg: RunConfig) -> dict[str, list]:
     def built(name: str, frame: DataFrame) -> DataFrame:
         table = tables.materialize(frame, cfg.model(name))
         if cfg.publish:
-            tables.publish(spark, "analytics", name, cfg.model(name))
+            tables.publish(spark, "analytics", name, cfg.model(name), SERVED_NUMERICS.get(name, ()))
         return checked(name, table)
 
     run_ts = F.lit(cfg.run_ts).cast("timestamp")

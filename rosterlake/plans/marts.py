@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,6 +149,6 @@ def fct_attrition_monthly(
     )
 
 
-def serve(df: DataFrame, numerics: list[str]) -> DataFrame:
+def serve(df: DataFrame, numerics: Iterable[str]) -> DataFrame:
     """Unbounded numerics as decimals with six places, ties away from zero."""
     return df.withColumns({c: F.col(c).cast(NUMERIC) for c in numerics})

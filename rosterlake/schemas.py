@@ -50,6 +50,12 @@ ENTITY_FIELDS = {"employees": EMPLOYEE_FIELDS, "job_applications": APPLICATION_F
 # Unbounded numerics are served with six decimals.
 NUMERIC = T.DecimalType(38, 6)
 
+# Columns of the models that are such numerics.
+SERVED_NUMERICS = {
+    "fct_attrition_monthly": ("avg_headcount", "attrition_rate_pct", "rolling_12m_attrition_rate_pct"),
+    "rpt_recruiting_funnel": ("application_to_hire_days_avg", "offer_acceptance_rate_pct"),
+}
+
 KIND_TYPES = {
     "text": T.StringType(),
     "date": T.DateType(),

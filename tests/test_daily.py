@@ -62,7 +62,7 @@ def test_ssn_shows_in_raw_mode_only(spark, folder):
     assert "ssn" in result.alert
     assert spark.sql("select count(*) n from analytics.dim_employees").first().n == 3
     for name in ("dim_employees", "fct_headcount_daily", "fct_attrition_monthly", "rpt_recruiting_funnel"):
-        spark.sql(f"drop table analytics.{name}")
+        spark.sql(f"drop view analytics.{name}")
 
 
 def test_drift_over_all_records(spark, folder):

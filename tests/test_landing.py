@@ -201,10 +201,11 @@ def test_table_can_be_rebuilt_from_itself(spark, tmp_path):
     assert sorted(r.n for r in tables.read(spark, root).collect()) == [3, 4, 5]
 
 
-def test_published_table_follows_new_versions(spark, tmp_path):
+def test_published_view_follows_new_versions(spark, tmp_path):
     root = str(tmp_path / "t")
     for n in (3, 5):
-        tables.replace(spark.range(n).toDF("n"), root)
-        tables.publish(spark, "analytics", "numbers", root)
-        assert spark.sql("select count(*) c from analytics.numbers").first().c == n
-    spark.sql("drop table analytics.numbers")
+        tables.replace(spark.range(n).selectExpr("id", "id / 4 as rate"), root)
+        tables.publish(spark, "analytics", "numbers", root, ["rate"])
+        served = spark.table("analytics.numbers")
+        assert served.count() == n and dict(served.dtypes)["rate"] == "decimal(38,6)"
+    spark.sql("drop view analytics.numbers")

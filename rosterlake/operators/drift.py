@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.values import type_name
+from rosterlake.schemas import DRIFT_LOG_SCHEMA
 
 EVENT_COLUMNS = "field_name string, change_type string, old_type string, new_type string, is_pii boolean"
 
@@ -84,6 +85,7 @@ def log_rows(events: DataFrame, source: str, detected_at: dt.datetime) -> DataFr
     at = F.lit(detected_at).cast("timestamp")
     key = F.xxhash64(F.lit(source), at, F.col("field_name"), F.col("change_type"))
     return events.select(
+        # Non-negative, as a serial number is.
         key.bitwiseAND(F.lit(2**63 - 1)).alias("id"),
         F.lit(source).alias("source"),
         at.alias("detected_at"),
@@ -103,6 +105,10 @@ def append_log(events: DataFrame, source: str, detected_at: dt.datetime, path: s
     return True
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DRIFT_LOG_SCHEMA).parquet(path)
+
+
 def pii_alert(events: DataFrame) -> DataFrame:
     """One message naming the drifted PII fields, no row when there are none.
 

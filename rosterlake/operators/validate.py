@@ -83,13 +83,29 @@ def batch_summary(validated: DataFrame) -> DataFrame:
     )
 
 
-def admit(validated: DataFrame, source: str, strict: bool = True) -> tuple[DataFrame, int, int]:
-    """Valid records of a batch with the counts of all and of invalid records.
+def valid_records(landed: DataFrame) -> DataFrame:
+    """Records that break no rule. For landed data: on a lazy frame the filter
+    would be pushed down and read every record a second time."""
+    return landed.where(F.size("errors") == 0)
 
-    Strict batches are all or nothing, so one invalid record refuses the batch;
-    otherwise the invalid records stay behind in the landed data.
+
+def rejected_records(landed: DataFrame) -> DataFrame:
+    return landed.where(F.size("errors") > 0)
+
+
+def admit(
+    landed: DataFrame, source: str, rejected: str, strict: bool = True
+) -> tuple[DataFrame, int]:
+    """Valid records of a batch and their number.
+
+    Invalid records are written with their errors to ``rejected``. A strict
+    batch is all or nothing: one invalid record refuses it.
     """
-    records, invalid = batch_summary(validated).first()
-    if strict and invalid:
-        raise InvalidBatch(f"{source}: {invalid} of {records} records are invalid")
-    return validated.where(F.size("errors") == 0), records, invalid
+    records, invalid = batch_summary(landed).first()
+    if invalid:
+        rejected_records(landed).write.parquet(rejected)
+        if strict:
+            raise InvalidBatch(
+                f"{source}: {invalid} of {records} records are invalid, see {rejected}"
+            )
+    return valid_records(landed), records - invalid

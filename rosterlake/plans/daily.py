@@ -17,7 +17,7 @@ from rosterlake.operators import tables
 from rosterlake.operators.envelope import payload_struct, to_envelope
 from rosterlake.operators.quality import gate
 from rosterlake.operators.upsert import read_raw, upsert
-from rosterlake.operators.validate import admit, validate
+from rosterlake.operators.validate import admit, valid_records, validate
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
 from rosterlake.schemas import (
@@ -58,8 +58,14 @@ class RunConfig:
     def raw(self, entity: str) -> str:
         return f"{self.root}/raw/{entity}"
 
+    def batch(self, batch_id: str) -> str:
+        return f"{self.root}/landing/batch={batch_id}"
+
     def landing(self, entity: str, source: str, batch_id: str) -> str:
-        return f"{self.root}/landing/{entity}/source={source}/batch={batch_id}"
+        return f"{self.batch(batch_id)}/{entity}/source={source}"
+
+    def rejected(self, entity: str, source: str, batch_id: str) -> str:
+        return f"{self.root}/rejected/{entity}/source={source}/batch={batch_id}"
 
     def model(self, name: str) -> str:
         return f"{self.root}/analytics/{name}"
@@ -97,7 +103,6 @@ def land(
 
     Everything later reads the landed columns: the pages are parsed once, record
     numbers stay fixed, and a lost executor does not send the job back to them.
-    Invalid records stay here with their errors.
     """
     mapped = source.mapping(entity)(source.read(spark, path), RECORD_ORDER)
     checked = validate(mapped, ENTITY_FIELDS[entity], RECORD_ORDER)
@@ -116,9 +121,10 @@ def extract(spark: SparkSession, cfg: RunConfig, source: Source, batch_id: str)
     admitted, rows = {}, 0
     for entity, path in dumps.items():
         landed = land(spark, cfg, source, entity, path, batch_id)
-        valid, records, invalid = admit(landed, source.name, cfg.strict)
-        rows += records - invalid
-        if records - invalid:
+        rejected = cfg.rejected(entity, source.name, batch_id)
+        valid, count = admit(landed, source.name, rejected, cfg.strict)
+        rows += count
+        if count:
             admitted[entity] = valid
     written = []
     try:
@@ -168,39 +174,59 @@ def worker_drift(spark: SparkSession, cfg: RunConfig, batch_id: str) -> DataFram
 def canonical_records(validated: DataFrame, order=RECORD_ORDER) -> DataFrame:
     """Valid employees as JSON objects, every field named."""
     body = F.to_variant_object(payload_struct(EMPLOYEE_FIELDS))
-    return validated.where(F.size("errors") == 0).select(*order, body.alias("record"))
+    return valid_records(validated).select(*order, body.alias("record"))
 
 
 def build_models(spark: SparkSession, cfg: RunConfig) -> dict[str, list]:
-    """Build and check the models in order; a failed check stops those after it."""
-    results = {}
+    """Build and check the models; a failed check stops the models that read it.
 
-    def checked(name: str, frame: DataFrame) -> DataFrame:
-        results[name] = gate(frame, CHECKS[name])
-        return frame
+    Employees and applications feed separate models and are built side by side.
+    """
 
-    def view(name: str, frame: DataFrame) -> DataFrame:
+    def view(name: str, frame: DataFrame) -> tuple[DataFrame, list]:
         frame.createOrReplaceTempView(name)
-        return checked(name, frame)
+        return frame, gate(frame, CHECKS[name])
 
-    def built(name: str, frame: DataFrame) -> DataFrame:
+    def built(name: str, frame: DataFrame) -> tuple[DataFrame, list]:
         table = tables.materialize(frame, cfg.model(name))
+        passed = gate(table, CHECKS[name])
         if cfg.publish:
-            tables.publish(spark, "analytics", name, cfg.model(name), SERVED_NUMERICS.get(name, ()))
-        return checked(name, table)
-
-    run_ts = F.lit(cfg.run_ts).cast("timestamp")
-    raw_employees = read_raw(spark, cfg.raw("employees"), EMPLOYEE_SOURCES)
-    raw_applications = read_raw(spark, cfg.raw("job_applications"), APPLICATION_SOURCES)
-    staged = view(
-        "stg_employees", staging.stg_employees(raw_employees, cfg.as_of, cfg.retention_days)
-    )
-    applications = view("stg_job_applications", staging.stg_job_applications(raw_applications))
-    employees = built("dim_employees", marts.dim_employees(staged, run_ts))
-    daily = built("fct_headcount_daily", marts.fct_headcount_daily(employees, cfg.as_of))
-    built("fct_attrition_monthly", marts.fct_attrition_monthly(employees, daily, cfg.as_of))
-    built("rpt_recruiting_funnel", reports.rpt_recruiting_funnel(applications))
-    return results
+            numerics = SERVED_NUMERICS.get(name, ())
+            tables.publish(spark, "analytics", name, cfg.model(name), numerics)
+        return table, passed
+
+    def employee_models() -> dict[str, list]:
+        done = {}
+        raw = read_raw(spark, cfg.raw("employees"), EMPLOYEE_SOURCES)
+        staged, done["stg_employees"] = view(
+            "stg_employees", staging.stg_employees(raw, cfg.as_of, cfg.retention_days)
+        )
+        run_ts = F.lit(cfg.run_ts).cast("timestamp")
+        employees, done["dim_employees"] = built(
+            "dim_employees", marts.dim_employees(staged, run_ts)
+        )
+        daily, done["fct_headcount_daily"] = built(
+            "fct_headcount_daily", marts.fct_headcount_daily(employees, cfg.as_of)
+        )
+        _, done["fct_attrition_monthly"] = built(
+            "fct_attrition_monthly", marts.fct_attrition_monthly(employees, daily, cfg.as_of)
+        )
+        return done
+
+    def application_models() -> dict[str, list]:
+        done = {}
+        raw = read_raw(spark, cfg.raw("job_applications"), APPLICATION_SOURCES)
+        staged, done["stg_job_applications"] = view(
+            "stg_job_applications", staging.stg_job_applications(raw)
+        )
+        _, done["rpt_recruiting_funnel"] = built(
+            "rpt_recruiting_funnel", reports.rpt_recruiting_funnel(staged)
+        )
+        return done
+
+    with ThreadPoolExecutor(2) as pool:
+        branches = [pool.submit(employee_models), pool.submit(application_models)]
+    return {name: passed for branch in branches for name, passed in branch.result().items()}
 
 
 def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None) -> RunResult:
@@ -213,17 +239,18 @@ def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None)
         step = extract_optional if source.optional else extract
         return step(spark, cfg, source, batch_id)
 
-    # Sources do not depend on each other, so their jobs share the cluster.
-    with ThreadPoolExecutor(len(SOURCES)) as pool:
-        result.stats = list(pool.map(load, SOURCES.values()))
-    events = worker_drift(spark, cfg, batch_id).persist()
     try:
+        # Sources do not depend on each other, so their jobs share the cluster.
+        with ThreadPoolExecutor(len(SOURCES)) as pool:
+            result.stats = list(pool.map(load, SOURCES.values()))
+        events = worker_drift(spark, cfg, batch_id).persist()
         if drift_ops.append_log(events, WORKDAY.name, cfg.run_ts, cfg.drift_log):
             result.drift_events = events.count()
         result.checks = build_models(spark, cfg)
         alert = drift_ops.pii_alert(events).first()
-    finally:
         events.unpersist()
+    finally:
+        tables.discard(spark, cfg.batch(batch_id))
     if alert is not None:
         result.alert = alert.message
         log.warning("%s", result.alert)

@@ -1,12 +1,7 @@
-"""Session settings the jobs rely on, and the shared work folder."""
+"""Session settings the jobs rely on."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Runtime settings; safe to apply to a session that somebody else created.
@@ -43,17 +38,3 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a session without that setting (a local test) gets a machine-local
-    folder, which is removed when Python exits.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    path = tempfile.mkdtemp(prefix=f"rosterlake-{purpose}-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path

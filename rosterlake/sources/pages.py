@@ -10,8 +10,6 @@ are ordered by path.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +82,3 @@ def first_records(spark: SparkSession, reader, path: str | list[str], n: int) ->
         if taken >= len(files) or head.count() >= n:
             return head
         taken = min(2 * taken, len(files))
-
-
-def union_records(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -1,5 +1,7 @@
+import json
+import os
+
 import pytest
-from pyspark.sql import functions as F
 
 from rosterlake.operators import tables
 from rosterlake.operators.quality import QualityError
@@ -21,9 +23,6 @@ def config(folder, workers, applications, wrapped=None, **kwargs):
 
 
 def wrapped_rows(folder, name, rows):
-    import json
-    import os
-
     os.makedirs(f"{folder}/{name}")
     with open(f"{folder}/{name}/rows.json", "w", encoding="utf-8") as out:
         out.write("\n".join(json.dumps({"fields": r}) for r in rows))
@@ -113,9 +112,9 @@ def test_quarantine_keeps_the_valid_records(spark, folder):
     cfg = config(folder, [worker(1), worker(2, Hire_Date="")], [application(1)], strict=False)
     result = run_daily(spark, cfg, batch_id="b1")
     assert result.stats[0].rows == 1
-    landed = spark.read.parquet(cfg.landing("employees", "workday", "b1"))
-    rejected = landed.where(F.size("errors") > 0).collect()
+    rejected = spark.read.parquet(cfg.rejected("employees", "workday", "b1")).collect()
     assert [(r.source_id, r.errors) for r in rejected] == [("w-2", ["hire_date:value"])]
+    assert not os.path.exists(cfg.batch("b1"))
 
 
 def test_failed_check_stops_later_models(spark, folder):
@@ -123,6 +122,8 @@ def test_failed_check_stops_later_models(spark, folder):
     with pytest.raises(QualityError, match="accepted_values_dim_employees_level"):
         run_daily(spark, cfg)
     assert tables.current(spark, cfg.model("fct_headcount_daily")) is None
+    # The other branch does not read the failed model.
+    assert tables.read(spark, cfg.model("rpt_recruiting_funnel")).count() == 1
 
 
 def test_empty_batch_writes_nothing(spark, folder):

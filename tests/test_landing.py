@@ -90,13 +90,14 @@ def test_explicit_null_activity_is_invalid(spark):
     assert validate(mapped, APPLICATION_FIELDS, ["k"]).first().errors == ["stage_changed_at:null"]
 
 
-def test_strict_batch_is_all_or_nothing(spark):
+def test_strict_batch_is_all_or_nothing(spark, folder):
     frame = checked(spark, worker(1), worker(2, Hire_Date=""), worker(3))
     assert tuple(batch_summary(frame).first()) == (3, 1)
     with pytest.raises(InvalidBatch, match="1 of 3"):
-        admit(frame, "workday")
-    valid, records, invalid = admit(frame, "workday", strict=False)
-    assert (valid.count(), records, invalid) == (2, 3, 1)
+        admit(frame, "workday", f"{folder}/strict")
+    assert [r.source_id for r in spark.read.parquet(f"{folder}/strict").collect()] == ["w-2"]
+    valid, count = admit(frame, "workday", f"{folder}/lenient", strict=False)
+    assert (valid.count(), count) == (2, 2)
 
 
 def test_strip_knows_unicode_space(spark):

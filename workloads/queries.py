@@ -28,10 +28,11 @@ from rosterlake.schemas import (
     PII_FIELDS,
     WORKER_FIELD_MAP,
 )
-from rosterlake.session import configure, work_folder
+from rosterlake.session import configure
 from rosterlake.sources import mapping, pages
 from workloads.frames import derived, records, table
 from workloads.recipes import AS_OF, BATCH_ID, RUN_TS
+from workloads.scratch import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,7 +157,7 @@ def raw_scan(spark, sf):
 
 @query
 def materialize_roundtrip(spark, sf):
-    return tables.materialize(funnel(spark, sf), work_folder(spark, "funnel"))
+    return tables.materialize(funnel(spark, sf), f"{work_folder(spark, 'funnel')}/table")
 
 
 @query
@@ -166,7 +167,7 @@ def drift_log(spark, sf):
     drift.append_log(found, "workday", RUN_TS, path)
     drift.append_log(found, "workday", RUN_TS + dt.timedelta(days=1), path)
     found.unpersist()
-    logged = spark.read.parquet(path).drop("id")
+    logged = drift.read_log(spark, path).drop("id")
     return logged.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
 
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from rosterlake.functions.values import type_name
 from rosterlake.schemas import DRIFT_LOG_SCHEMA
 
-EVENT_COLUMNS = "field_name string, change_type string, old_type string, new_type string, is_pii boolean"
-
 
 def infer_schema(records: DataFrame, order: Sequence[str]) -> DataFrame:
     """Per field the type of its first non-null value in record order.

@@ -3,6 +3,7 @@ import os
 
 import pytest
 
+from rosterlake.__main__ import parse
 from rosterlake.operators import tables
 from rosterlake.operators.quality import QualityError
 from rosterlake.operators.upsert import read_raw
@@ -137,3 +138,14 @@ def test_core_source_must_be_configured(spark, folder):
     cfg = RunConfig(f"{folder}/lake", {}, AS_OF, RUN_TS)
     with pytest.raises(ValueError, match="workday"):
         run_daily(spark, cfg)
+
+
+def test_command_line():
+    cfg = parse(
+        ["--root", "r", "--dump", "workday/employees=a=b", "--dump", "airtable/employees=c",
+         "--as-of", "2024-03-15", "--lenient", "--drift-all"]
+    )
+    assert cfg.dumps == {"workday": {"employees": "a=b"}, "airtable": {"employees": "c"}}
+    assert (cfg.as_of, cfg.strict, cfg.drift_sample, cfg.publish) == (AS_OF, False, None, False)
+    with pytest.raises(SystemExit):
+        parse(["--root", "r", "--dump", "workday=a"])

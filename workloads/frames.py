@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +24,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Recipe ``name`` over the orders of ``sf_dir``."""
+    """Recipe ``name`` over the tables of ``sf_dir``."""
     orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     orders.createOrReplaceTempView("rosterlake_orders")
-    text = ctes(name, "spark").replace("from orders", "from rosterlake_orders")
+    for other in ("customer", "region"):
+        table(spark, sf_dir, other).createOrReplaceTempView(f"rosterlake_{other}")
+    own = r"\b(from|join) (orders|customer|region)\b"
+    text = re.sub(own, r"\1 rosterlake_\2", ctes(name, "spark"))
     return spark.sql(f"with {text} select * from {name}")
 
 

@@ -164,7 +164,6 @@ ALL_ATTRITION = f"{DAILY},\n{MONTHS},\n{MONTHLY},\n{ON_SPINE},\n{MONTHLY_TERMS},
 APPLICATIONS = f"{RAW_APP},\n{STG_APPLICATIONS}"
 ALL_FUNNEL = f"{APPLICATIONS},\n{FUNNEL}"
 
-SPACE_FREE = {"department", "level"}
 WORKER_TEXT = {dst: src for src, dst in WORKER_FIELD_MAP.items()}
 STRING_FIELDS = [
     d for d in WORKER_TEXT if d not in ("hire_date", "termination_date", "salary")

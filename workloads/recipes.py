@@ -1,4 +1,4 @@
-"""People-shaped inputs derived from the ``orders`` table.
+"""People-shaped inputs derived from the orders and customers.
 
 Each recipe is one SQL text for both engines; only the few spellings in
 ``DIALECT`` differ. Records are built as text, so both engines read the same
@@ -13,7 +13,6 @@ import re
 AS_OF = dt.date(2001, 8, 1)
 RUN_TS = dt.datetime(2001, 8, 1, 6, tzinfo=dt.timezone.utc)
 BATCH_ID = "00000000-0000-4000-8000-000000000001"
-PAGE_SIZE = 100
 
 DIALECT = {
     "spark": {
@@ -81,7 +80,7 @@ WORKER_PAGES = """
 select '{"data":['||<<JOIN_PAGE>>||'],"_links":{"next":"/api/v1/workers?page='||(<<DIV>> + 2)||'"}}' page
 from native_workers group by <<DIV>>
 union all
-select '{"_links":{}}' from native_workers where k%1000=0
+select '{"_links":{}}' from region
 """
 
 APPLICATION_PAGES = """
@@ -101,13 +100,14 @@ select k, case when k%250=3 then '{"id":"rec'||k||'"}' else
 from emp
 """
 
+# Every customer stands for an employee whom a second source knows as well.
 RAW_EMPLOYEES = """
 select case when k%50=1 then 'greenhouse' else 'workday' end source, source_id, payload,
   <<TS:2001-07-02 06:00:00>> ingested_at, k from raw_base
 union all
 select 'airtable', source_id, replace(payload,'"Title ','"Lead '),
   case when k%250=0 then null when k%50=0 then <<TS:2001-07-03 06:00:00>> else <<TS:2001-07-01 06:00:00>> end, k
-from raw_base where k%25=0
+from raw_base join customer on k = c_custkey * 10
 """
 
 # k = 5 has no id; some departments are null, some levels and types unknown.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,10 +17,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def member(record: Column, key: str) -> Column:
-    """Untyped member of a JSON object: SQL NULL when the key is missing, a
-    variant null when the key is there and holds null."""
-    return F.variant_get(record, f"$.{key}", "variant")
+def members(record: Column, keys: Iterable[str]) -> Column:
+    """Struct of untyped members of a JSON object, read in one pass.
+
+    A member is SQL NULL when its key is missing and a variant null when the key
+    is there and holds null. What is no object has no members.
+    """
+    shape = ", ".join(f"`{key}`: variant" for key in keys)
+    return F.try_variant_get(record, "$", f"struct<{shape}>")
 
 
 def member_text(record: Column, key: str) -> Column:

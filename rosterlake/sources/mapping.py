@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.functions.values import default_missing, member, member_text, stage_of
+from rosterlake.functions.values import default_missing, members, stage_of
 from rosterlake.schemas import (
     APPLICATION_FIELDS,
     DEFAULT_EMPLOYMENT_TYPE,
@@ -24,9 +24,9 @@ def rename_members(
     records: DataFrame, field_map: Mapping[str, str], keep: Iterable[str] = ()
 ) -> DataFrame:
     """Pick and rename object members; members outside the map are dropped."""
-    return records.select(
-        *keep, *[member(F.col("record"), src).alias(dst) for src, dst in field_map.items()]
-    )
+    keep = list(keep)
+    picked = records.select(*keep, members(F.col("record"), field_map).alias("_m"))
+    return picked.select(*keep, *[F.col("_m")[src].alias(dst) for src, dst in field_map.items()])
 
 
 def map_workers(records: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
@@ -34,17 +34,17 @@ def map_workers(records: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
 
 
 def map_applications(records: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    record = F.col("record")
+    keep = list(keep)
     same = ("candidate_id", "job_id", "job_title", "department", "applied_at", "recruiter_id")
-    return records.select(
+    field_map = {"id": "source_id", "status": "status", "last_activity_at": "changed"}
+    picked = rename_members(records, field_map | {name: name for name in same}, keep)
+    return picked.select(
         *keep,
-        member(record, "id").alias("source_id"),
-        *[member(record, name).alias(name) for name in same],
-        stage_of(member_text(record, "status")).alias("stage"),
+        "source_id",
+        *same,
+        stage_of(F.variant_get("status", "$", "string")).alias("stage"),
         # Falls back on a missing key only: an explicit null stays and is invalid.
-        F.coalesce(member(record, "last_activity_at"), member(record, "applied_at")).alias(
-            "stage_changed_at"
-        ),
+        F.coalesce("changed", "applied_at").alias("stage_changed_at"),
     )
 
 

@@ -65,6 +65,11 @@ def test_validation_rules(spark, changes, expected):
     assert errors(spark, **changes) == expected
 
 
+def test_what_is_no_object_breaks_every_required_rule(spark):
+    required = [f"{f.name}:missing" for f in EMPLOYEE_FIELDS if f.required]
+    assert [r.errors for r in checked(spark, "5", "[1]", "null", "{}").collect()] == [required] * 4
+
+
 @pytest.mark.parametrize(
     "text, value",
     [

@@ -103,7 +103,7 @@ def admit(
     """
     records, invalid = batch_summary(landed).first()
     if invalid:
-        rejected_records(landed).write.parquet(rejected)
+        rejected_records(landed).write.mode("overwrite").parquet(rejected)
         if strict:
             raise InvalidBatch(
                 f"{source}: {invalid} of {records} records are invalid, see {rejected}"

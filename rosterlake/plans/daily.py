@@ -107,7 +107,8 @@ def land(
     mapped = source.mapping(entity)(source.read(spark, path), RECORD_ORDER)
     checked = validate(mapped, ENTITY_FIELDS[entity], RECORD_ORDER)
     target = cfg.landing(entity, source.name, batch_id)
-    checked.write.mode("errorifexists").parquet(target)
+    # Folders of a batch belong to the batch, so a rerun after a crash replaces them.
+    checked.write.mode("overwrite").parquet(target)
     return spark.read.schema(checked.schema).parquet(target)
 
 

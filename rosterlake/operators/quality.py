@@ -71,25 +71,24 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 def _hits(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``(number, failures)`` of the checks that look at single rows, in one pass.
 
-    Only failing rows give output, so a clean table shuffles nothing. Accepted
-    values count once per value, the other checks once per row.
+    Only failing rows go on from the filter, so a clean table shuffles nothing.
+    Accepted values count once per value, the other checks once per row.
     """
+    scanned = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
+    by_value = [i for i, c in scanned if c.kind == "accepted_values"]
     verdicts = [
         F.when(
             _failing(c),
             F.struct(
                 F.lit(i).alias("number"),
-                (F.col(c.column) if c.kind == "accepted_values" else F.lit(None))
-                .cast("string")
-                .alias("value"),
+                F.when(F.lit(i in by_value), F.col(c.column).cast("string")).alias("value"),
             ),
         )
-        for i, c in enumerate(checks)
-        if c.kind != "unique"
+        for i, c in scanned
     ]
-    by_value = [i for i, c in enumerate(checks) if c.kind == "accepted_values"]
     return (
-        df.select(F.explode(F.array_compact(F.array(*verdicts))).alias("hit"))
+        df.where(reduce(Column.__or__, [_failing(c) for _, c in scanned]))
+        .select(F.explode(F.array_compact(F.array(*verdicts))).alias("hit"))
         .groupBy("hit.number", "hit.value")
         .agg(F.count("*").alias("n"))
         .groupBy("number")

@@ -111,10 +111,6 @@ def written_text(df: DataFrame, purpose: str) -> str:
     return path
 
 
-def errors_text() -> Column:
-    return F.array_join("errors", ",").alias("errors")
-
-
 # --- sources, scans, sinks ---------------------------------------------------
 
 
@@ -203,7 +199,7 @@ def map_status_stage(spark, sf):
 
 @query
 def map_applications(spark, sf):
-    return checked_applications(spark, sf).withColumn("errors", errors_text())
+    return checked_applications(spark, sf)
 
 
 @query
@@ -231,7 +227,7 @@ def strip_strings(spark, sf):
 @query
 def validate_records(spark, sf):
     checked = checked_workers(spark, sf, "dirty_workers")
-    return checked.select("k", "source_id", "first_name", "hire_date", errors_text())
+    return checked.select("k", "source_id", "first_name", "hire_date", "errors")
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Runtime settings; safe to apply to a session that somebody else created.
@@ -38,3 +40,22 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder that driver and executors share, removed when Spark exits.
+
+    It lies below ``spark.checkpoint.dir``; a session without that setting takes the
+    warehouse. A folder on local disks is refused unless the master is local too or
+    the cluster itself named it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or spark.conf.get("spark.sql.warehouse.dir")
+    plain = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/rosterlake-{purpose}-{uuid.uuid4().hex}")
+    files = plain.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = files.makeQualified(plain)
+    if not named and folder.toUri().getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{base} is a local folder; set spark.checkpoint.dir to a shared one")
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return folder.toString()

@@ -1,22 +1,5 @@
 """Work folders of the queries that write: dumped pages, tables, logs."""
 
-from __future__ import annotations
+from rosterlake.session import shared_folder as work_folder
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``, removed when Spark exits.
-
-    Only a session without that setting, a local test, gets a machine-local one.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = f"{shared.rstrip('/')}/rosterlake-{purpose}-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(folder)
-    files.deleteOnExit(folder)
-    return path
+__all__ = ["work_folder"]

@@ -37,3 +37,29 @@ select doc_id, size, source_size, target,
   least(floor(place * rate + u) - floor((place - 1) * rate + u), 3)::bigint * size as taken
 from counted
 """
+
+ORACLE["op9_near_duplicates"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as s
+  from words),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 75 * (x.n + y.n - c)),
+sym as (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id as a, doc_id as r from documents
+  union
+  select sym.b, reach.r from reach join sym on sym.a = reach.a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from documents left join sizes using (doc_id)
+join (select a as doc_id, min(r) as component_id from reach group by a) using (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import mixing
+from rosterlake.llm import mixing, neardup, tokens
 from rosterlake.llm.common import Scratch, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -16,13 +16,41 @@ __all__ = ["ORACLE", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def settings(spark: SparkSession) -> None:
+    """Row batches that reach Python stay small however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def query(build):
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        settings(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
     return build
 
 
+def tokenizer_path() -> str:
+    """Vocabulary file of the fixed tokenizer; a worker opens it where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query
 def op2_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     counted = mixing.systematic_copies(docs, Scratch(spark, "mix"))
     return counted.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op4_token_orc(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scratch = Scratch(spark, "tokens")
+    return tokens.round_trip(docs, scratch, tokenizer_path())
+
+
+@query
+def op9_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "neardup"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -102,3 +103,41 @@ def with_columns(
                 )
 
     return kept.mapInArrow(run, schema)
+
+
+def word_counts(
+    docs: DataFrame, by: str, text: str = "text", lowered: bool = False, most: int = 200_000
+) -> DataFrame:
+    """``(by, word, n)``: how often every word occurs per value of ``by``, over whole texts.
+
+    A task hands out counts whenever it holds ``most`` different words, so its memory is
+    bounded and the shuffle carries counts instead of occurrences.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = {}
+
+        def flush():
+            for value, counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([value] * len(counts), pa.string()),
+                        pa.array(list(counts.keys()), pa.binary()).cast(pa.string()),
+                        pa.array(list(counts.values()), pa.int64()),
+                    ],
+                    ["by", "word", "n"],
+                )
+            held.clear()
+
+        for batch in slices(batches, 1):
+            for value, data in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                words = (data.lower() if lowered else data).split()
+                held.setdefault(value, Counter()).update(words)
+            if sum(map(len, held.values())) > most:
+                yield from flush()
+        yield from flush()
+
+    rows = docs.select(F.col(by).cast("string").alias("by"), text)
+    return rows.mapInArrow(run, "by string, word string, n bigint").groupBy("by", "word").agg(
+        F.sum("n").alias("n")
+    )

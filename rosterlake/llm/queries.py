@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import mixing, neardup, tokens
+from rosterlake.llm import divergence, mixing, neardup, secrets, tokens
 from rosterlake.llm.common import Scratch, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -37,6 +37,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_distribution_divergence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    references = divergence.references(docs, Scratch(spark, "references"))
+    judged = divergence.judge(docs.select("doc_id", "text"), references)
+    return judged.select("doc_id", *[f.name for f in divergence.ADDED])
+
+
 @query
 def op2_source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -51,6 +59,12 @@ def op4_token_orc(spark, sf_dir):
     return tokens.round_trip(docs, scratch, tokenizer_path())
 
 
+@query
+def op6_secret_automaton(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.find_secrets(docs))
+
+
 @query
 def op9_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "neardup"))

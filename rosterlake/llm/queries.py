@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import divergence, mixing, neardup, secrets, tokens
-from rosterlake.llm.common import Scratch, table
+from rosterlake.llm import divergence, mil, mixing, neardup, secrets, tokens
+from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -68,3 +68,12 @@ def op6_secret_automaton(spark, sf_dir):
 @query
 def op9_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "neardup"))
+
+
+@query
+def op5_attention_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = mil.train(docs, labels, held_out)
+    scored = mil.classify(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")

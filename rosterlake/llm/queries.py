@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import divergence, mil, mixing, neardup, secrets, tokens
+from rosterlake.llm import divergence, mil, mixing, neardup, secrets, tokens, toxicity
 from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -77,3 +77,12 @@ def op5_attention_quality(spark, sf_dir):
     model = mil.train(docs, labels, held_out)
     scored = mil.classify(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_toxicity_channel(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs, labels, held_out, Scratch(spark, "toxicity"))
+    scored = toxicity.classify(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")

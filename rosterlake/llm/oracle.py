@@ -63,3 +63,18 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 from documents left join sizes using (doc_id)
 join (select a as doc_id, min(r) as component_id from reach group by a) using (doc_id)
 """
+
+ORACLE["op10_warc_archives"] = r"""
+with payloads as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h
+  from pages),
+firsts as (select html, min(page_id) as first from payloads group by html)
+select page_id, payload_bytes::bigint as payload_bytes,
+  translate(
+    lpad(to_base(('0x' || substr(h, 1, 10))::bigint, 32), 8, '0') || lpad(to_base(('0x' || substr(h, 11, 10))::bigint, 32), 8, '0')
+      || lpad(to_base(('0x' || substr(h, 21, 10))::bigint, 32), 8, '0') || lpad(to_base(('0x' || substr(h, 31, 10))::bigint, 32), 8, '0'),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from payloads join firsts using (html)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import divergence, mil, mixing, neardup, secrets, tokens, toxicity
+from rosterlake.llm import decontaminate, divergence, mil, mixing, neardup, secrets, tokens, toxicity, warc
 from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -86,3 +86,15 @@ def op3_toxicity_channel(spark, sf_dir):
     model = toxicity.train(docs, labels, held_out, Scratch(spark, "toxicity"))
     scored = toxicity.classify(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_benchmark_leaks(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items, Scratch(spark, "leaks"))
+
+
+@query
+def op10_warc_archives(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return warc.round_trip(pages, Scratch(spark, "warc"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontaminate, divergence, mil, mixing, neardup, secrets, tokens, toxicity, warc
+from rosterlake.llm import decontaminate, divergence, logbilinear, mil, mixing, neardup, secrets, tokens, toxicity, warc
 from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -98,3 +98,10 @@ def op8_benchmark_leaks(spark, sf_dir):
 def op10_warc_archives(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return warc.round_trip(pages, Scratch(spark, "warc"))
+
+
+@query
+def op7_logbilinear(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 10) == 0
+    return logbilinear.score_texts(docs, held_out, Scratch(spark, "logbilinear"))

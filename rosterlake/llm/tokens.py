@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,9 @@ from rosterlake.llm.common import Scratch, slices, texts_of
 END_ID = 2
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
+WORDS_PER_LINE = 5000
+SIGNS = b".,;:!?*#$%&"
 
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -45,8 +48,9 @@ class WordEncoder:
     """Encodes texts word by word.
 
     The tokenizer splits at white space first and its normaliser joins nothing across
-    it, so the ids of a text are those of its words in a row; a word is encoded once
-    per worker. The memory is bounded: a full cache is emptied.
+    it, so the ids of a text are those of its words in a row. A worker encodes a word
+    once: the new words of a batch go to the tokenizer in long lines, and the offsets
+    of the ids tell the words apart. The memory is bounded: a full cache is emptied.
     """
 
     def __init__(self, path: str):
@@ -55,21 +59,37 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        words = text.split()
+    def learn(self, words: list[bytes]) -> None:
+        """Put the ids of new words into the cache."""
+        for at in range(0, len(words), WORDS_PER_LINE):
+            some = words[at : at + WORDS_PER_LINE]
+            texts = [w.decode() for w in some]
+            done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(done.ids, "<u4")
+            places = np.array([start for start, _ in done.offsets], np.int64)
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            cuts = np.searchsorted(places, ends)
+            packed, start = ids.tobytes(), 0
+            for word, cut in zip(some, (4 * cuts).tolist()):
+                self.known[word] = packed[start:cut]
+                start = cut
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text as little-endian 32-bit integers."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        # The normaliser lowers letters anyway; only a special token's name may not be lowered.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        new = set(chain.from_iterable(split)).difference(self.known)
+        # Signs after a letter or digit are a piece of their own, so the parts are learned once.
+        ends = {w: w.rstrip(SIGNS) for w in new}
+        ends = {w: core for w, core in ends.items() if len(core) < len(w) and core[-1:].isalnum()}
+        parts = {*new.difference(ends), *ends.values(), *[w[len(core) :] for w, core in ends.items()]}
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = list({w for w in words if w not in known})
-        done = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        for word, encoded in zip(new, done):
-            known[word] = np.asarray(encoded.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        self.learn(list(parts.difference(known)))
+        for w, core in ends.items():
+            known[w] = known[core] + known[w[len(core) :]]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -89,7 +109,7 @@ def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
         words = encoder(tokenizer)
         end = np.asarray([END_ID], "<u4").tobytes()
         for batch in slices(batches, 1, 4 << 20):
-            parts = [words.encode(t) + end for t in texts_of(batch.column(1))]
+            parts = [ids + end for ids in words.encode(texts_of(batch.column(1)))]
             sizes = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())

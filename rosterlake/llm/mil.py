@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.llm.common import with_columns
+from rosterlake.llm.common import slices, texts_of, with_columns
 
 PASSAGE_WORDS = 48
 TRAIN_DOCUMENTS = 8000
@@ -236,7 +236,7 @@ def train(
 
     def bags(batches):
         for batch in batches:
-            rows, counts = passages([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()])
+            rows, counts = passages(texts_of(batch.column(1)))
             ends = np.cumsum(counts)
             kept = []
             for i, (end, n) in enumerate(zip(ends, counts)):
@@ -266,3 +266,17 @@ def classify(docs: DataFrame, model: AttentionModel, text: str = "text", thresho
         return [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))]
 
     return with_columns(docs, ADDED, compute, text)
+
+
+def select_documents(
+    docs: DataFrame, model: AttentionModel, text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for batch in slices(batches, place):
+            if batch.num_rows:
+                yield batch.filter(pa.array(model.score(*passages(texts_of(batch.column(place)))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

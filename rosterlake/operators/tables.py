@@ -1,19 +1,29 @@
 """Parquet tables that are replaced as a whole.
 
-Each write goes to a new folder ``v=<n>``; the newest folder that holds the
-committer's ``_SUCCESS`` file is the table. A job that dies leaves the old
-version in place, and a table can be rebuilt from its own content.
+Each write goes to a new folder ``v=<n>``. It becomes the table when its marker is
+there, a small file that is written after the job has succeeded and the checks have
+passed, and that lists the folders the version consists of: its own and, for a table
+kept in parts, those it takes over from older versions. A job that dies leaves the old
+version in place, and a table can be rebuilt from its own content. Two runs that write
+the same table at once take the same number; the second one fails.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rosterlake.schemas import NUMERIC
 
+MARKER = "_VERSION"
+PUBLISHED = "_PUBLISHED"
+
+
+class UncommittedData(RuntimeError):
+    """Data without a committed version: a crash, or files of somebody else."""
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -27,21 +37,37 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, file = _folder(spark, path)
+    return fs.exists(file)
+
+
+def _write_file(spark: SparkSession, path: str, lines: Iterable[str]) -> None:
+    fs, file = _folder(spark, path)
+    out = fs.create(file, True)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+
+
 def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
     """Version numbers below ``root`` in ascending order."""
-    found = []
-    for name in _children(spark, root):
-        if name.startswith("v="):
-            fs, marker = _folder(spark, f"{root}/{name}/_SUCCESS")
-            if not committed or fs.exists(marker):
-                found.append(int(name[2:]))
-    return sorted(found)
+    found = [int(n[2:]) for n in _children(spark, root) if n.startswith("v=")]
+    return sorted(n for n in found if not committed or _exists(spark, f"{root}/v={n}/{MARKER}"))
+
+
+def folders(spark: SparkSession, root: str, version: int) -> list[str]:
+    """What a committed version consists of, relative to ``root``."""
+    fs, marker = _folder(spark, f"{root}/v={version}/{MARKER}")
+    stream = fs.open(marker)
+    listed = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return [line for line in listed.split("\n") if line]
 
 
-def current(spark: SparkSession, root: str) -> str | None:
-    """Folder of the newest committed version."""
+def current(spark: SparkSession, root: str) -> int | None:
+    """Number of the newest committed version."""
     done = versions(spark, root)
-    return f"{root}/v={done[-1]}" if done else None
+    return done[-1] if done else None
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -49,30 +75,79 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def replace(df: DataFrame, root: str, keep: int = 2) -> str:
-    """Write ``df`` as the next version and drop all but the newest ``keep``.
+def discard_uncommitted(spark: SparkSession, root: str) -> None:
+    """Clean up after a crash."""
+    done = set(versions(spark, root))
+    for n in versions(spark, root, committed=False):
+        if n not in done:
+            discard(spark, f"{root}/v={n}")
 
-    The version before is kept by default for readers that already planned on it.
+
+def next_version(spark: SparkSession, root: str) -> int:
+    taken = versions(spark, root, committed=False)
+    return taken[-1] + 1 if taken else 1
+
+
+def commit(spark: SparkSession, root: str, version: int, parts: Iterable[str], keep: int = 2) -> None:
+    """Make a written version the table, then drop versions nobody needs.
+
+    The newest ``keep`` versions stay, for readers that already planned on them, and
+    the one a catalog view was last pointed to, with every folder they list.
+    """
+    _write_file(spark, f"{root}/v={version}/{MARKER}", parts)
+    done = versions(spark, root)
+    served = [n for n in done if _exists(spark, f"{root}/v={n}/{PUBLISHED}")]
+    kept = {*done[-keep:], *served[-1:]}
+    if len(kept) == len(done):
+        return
+    needed = {part for n in kept for part in folders(spark, root, n)}
+    for n in done:
+        if n not in kept:
+            own = [p for p in folders(spark, root, n) if p.split("/")[0] == f"v={n}"]
+            lost = [p for p in own if p not in needed]
+            if len(lost) == len(own):
+                discard(spark, f"{root}/v={n}")
+            else:
+                for part in lost:
+                    discard(spark, f"{root}/{part}")
+                discard(spark, f"{root}/v={n}/{MARKER}")
+
+
+def replace(
+    df: DataFrame, root: str, check: Callable[[DataFrame], object] | None = None, keep: int = 2
+) -> object:
+    """Write ``df`` as the next version and give what ``check`` says about it.
+
+    A version whose check raises, or whose job fails, is deleted; the table is as before.
     """
     spark = df.sparkSession
-    taken = versions(spark, root, committed=False)
-    path = f"{root}/v={taken[-1] + 1 if taken else 1}"
-    df.write.mode("errorifexists").parquet(path)
-    for old in versions(spark, root)[:-keep]:
-        discard(spark, f"{root}/v={old}")
-    return path
+    version = next_version(spark, root)
+    path = f"{root}/v={version}"
+    try:
+        df.write.mode("errorifexists").parquet(path)
+        verdict = check(spark.read.schema(df.schema).parquet(path)) if check else None
+    except Exception:
+        discard(spark, path)
+        raise
+    commit(spark, root, version, [f"v={version}"], keep)
+    return verdict
 
 
 def read(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Current version of a table; an empty frame when a schema is given and
-    nothing has been written yet."""
-    path = current(spark, root)
-    if path is None:
+    """Current version of a table; an empty frame when a schema is given and nothing
+    has ever been written. Data without a committed version is an error."""
+    version = current(spark, root)
+    if version is None:
+        if versions(spark, root, committed=False):
+            raise UncommittedData(f"no committed version below {root}, but data of unfinished writes")
         if schema is None:
-            raise FileNotFoundError(f"no committed version below {root}")
+            raise FileNotFoundError(f"no table at {root}")
+        return spark.createDataFrame([], schema)
+    parts = [f"{root}/{p}" for p in folders(spark, root, version)]
+    if not parts:
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(*parts)
 
 
 def materialize(df: DataFrame, root: str) -> DataFrame:
@@ -89,12 +164,16 @@ def publish(
     Replacing a view is one step, so readers see the old or the new version.
     Unbounded numerics are served as decimals with six places.
     """
-    path, numerics = current(spark, root), set(numerics)
+    version, numerics = current(spark, root), set(numerics)
+    if version is None:
+        raise FileNotFoundError(f"no committed version of {root} to publish")
+    paths = [f"{root}/{p}" for p in folders(spark, root, version)]
     columns = [
         f"CAST(`{c}` AS {NUMERIC.simpleString()}) AS `{c}`" if c in numerics else f"`{c}`"
-        for c in spark.read.parquet(path).columns
+        for c in spark.read.parquet(*paths).columns
     ]
+    selects = [f"SELECT {', '.join(columns)} FROM parquet.`{p}`" for p in paths]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {', '.join(columns)} FROM parquet.`{path}`"
-    )
+    # The old version stays protected until the view no longer reads it.
+    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {' UNION ALL '.join(selects)}")
+    _write_file(spark, f"{root}/v={version}/{PUBLISHED}", [f"{layer}.{name}"])

@@ -1,7 +1,9 @@
 """Keyed upsert into the raw tables.
 
 A raw table keeps one folder per source, each with its own versions, so a batch
-rewrites the rows of its source only and readers prune by source.
+rewrites rows of its source only and readers prune by source. Within a source rows lie
+in hash buckets of their key; a batch rewrites the buckets it touches, and the new
+version takes the others over by reference.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from rosterlake.operators import tables
 from rosterlake.schemas import RAW_SCHEMA
 
 KEYS = ("source", "source_id")
+BUCKETS = 16
 
 
 def surrogate_id(keys: Sequence[str]) -> Column:
@@ -61,17 +64,53 @@ def source_root(table: str, source: str) -> str:
     return f"{table}/source={source}"
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def upsert(
-    spark: SparkSession, table: str, batch: DataFrame, source: str, order: Sequence[str]
-) -> str:
-    """Upsert envelope rows of one source; returns the folder of the new version."""
+    spark: SparkSession,
+    table: str,
+    batch: DataFrame,
+    source: str,
+    order: Sequence[str],
+    buckets: int = BUCKETS,
+) -> int:
+    """Upsert envelope rows of one source; returns the number of the new version.
+
+    ``buckets`` is fixed when the first batch of a source is written: pass the same
+    number for its whole life.
+    """
     root = source_root(table, source)
-    target = tables.read(spark, root, RAW_SCHEMA)
     rows = last_per_key(batch.drop("source"), order, ("source_id",))
+    hashed = batch.select(bucket_of(F.col("source_id"), buckets).alias("bucket"))
+    # At most one row per bucket comes back.
+    touched = {f"bucket={r.bucket}" for r in hashed.distinct().collect()}
+    before = tables.current(spark, root)
+    known = tables.folders(spark, root, before) if before else []
+    if not before:
+        tables.read(spark, root, RAW_SCHEMA)  # refuses leftovers of a crash
+    rewritten = [f"{root}/{p}" for p in known if p.split("/")[-1] in touched]
+    if rewritten:
+        target = spark.read.schema(RAW_SCHEMA).parquet(*rewritten)
+    else:
+        target = spark.createDataFrame([], RAW_SCHEMA)
     merged = merge(
         target.withColumn("source", F.lit(source)), rows.withColumn("source", F.lit(source))
     )
-    return tables.replace(merged.select(*RAW_SCHEMA.names), root)
+    placed = merged.select(*RAW_SCHEMA.names, bucket_of(F.col("source_id"), buckets).alias("bucket"))
+    version = tables.next_version(spark, root)
+    path = f"{root}/v={version}"
+    try:
+        # Rebalanced, so a bucket is a few files of good size however many tasks join.
+        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+    except Exception:
+        tables.discard(spark, path)
+        raise
+    own = [f"v={version}/{b}" for b in sorted(touched)]
+    taken_over = [p for p in known if p.split("/")[-1] not in touched]
+    tables.commit(spark, root, version, taken_over + own)
+    return version
 
 
 def read_raw(spark: SparkSession, table: str, sources: Iterable[str]) -> DataFrame:

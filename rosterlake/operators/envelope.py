@@ -8,18 +8,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterlake.operators.validate import sent
 from rosterlake.schemas import Field
 
 
 def _json_text(field: Field) -> Column:
-    """A typed value in the spelling a JSON payload uses."""
-    value = F.col(field.name)
-    if field.kind == "decimal":
-        return F.regexp_replace(value.cast("string"), r"\.?0+$", "")
-    if field.kind == "timestamp":
-        iso = F.translate(value.cast("string"), " ", "T")
-        return F.when(F.length(iso) > 19, F.rpad(iso, 26, "0")).otherwise(iso)
-    return value.cast("string")
+    """A value in the spelling a JSON payload uses: nothing the source sent is rounded."""
+    if field.kind in ("decimal", "timestamp"):
+        return F.col(sent(field.name))
+    return F.col(field.name).cast("string")
 
 
 def payload_struct(fields: Sequence[Field]) -> Column:

@@ -24,6 +24,21 @@ class InvalidBatch(ValueError):
     """A strict batch held at least one invalid record."""
 
 
+def sent(name: str) -> str:
+    """Column of a value as the source sent it, for kinds whose typed form loses some of it."""
+    return f"{name}__sent"
+
+
+def _as_sent(field: Field, text: Column, value: Column) -> Column:
+    """All digits of a number; a time in ISO spelling with its fraction and offset."""
+    if field.kind == "decimal":
+        return F.when(value.isNotNull(), strip(text))
+    iso = F.translate(text, "t_ z,", "TTTZ.")
+    day_only = F.concat(iso, F.lit("T00:00:00"))
+    minutes = F.regexp_replace(iso, r"^(.{13}:\d{2})([Z+-]|$)", "$1:00$2")
+    return F.when(value.isNotNull(), F.when(F.length(iso) == 10, day_only).otherwise(minutes))
+
+
 def _parsed(field: Field, text: Column) -> Column:
     """Typed value of a field, NULL when the text does not spell one."""
     if field.kind == "text":
@@ -38,8 +53,8 @@ def _parsed(field: Field, text: Column) -> Column:
 
 
 def validate(mapped: DataFrame, fields: Sequence[Field], keep: Iterable[str] = ()) -> DataFrame:
-    """Canonical typed columns plus ``errors``: a comma-separated ``field:reason`` per
-    broken rule, an empty text for a valid record.
+    """Canonical typed columns, numbers and times also as sent, plus ``errors``: a
+    comma-separated ``field:reason`` per broken rule, an empty text for a valid record.
 
     Reasons: ``missing`` (no such key), ``null``, ``type`` (not a JSON string),
     ``value`` (does not parse) and ``length``. Two narrow projections, so every
@@ -63,6 +78,8 @@ def validate(mapped: DataFrame, fields: Sequence[Field], keep: Iterable[str] = (
         kind, text = F.col(f"{f.name}__kind"), F.col(f"{f.name}__text")
         value = _parsed(f, text)
         typed.append(value.alias(f.name))
+        if f.kind in ("decimal", "timestamp"):
+            typed.append(_as_sent(f, text, value).alias(sent(f.name)))
         broken = []
         if f.required:
             broken += [(kind.isNull(), "missing"), (kind == "VOID", "null")]

@@ -13,7 +13,6 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from rosterlake.plans.daily import RunConfig, run_daily
-from rosterlake.schemas import DRIFT_SAMPLE
 
 
 def parse(args: list[str] | None = None) -> RunConfig:
@@ -23,7 +22,8 @@ def parse(args: list[str] | None = None) -> RunConfig:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="ISO date, today in UTC by default")
     parser.add_argument("--lenient", action="store_true", help="admit the valid records of a batch")
     parser.add_argument("--drift-raw", action="store_true", help="look for drift before mapping")
-    parser.add_argument("--drift-all", action="store_true", help="look at all records, not a sample")
+    parser.add_argument("--drift-sample", type=int, metavar="N", help="look at the first N records only")
+    parser.add_argument("--corrected", action="store_true", help="attrition by mean headcount, over all leavers")
     parser.add_argument("--publish", action="store_true", help="serve the models as catalog views")
     given = parser.parse_args(args)
     dumps: dict[str, dict[str, str]] = {}
@@ -41,7 +41,8 @@ def parse(args: list[str] | None = None) -> RunConfig:
         run_ts=now,
         strict=not given.lenient,
         drift_raw=given.drift_raw,
-        drift_sample=None if given.drift_all else DRIFT_SAMPLE,
+        drift_sample=given.drift_sample,
+        corrected=given.corrected,
         publish=given.publish,
     )
 

@@ -6,9 +6,9 @@ A spell is half-open: the hire day counts, the termination day does not.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions.dates import date_lit, history_start
@@ -26,16 +26,28 @@ def _clipped(employees: DataFrame, as_of: dt.date, years: int) -> DataFrame:
     )
 
 
-def active_days(employees: DataFrame, as_of: dt.date, years: int = HISTORY_YEARS) -> DataFrame:
-    """One row per employee and day employed, without a join or a shuffle.
+def active_totals(
+    employees: DataFrame, measures: Mapping[str, Column], least: Mapping[str, Column], as_of: dt.date,
+    years: int = HISTORY_YEARS,
+) -> DataFrame:
+    """Per day the employees employed, sums of ``measures`` and minima of ``least`` over them.
 
-    For row-level use; counting goes through :func:`headcount`.
+    Sums follow from the days on which they change, like a headcount. A minimum has no
+    inverse, so each day takes the least value per (first day, day after the last), of
+    which there are at most as many as pairs of days in the history, whatever the
+    number of employees.
     """
+    spells = _clipped(employees, as_of, years)
+    pairs = spells.groupBy("_from", "_until").agg(
+        F.count("*").alias("employees"),
+        *[F.sum(c).alias(n) for n, c in measures.items()],
+        *[F.min(c).alias(n) for n, c in least.items()],
+    )
     days = F.sequence("_from", F.date_sub("_until", 1), F.expr("interval 1 day"))
-    return (
-        _clipped(employees, as_of, years)
-        .withColumn("date", F.explode(days))
-        .drop("_from", "_until")
+    return pairs.withColumn("date", F.explode(days)).groupBy("date").agg(
+        F.sum("employees").alias("employees"),
+        *[F.sum(n).alias(n) for n in measures],
+        *[F.min(n).alias(n) for n in least],
     )
 
 

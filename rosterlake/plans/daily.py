@@ -16,13 +16,12 @@ from rosterlake.operators import drift as drift_ops
 from rosterlake.operators import tables
 from rosterlake.operators.envelope import payload_struct, to_envelope
 from rosterlake.operators.quality import gate
-from rosterlake.operators.upsert import read_raw, upsert
+from rosterlake.operators.upsert import read_raw, source_root, upsert
 from rosterlake.operators.validate import admit, valid_records, validate
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
 from rosterlake.schemas import (
     APPLICATION_SOURCES,
-    DRIFT_SAMPLE,
     EMPLOYEE_BASELINE,
     EMPLOYEE_FIELDS,
     EMPLOYEE_SOURCES,
@@ -51,8 +50,9 @@ class RunConfig:
     run_ts: dt.datetime
     strict: bool = True  # one invalid record refuses its source's batch
     drift_raw: bool = False  # look at records before mapping, so new fields show
-    drift_sample: int | None = DRIFT_SAMPLE  # None: all records
+    drift_sample: int | None = None  # look at the first n records only
     retention_days: int | None = RETENTION_DAYS
+    corrected: bool = False  # attrition by mean headcount, over all leavers
     publish: bool = False  # serve what was built as catalog views
 
     def raw(self, entity: str) -> str:
@@ -70,6 +70,11 @@ class RunConfig:
     def model(self, name: str) -> str:
         return f"{self.root}/analytics/{name}"
 
+    @property
+    def retention(self) -> int | None:
+        """The corrected rate needs everybody who left."""
+        return None if self.corrected else self.retention_days
+
     @property
     def drift_log(self) -> str:
         return f"{self.root}/raw/schema_drift_log"
@@ -102,10 +107,13 @@ def land(
     """Read, map and validate a dump once and write it to shared storage.
 
     Everything later reads the landed columns: the pages are parsed once, record
-    numbers stay fixed, and a lost executor does not send the job back to them.
+    numbers stay fixed, and a lost executor does not send the job back to them. Where
+    drift is looked for in the records as sent, they are landed as well.
     """
-    mapped = source.mapping(entity)(source.read(spark, path), RECORD_ORDER)
-    checked = validate(mapped, ENTITY_FIELDS[entity], RECORD_ORDER)
+    raw = cfg.drift_raw and (source.name, entity) == (WORKDAY.name, "employees")
+    kept = [*RECORD_ORDER, "record"] if raw else list(RECORD_ORDER)
+    mapped = source.mapping(entity)(source.read(spark, path), kept)
+    checked = validate(mapped, ENTITY_FIELDS[entity], kept)
     target = cfg.landing(entity, source.name, batch_id)
     # Folders of a batch belong to the batch, so a rerun after a crash replaces them.
     checked.write.mode("overwrite").parquet(target)
@@ -133,7 +141,8 @@ def extract(spark: SparkSession, cfg: RunConfig, source: Source, batch_id: str)
             batch = to_envelope(
                 valid, ENTITY_FIELDS[entity], source.name, batch_id, cfg.run_ts, RECORD_ORDER
             )
-            written.append(upsert(spark, cfg.raw(entity), batch, source.name, RECORD_ORDER))
+            version = upsert(spark, cfg.raw(entity), batch, source.name, RECORD_ORDER)
+            written.append(f"{source_root(cfg.raw(entity), source.name)}/v={version}")
     except Exception:
         for path in written:
             tables.discard(spark, path)
@@ -148,27 +157,22 @@ def extract_optional(
     try:
         return extract(spark, cfg, source, batch_id)
     except Exception as exc:  # noqa: BLE001 - whatever it is, the core sources go on
-        log.warning("%s extract skipped: %s", source.name, exc)
+        log.warning("going on without source %s: %s", source.name, exc)
         return SourceStats(source.name, 0, skipped=True, error=str(exc))
 
 
 def worker_drift(spark: SparkSession, cfg: RunConfig, batch_id: str) -> DataFrame:
-    """Drift events of the worker dump, on raw or on canonical records."""
-    path, n = cfg.dumps[WORKDAY.name]["employees"], cfg.drift_sample
-    if cfg.drift_raw or n is not None:
-        source = WORKDAY.read(spark, path) if n is None else first_records(spark, WORKDAY.read, path, n)
+    """Drift events of the landed worker batch, of records as sent or canonical."""
+    landed = spark.read.parquet(cfg.landing("employees", WORKDAY.name, batch_id))
+    if cfg.drift_sample is not None:
+        landed = first_records(landed, cfg.drift_sample)
     if cfg.drift_raw:
-        observed = drift_ops.infer_schema(source, RECORD_ORDER)
+        observed = drift_ops.infer_schema(landed.select(*RECORD_ORDER, "record"), RECORD_ORDER)
         baseline = drift_ops.native_names(EMPLOYEE_BASELINE, WORKER_FIELD_MAP)
         return drift_ops.detect_drift(
             observed, baseline, drift_ops.native_pii(PII_FIELDS, WORKER_FIELD_MAP)
         )
-    if n is None:
-        canonical = spark.read.parquet(cfg.landing("employees", WORKDAY.name, batch_id))
-    else:
-        mapped = WORKDAY.mapping("employees")(source, RECORD_ORDER)
-        canonical = validate(mapped, EMPLOYEE_FIELDS, RECORD_ORDER)
-    observed = drift_ops.infer_schema(canonical_records(canonical), RECORD_ORDER)
+    observed = drift_ops.infer_schema(canonical_records(landed), RECORD_ORDER)
     return drift_ops.detect_drift(observed, EMPLOYEE_BASELINE, PII_FIELDS)
 
 
@@ -189,29 +193,27 @@ def build_models(spark: SparkSession, cfg: RunConfig) -> dict[str, list]:
         return frame, gate(frame, CHECKS[name])
 
     def built(name: str, frame: DataFrame) -> tuple[DataFrame, list]:
-        table = tables.materialize(frame, cfg.model(name))
-        passed = gate(table, CHECKS[name])
+        # Checked before it becomes the table: a failed run leaves the last good version.
+        passed = tables.replace(frame, cfg.model(name), lambda written: gate(written, CHECKS[name]))
         if cfg.publish:
             numerics = SERVED_NUMERICS.get(name, ())
             tables.publish(spark, "analytics", name, cfg.model(name), numerics)
-        return table, passed
+        return tables.read(spark, cfg.model(name)), passed
 
     def employee_models() -> dict[str, list]:
         done = {}
         raw = read_raw(spark, cfg.raw("employees"), EMPLOYEE_SOURCES)
         staged, done["stg_employees"] = view(
-            "stg_employees", staging.stg_employees(raw, cfg.as_of, cfg.retention_days)
+            "stg_employees", staging.stg_employees(raw, cfg.as_of, cfg.retention)
         )
         run_ts = F.lit(cfg.run_ts).cast("timestamp")
         employees, done["dim_employees"] = built(
             "dim_employees", marts.dim_employees(staged, run_ts)
         )
-        daily, done["fct_headcount_daily"] = built(
-            "fct_headcount_daily", marts.fct_headcount_daily(employees, cfg.as_of)
-        )
-        _, done["fct_attrition_monthly"] = built(
-            "fct_attrition_monthly", marts.fct_attrition_monthly(employees, daily, cfg.as_of)
-        )
+        daily = marts.fct_headcount_daily(employees, cfg.as_of)
+        _, done["fct_headcount_daily"] = built("fct_headcount_daily", daily)
+        attrition = marts.fct_attrition_monthly(employees, cfg.as_of, cfg.corrected)
+        _, done["fct_attrition_monthly"] = built("fct_attrition_monthly", attrition)
         return done
 
     def application_models() -> dict[str, list]:
@@ -230,9 +232,22 @@ def build_models(spark: SparkSession, cfg: RunConfig) -> dict[str, list]:
     return {name: passed for branch in branches for name, passed in branch.result().items()}
 
 
+def check_config(cfg: RunConfig) -> None:
+    """Refuse a run that cannot end well before anything is landed."""
+    for name, dumps in cfg.dumps.items():
+        if name not in SOURCES:
+            raise ValueError(f"unknown source {name}")
+        for entity in dumps:
+            SOURCES[name].mapping(entity)
+    for source in SOURCES.values():
+        if not source.optional and not cfg.dumps.get(source.name):
+            raise ValueError(f"no dump configured for {source.name}")
+
+
 def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None) -> RunResult:
     """The whole run in its fixed order."""
     configure(spark)
+    check_config(cfg)
     batch_id = batch_id or str(uuid.uuid4())
     result = RunResult()
 
@@ -244,12 +259,15 @@ def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None)
         # Sources do not depend on each other, so their jobs share the cluster.
         with ThreadPoolExecutor(len(SOURCES)) as pool:
             result.stats = list(pool.map(load, SOURCES.values()))
+        # At most a row per field name ever seen; kept so that drift is computed once.
         events = worker_drift(spark, cfg, batch_id).persist()
-        if drift_ops.append_log(events, WORKDAY.name, cfg.run_ts, cfg.drift_log):
-            result.drift_events = events.count()
+        try:
+            if drift_ops.append_log(events, WORKDAY.name, cfg.run_ts, cfg.drift_log):
+                result.drift_events = events.count()
+            alert = drift_ops.pii_alert(events).first()
+        finally:
+            events.unpersist()
         result.checks = build_models(spark, cfg)
-        alert = drift_ops.pii_alert(events).first()
-        events.unpersist()
     finally:
         tables.discard(spark, cfg.batch(batch_id))
     if alert is not None:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from rosterlake.functions.dates import (
     date_lit,
     history_start,
-    month_spine,
     month_start,
     year_month,
 )
@@ -22,6 +21,10 @@ from rosterlake.operators.intervals import headcount
 from rosterlake.schemas import NUMERIC, ROLLING_MONTHS, SENSITIVE_FIELDS
 
 HEADCOUNT_KEYS = ("department", "level", "employment_type")
+MONTHLY = (
+    "month_start", "headcount_sum", "cells",
+    "voluntary_terminations", "involuntary_terminations", "total_terminations",
+)
 
 
 def without_sensitive(df: DataFrame) -> DataFrame:
@@ -85,13 +88,83 @@ def monthly_headcount(daily: DataFrame) -> DataFrame:
     )
 
 
-def monthly_department_total(daily: DataFrame, as_of: dt.date) -> DataFrame:
-    """Like :func:`monthly_headcount` with the days of the month on the spine as
-    divisor: their quotient is the mean daily headcount of the department."""
-    summed = monthly_headcount(daily)
-    from_day = F.greatest(F.col("month_start"), history_start(as_of))
-    to_day = F.least(F.last_day("month_start"), date_lit(as_of))
-    return summed.withColumn("cells", (F.datediff(to_day, from_day) + 1).cast("bigint"))
+def month_days(month: Column, as_of: dt.date) -> Column:
+    """Days of the month that are on the day spine."""
+    from_day = F.greatest(month, history_start(as_of))
+    to_day = F.least(F.last_day(month), date_lit(as_of))
+    return (F.datediff(to_day, from_day) + 1).cast("bigint")
+
+
+def monthly_balance(employees: DataFrame, as_of: dt.date) -> DataFrame:
+    """Per month and department the sum and number of headcount cells and the terminations.
+
+    One pass over the employees: each gives the days on which a count changes and the
+    day of the termination, which are summed before the shuffle to at most one row per
+    task, key and day. The running counts are cut at month ends instead of being spread
+    over days, and meet the terminations in one aggregate. Months without a headcount
+    are no rows; terminations without a department count nowhere.
+    """
+    first_month, after_end = F.trunc(history_start(as_of), "MM"), F.date_add(date_lit(as_of), 1)
+    start, until = F.greatest("hire_date", history_start(as_of)), F.least(
+        F.coalesce("termination_date", after_end), after_end
+    )
+    left = F.col("termination_date")
+    voluntary = is_voluntary(F.col("employee_id"))
+
+    def event(day, delta, yes=F.lit(0), no=F.lit(0), total=F.lit(0)):
+        return F.struct(
+            day.alias("day"), delta.alias("delta"), yes.alias("yes"), no.alias("no"), total.alias("total")
+        )
+
+    spell = F.col("hire_date").isNotNull() & (start < until)
+    counted = left.isNotNull() & left.between(first_month, F.last_day(date_lit(as_of)))
+    chosen = F.coalesce(voluntary, F.lit(False)).cast("int")
+    other = F.coalesce(~voluntary, F.lit(False)).cast("int")
+    events = F.array_compact(
+        F.array(
+            F.when(spell, event(start, F.lit(1))),
+            F.when(spell, event(until, F.lit(-1))),
+            F.when(counted, event(left, F.lit(0), chosen, other, F.lit(1))),
+        )
+    )
+    sums = ("delta", "yes", "no", "total")
+    daily = (
+        employees.select(*HEADCOUNT_KEYS, F.explode(events).alias("e"))
+        .groupBy(*HEADCOUNT_KEYS, F.col("e.day").alias("day"))
+        .agg(*[F.sum(f"e.{c}").alias(c) for c in sums])
+    )
+    by_day = Window.partitionBy(*HEADCOUNT_KEYS).orderBy("day")
+    runs = daily.select(
+        "department",
+        "day",
+        *sums[1:],
+        F.sum("delta").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("count"),
+        F.coalesce(F.lead("day").over(by_day), F.col("day")).alias("next"),
+    )
+    zero = F.lit(0).cast("bigint")
+
+    def part(month, headcount, cells, yes=zero, no=zero, total=zero):
+        named = zip((month, headcount, cells, yes, no, total), MONTHLY)
+        return F.struct(*[c.alias(n) for c, n in named])
+
+    def month_of_run(m):
+        days = F.datediff(F.least("next", F.add_months(m, 1)), F.greatest("day", m)).cast("bigint")
+        return part(m, F.col("count") * days, days)
+
+    months = F.sequence(F.trunc("day", "MM"), F.trunc(F.date_sub("next", 1), "MM"), F.expr("interval 1 month"))
+    running = F.when((F.col("count") > 0) & (F.col("day") < F.col("next")), F.transform(months, month_of_run))
+    ended = F.when(
+        F.col("department").isNotNull() & (F.col("total") > 0),
+        F.array(part(F.trunc("day", "MM"), zero, zero, *[F.col(c) for c in sums[1:]])),
+    )
+    none = F.array_compact(F.array(F.when(F.lit(False), part(F.trunc("day", "MM"), zero, zero))))
+    parts = F.concat(F.coalesce(running, none), F.coalesce(ended, none))
+    grouped = (
+        runs.select("department", F.explode(parts).alias("p"))
+        .groupBy(F.col("p.month_start").alias("month_start"), "department")
+        .agg(*[F.sum(f"p.{c}").alias(c) for c in MONTHLY[1:]])
+    )
+    return grouped.where("cells > 0")
 
 
 def on_month_spine(months: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -100,16 +173,6 @@ def on_month_spine(months: DataFrame, monthly: DataFrame) -> DataFrame:
     return monthly.join(F.broadcast(months), "month_start")
 
 
-def with_terminations(spine: DataFrame, terminations: DataFrame) -> DataFrame:
-    """Termination counts next to the spine, zero where there are none; a NULL
-    department matches nothing."""
-    counts = ("voluntary_terminations", "involuntary_terminations", "total_terminations")
-    joined = spine.join(terminations, ["month_start", "department"], "left")
-    return joined.select(
-        *spine.columns, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts]
-    )
-
-
 def rolling_mean(rate: str) -> Column:
     """Mean of up to twelve rows per department, in the integer unit of ``rate``."""
     rows = (
@@ -121,7 +184,7 @@ def rolling_mean(rate: str) -> Column:
 
 
 def fct_attrition_monthly(
-    employees: DataFrame, daily: DataFrame, as_of: dt.date, corrected: bool = False
+    employees: DataFrame, as_of: dt.date, corrected: bool = False
 ) -> DataFrame:
     """Monthly terminations and attrition rates by department.
 
@@ -129,11 +192,11 @@ def fct_attrition_monthly(
     the mean daily headcount of the department; give it employees staged
     without the retention cut.
     """
-    monthly = monthly_department_total(daily, as_of) if corrected else monthly_headcount(daily)
-    spine = on_month_spine(month_spine(employees.sparkSession, as_of), monthly)
-    combined = with_terminations(spine, monthly_terminations(employees))
+    monthly = monthly_balance(employees, as_of)
+    if corrected:
+        monthly = monthly.withColumn("cells", month_days(F.col("month_start"), as_of))
     total, summed, cells = (F.col(c) for c in ("total_terminations", "headcount_sum", "cells"))
-    rates = combined.withColumn(
+    rates = monthly.withColumn(
         "rate_hundredths",
         F.when(summed > 0, rounded_quotient(10000 * total * cells, summed)).otherwise(0),
     )

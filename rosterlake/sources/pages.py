@@ -4,17 +4,17 @@ A page is one JSON body ``{"data": [...], "_links": {...}}`` and takes one line
 of a text file (or a whole file). Every record comes out as a VARIANT with its
 place in the source: ``(src_file, src_block, src_row)``. Rows of one file split
 stay in one task and in order, so the triple sorts records as the source sent
-them without any global numbering job. Zero-pad page file names, since files
-are ordered by path.
+them without any global numbering job. ``src_file`` is a path whose last number is
+padded, so ``page-10`` comes after ``page-2``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.session import configure
-
 RECORD_ORDER = ("src_file", "src_block", "src_row")
 RECORD_COLUMNS = "src_file string, src_block bigint, src_row bigint, record variant"
 
@@ -26,10 +26,21 @@ def page_records(pages: DataFrame, page: str = "page") -> DataFrame:
     return pages.select(*kept, F.posexplode(data).alias("pos", "record"))
 
 
+def file_order(path: Column) -> Column:
+    """Text that sorts files by path, the last number of a file name by its value."""
+    number = r"^(.*?)([0-9]+)([^0-9/]*)$"
+    padded = F.concat(
+        F.regexp_extract(path, number, 1),
+        F.lpad(F.regexp_extract(path, number, 2), 20, "0"),
+        F.regexp_extract(path, number, 3),
+    )
+    return F.when(path.rlike(number), padded).otherwise(path)
+
+
 def _page_lines(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
     lines = spark.read.text(path, wholetext=whole_files)
     return lines.select(
-        F.col("_metadata.file_path").alias("src_file"),
+        file_order(F.col("_metadata.file_path")).alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         "value",
     ).where(F.length(F.trim("value")) > 0)
@@ -43,7 +54,6 @@ def _numbered(records: DataFrame, record: Column) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
     """Records of all pages below ``path``. A body that is not JSON fails the job."""
-    configure(spark)
     lines = _page_lines(spark, path, whole_files)
     parsed = lines.select("src_file", "src_block", F.parse_json("value").alias("page"))
     return _numbered(page_records(parsed), F.col("record"))
@@ -56,7 +66,6 @@ def unwrap_fields(row: Column) -> Column:
 
 def read_wrapped(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
     """Records of rows that arrive as ``{"fields": {...}}``, one row per line."""
-    configure(spark)
     lines = _page_lines(spark, path, whole_files)
     parsed = lines.select("src_file", "src_block", F.parse_json("value").alias("row"))
     return _numbered(parsed, unwrap_fields(F.col("row")))
@@ -67,18 +76,6 @@ def no_records(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RECORD_COLUMNS)
 
 
-def first_records(spark: SparkSession, reader, path: str | list[str], n: int) -> DataFrame:
-    """The first ``n`` records in source order, reading no more files than needed.
-
-    Files are tried from the front, twice as many each time, so a sample of a
-    very large dump touches its first pages only.
-    """
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        return reader(spark, path).limit(0)
-    taken = 1
-    while True:
-        head = reader(spark, files[:taken]).orderBy(*RECORD_ORDER).limit(n)
-        if taken >= len(files) or head.count() >= n:
-            return head
-        taken = min(2 * taken, len(files))
+def first_records(records: DataFrame, n: int, order: Sequence[str] = RECORD_ORDER) -> DataFrame:
+    """The first ``n`` records in source order. Each task keeps its own first ``n``."""
+    return records.orderBy(*order).limit(n)

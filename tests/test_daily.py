@@ -65,10 +65,42 @@ def test_ssn_shows_in_raw_mode_only(spark, folder):
         spark.sql(f"drop view analytics.{name}")
 
 
-def test_drift_over_all_records(spark, folder):
-    workers = [worker(i) for i in range(60)]
-    cfg = config(folder, workers, [application(1)], drift_sample=None)
-    assert run_daily(spark, cfg).drift_events == 4
+def test_drift_finds_a_late_field(spark, folder):
+    workers = [worker(i, **({"ssn": "000"} if i == 59 else {})) for i in range(60)]
+    cfg = config(folder, workers, [application(1)], drift_raw=True)
+    assert "ssn" in run_daily(spark, cfg).alert
+    sampled = RunConfig(f"{folder}/sampled", cfg.dumps, AS_OF, RUN_TS, drift_raw=True, drift_sample=50)
+    assert "ssn" not in run_daily(spark, sampled).alert
+
+
+def test_failed_checks_keep_the_published_version(spark, folder):
+    cfg = config(folder, [worker(1)], [application(1)], publish=True)
+    run_daily(spark, cfg)
+    for n in range(3):
+        bad = [worker(1), worker(2, Management_Level="X9")]
+        dumps = {**cfg.dumps, "workday": {"employees": write_pages(folder, f"bad{n}", [bad])}}
+        with pytest.raises(QualityError):
+            run_daily(spark, RunConfig(cfg.root, dumps, AS_OF, RUN_TS, publish=True))
+        assert spark.table("analytics.dim_employees").count() == 1
+        assert tables.read(spark, cfg.model("dim_employees")).count() == 1
+    for name in ("dim_employees", "fct_headcount_daily", "fct_attrition_monthly", "rpt_recruiting_funnel"):
+        spark.sql(f"drop view analytics.{name}")
+
+
+def test_corrected_run_counts_everybody_who_left(spark, folder):
+    left = worker(2, Hire_Date="2022-01-01", Termination_Date="2023-06-15")
+    cfg = config(folder, [worker(1), left], [application(1)], corrected=True)
+    run_daily(spark, cfg)
+    rows = tables.read(spark, cfg.model("fct_attrition_monthly")).where("year_month = '2023-06'").collect()
+    assert [r.total_terminations for r in rows] == [1]
+
+
+def test_unknown_entity_is_refused_before_anything_lands(spark, folder):
+    cfg = config(folder, [worker(1)], [application(1)])
+    dumps = {**cfg.dumps, "greenhouse": {**cfg.dumps["greenhouse"], "employees": folder}}
+    with pytest.raises(NotImplementedError):
+        run_daily(spark, RunConfig(cfg.root, dumps, AS_OF, RUN_TS))
+    assert not os.path.exists(cfg.root)
 
 
 def test_optional_source_lands_both_entities(spark, folder):
@@ -143,9 +175,9 @@ def test_core_source_must_be_configured(spark, folder):
 def test_command_line():
     cfg = parse(
         ["--root", "r", "--dump", "workday/employees=a=b", "--dump", "airtable/employees=c",
-         "--as-of", "2024-03-15", "--lenient", "--drift-all"]
+         "--as-of", "2024-03-15", "--lenient", "--corrected"]
     )
     assert cfg.dumps == {"workday": {"employees": "a=b"}, "airtable": {"employees": "c"}}
-    assert (cfg.as_of, cfg.strict, cfg.drift_sample, cfg.publish) == (AS_OF, False, None, False)
+    assert (cfg.as_of, cfg.strict, cfg.drift_sample, cfg.publish) == (AS_OF, False, None, False) and cfg.corrected
     with pytest.raises(SystemExit):
         parse(["--root", "r", "--dump", "workday=a"])

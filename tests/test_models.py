@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterlake.functions import dates, values
 from rosterlake.functions.exact import rounded_quotient
 from rosterlake.operators import quality
-from rosterlake.operators.intervals import active_days, headcount
+from rosterlake.operators.intervals import active_totals, headcount
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
 from tests.conftest import AS_OF
@@ -106,8 +106,12 @@ def test_missing_name_part_gives_no_name(spark):
 
 def test_spell_is_half_open(spark):
     hire, end = AS_OF - 10 * DAY, AS_OF - 7 * DAY
-    days = active_days(people(spark, [("a", "D", hire, end)]), AS_OF).collect()
-    assert sorted(r.date for r in days) == [hire, hire + DAY, hire + 2 * DAY]
+    rows = [("a", "D", hire, end), ("b", "D", hire + DAY, hire + 2 * DAY)]
+    least = {"first": F.col("employee_id")}
+    days = active_totals(people(spark, rows), {}, least, AS_OF).orderBy("date").collect()
+    assert [(r.date, r.employees, r.first) for r in days] == [
+        (hire, 1, "a"), (hire + DAY, 2, "a"), (hire + 2 * DAY, 1, "a"),
+    ]
 
 
 @pytest.mark.parametrize(
@@ -129,7 +133,7 @@ def test_headcount_edges(spark, hire, end, expected):
     frame = people(spark, [("a", "D", hire, end)])
     counted = headcount(frame, marts.HEADCOUNT_KEYS, AS_OF)
     assert counted.agg(F.coalesce(F.sum("headcount"), F.lit(0)).alias("n")).first().n == expected
-    assert active_days(frame, AS_OF).count() == expected
+    assert active_totals(frame, {}, {}, AS_OF).count() == expected
 
 
 def test_headcount_equals_the_join_on_random_spells(spark):
@@ -169,8 +173,7 @@ def test_leap_day_history_starts_on_28_february(spark):
 
 def attrition(spark, rows, **kwargs):
     frame = people(spark, rows)
-    daily = marts.fct_headcount_daily(frame, AS_OF)
-    found = marts.fct_attrition_monthly(frame, daily, AS_OF, **kwargs).collect()
+    found = marts.fct_attrition_monthly(frame, AS_OF, **kwargs).collect()
     return {(r.year_month, r.department): r for r in found}
 
 
@@ -188,9 +191,8 @@ def test_attrition_of_one_month(spark):
 def test_average_is_over_cells_unless_corrected(spark):
     rows = [("a", "D", dt.date(2020, 1, 1), None), ("b", "D", dt.date(2020, 1, 1), None)]
     frame = people(spark, rows).withColumn("level", F.col("employee_id"))
-    daily = marts.fct_headcount_daily(frame, AS_OF)
-    plain = marts.fct_attrition_monthly(frame, daily, AS_OF).first()
-    fixed = marts.fct_attrition_monthly(frame, daily, AS_OF, corrected=True).first()
+    plain = marts.fct_attrition_monthly(frame, AS_OF).first()
+    fixed = marts.fct_attrition_monthly(frame, AS_OF, corrected=True).first()
     assert (plain.avg_headcount, fixed.avg_headcount) == (1.0, 2.0)
 
 

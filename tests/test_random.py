@@ -105,7 +105,7 @@ def test_attrition(spark, seed):
     daily = marts.fct_headcount_daily(frame, AS_OF)
     counted = {(r.date, r.department, r.level, r.employment_type): r.headcount for r in daily.collect()}
     assert counted == dict(cells)
-    found = marts.fct_attrition_monthly(frame, daily, AS_OF).collect()
+    found = marts.fct_attrition_monthly(frame, AS_OF).collect()
     assert {tuple(r) for r in found} == want
 
 

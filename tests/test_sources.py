@@ -55,12 +55,21 @@ def test_wrapped_rows(spark, tmp_path):
     assert [r.j for r in bodies.collect()] == ['{"source_id":"a"}', "{}"]
 
 
-def test_sample_reads_front_files_only(spark, folder):
+def test_sample_takes_the_front(spark, folder):
     path = write_pages(folder, "w", [[worker(i) for i in range(p * 4, p * 4 + 4)] for p in range(8)])
-    sample = first_records(spark, read_pages, path, 6)
-    assert ids(sample) == [f"w-{i}" for i in range(6)]
-    assert {f.rsplit("/", 1)[1] for f in sample.inputFiles()} == {"page-0000.json", "page-0001.json"}
-    assert first_records(spark, read_pages, path, 500).count() == 32
+    records = read_pages(spark, path)
+    assert ids(first_records(records, 6)) == [f"w-{i}" for i in range(6)]
+    assert first_records(records, 500).count() == 32
+
+
+def test_page_numbers_sort_by_value_in_a_path_with_blanks(spark, tmp_path):
+    folder = tmp_path / "a dump #1"
+    folder.mkdir()
+    for n in (1, 2, 10, 9):
+        (folder / f"page-{n}.json").write_text(json.dumps({"data": [worker(n)]}))
+    records = read_pages(spark, str(folder))
+    assert ids(records) == ["w-1", "w-2", "w-9", "w-10"]
+    assert ids(first_records(records, 2)) == ["w-1", "w-2"]
 
 
 def test_unconfigured_source_is_empty(spark):

@@ -14,18 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input too small to fill them with file splits.
-
-    A large table has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Recipe ``name`` over the tables of ``sf_dir``."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     orders.createOrReplaceTempView("rosterlake_orders")
     for other in ("customer", "region"):
         table(spark, sf_dir, other).createOrReplaceTempView(f"rosterlake_{other}")

@@ -3,15 +3,27 @@ extraction and literal definitions instead of the rewrites the jobs use."""
 
 from __future__ import annotations
 
-from rosterlake.schemas import (
-    APPLICATION_STATUS_STAGE,
-    EMPLOYEE_BASELINE,
-    LEVELS,
-    PII_FIELDS,
-    WORKER_FIELD_MAP,
-)
 from workloads.recipes import AS_OF, BATCH_ID, ctes
 
+# Spelled out here, so that a wrong value in the library shows.
+WORKER_FIELD_MAP = {
+    "Worker_ID": "source_id", "Legal_First_Name": "first_name", "Legal_Last_Name": "last_name",
+    "Work_Email": "email", "Cost_Center": "department", "Job_Title": "job_title",
+    "Hire_Date": "hire_date", "Termination_Date": "termination_date",
+    "Worker_Type": "employment_type", "Management_Level": "level", "Location": "location",
+    "Manager_ID": "manager_id", "Base_Pay": "salary", "Performance_Rating": "performance_rating",
+}
+APPLICATION_STATUS_STAGE = {
+    "active": "applied", "submitted": "applied", "phone_screen": "phone_screen",
+    "interviewing": "interview", "offer_extended": "offer", "hired": "hired", "rejected": "rejected",
+}
+EMPLOYEE_BASELINE = dict.fromkeys(
+    ("source_id", "first_name", "last_name", "email", "department", "job_title", "hire_date",
+     "employment_type", "level", "location"), "str",
+)
+LEVELS = ("IC1", "IC2", "IC3", "IC4", "IC5", "IC6", "M1", "M2", "M3", "M4", "M5")
+PII_FIELDS = ("email", "first_name", "last_name", "salary", "performance_rating", "ssn")
+
 DAY = f"date '{AS_OF}'"
 START = f"cast({DAY} - interval '2 years' as date)"
 RUN = "timestamp '2001-08-01 06:00:00'"
@@ -175,6 +187,12 @@ def canonical_worker(name: str) -> str:
     return strip(raw) if name in STRING_FIELDS else raw
 
 
+def typed_worker(name: str) -> str:
+    kind = {"hire_date": "date", "termination_date": "date", "salary": "decimal(38,6)"}.get(name)
+    value = canonical_worker(name)
+    return f"try_cast({value} as {kind})" if kind else value
+
+
 ENVELOPE_ORDER = (
     "source_id", "first_name", "last_name", "email", "department", "job_title", "hire_date",
     "termination_date", "manager_id", "employment_type", "level", "location", "salary",
@@ -311,18 +329,60 @@ NATIVE_APPS = ctes("native_applications", "duckdb")
 WRAPPED = ctes("wrapped_employees", "duckdb")
 WITHOUT_IDS = "blank_ids as (select * replace (case when k % 1009 <> 0 then employee_id end as employee_id) from emp)"
 
-ORACLE: dict[str, str] = {
-    "scan_pages": f"with {WORKERS} select "
-    + ", ".join(
-        f"{text('payload', n)} {n.lower()}"
-        for n in ("Worker_ID", "Cost_Center", "Hire_Date", "Termination_Date", "Base_Pay", "ssn")
+# What a run lands: valid records of the dumps of all sources, loaded at the same time.
+WRAPPED_FIELDS = ", ".join(
+    f"'{n}', "
+    + (
+        f"coalesce(json_extract_string(page_row, '$.fields.{n}'), 'full_time')"
+        if n == "employment_type"
+        else f"json_extract_string(page_row, '$.fields.{n}')"
     )
-    + " from native_workers",
-    "scan_wrapped": f"with {WRAPPED} select "
-    + ", ".join(
-        f"json_extract_string(page_row, '$.fields.{n}') {n}"
-        for n in ("source_id", "department", "hire_date", "termination_date", "employment_type")
+    for n in ENVELOPE_ORDER
+)
+RUN_RAW = f"""{WORKERS},
+{WRAPPED.removeprefix(EMP).lstrip(",").strip()},
+raw_employees as (
+  select 'workday' source, {CANONICAL_JSON} payload, {RUN} ingested_at from native_workers
+  union all
+  select 'airtable', json_object({WRAPPED_FIELDS}), {RUN} from wrapped_employees
+  where json_exists(page_row, '$.fields')
+    and coalesce(json_type(page_row, '$.fields.employment_type'), 'VARCHAR') <> 'NULL')"""
+RUN_EMPLOYEES = f"{RUN_RAW},\n{STG_EMPLOYEES},\n{dim('dim_employees', 'stg_employees')}"
+RUN_DAILY = f"{RUN_EMPLOYEES},\n{headcount('fct_headcount_daily', 'dim_employees')}"
+RUN_ATTRITION = f"{RUN_DAILY},\n{MONTHS},\n{MONTHLY},\n{ON_SPINE},\n{MONTHLY_TERMS},\n{COMBINED},\n{ATTRITION}"
+APPLICATION_JSON = "json_object({})".format(
+    ", ".join(
+        f"'{d}', {e}"
+        for d, e in {
+            "source_id": text("payload", "id"),
+            **{c: strip(text("payload", c)) for c in ("candidate_id", "job_id", "job_title", "department", "recruiter_id")},
+            "applied_at": text("payload", "applied_at"),
+            "stage": APPLICATION_STAGE,
+            "stage_changed_at": CHANGED,
+        }.items()
     )
+)
+RUN_FUNNEL = f"""{NATIVE_APPS},
+raw_applications as (
+  select 'greenhouse' source, {APPLICATION_JSON} payload from native_applications
+  where coalesce(json_type(payload, '$.last_activity_at'), 'VARCHAR') <> 'NULL'),
+{STG_APPLICATIONS},
+{FUNNEL}"""
+RUN_DRIFT = (
+    f"{WORKERS},\ncanonical as (select k, {CANONICAL_JSON} body from native_workers),\n"
+    f"{TYPES.format(records='canonical', payload='body')},\n{baseline(EMPLOYEE_BASELINE)},\n{events(PII_FIELDS)}"
+)
+LATE_DRIFT = (
+    f"{ctes('late_workers', 'duckdb')},\n{TYPES.format(records='late_workers', payload='payload')},\n"
+    f"{baseline(NATIVE_BASELINE)},\n{events(NATIVE_PII)}"
+)
+
+ORACLE: dict[str, str] = {
+    "scan_pages": f"with {WORKERS} select row_number() over (order by k) place, "
+    + ", ".join(f"{text('payload', n)} {n.lower()}" for n in (*WORKER_FIELD_MAP, "ssn"))
+    + " from native_workers",
+    "scan_wrapped": f"with {WRAPPED} select row_number() over (order by k) place, "
+    + ", ".join(f"json_extract_string(page_row, '$.fields.{n}') {n}" for n in ENVELOPE_ORDER)
     + " from wrapped_employees",
     "scan_optional_missing": f"with {WORKERS} select 'workday' source, count(*) n_records from native_workers",
     "envelope": f"""with {WORKERS} select 'workday' source, {canonical_worker('source_id')} source_id,
@@ -356,9 +416,8 @@ ORACLE: dict[str, str] = {
           coalesce(t = 'NULL', false) explicit_null from found""",
     "strip_strings": f"select c_custkey, {strip('padded')} c_name from"
     " (select c_custkey, chr(9)||' '||c_name||' '||chr(160)||chr(10) padded from customer)",
-    "validate_records": f"""with {DIRTY} select k, {canonical_worker('source_id')} source_id,
-        {canonical_worker('first_name')} first_name,
-        try_cast({text('payload', 'Hire_Date')} as date) hire_date, {WORKER_ERRORS} errors
+    "validate_records": f"""with {DIRTY} select k,
+        {', '.join(f"{typed_worker(n)} {n}" for n in ENVELOPE_ORDER)}, {WORKER_ERRORS} errors
         from dirty_workers""",
     "validate_summary": f"""with {DIRTY} select count(*) records,
         count(*) filter (where {WORKER_ERRORS} <> '') invalid from dirty_workers""",
@@ -398,7 +457,7 @@ ORACLE: dict[str, str] = {
         order by department nulls last, year_month nulls last""",
     "preview_limit": f"""with {ALL_FUNNEL} select * from rpt_recruiting_funnel
         order by year_month nulls last, job_id nulls last limit 10""",
-    "drift_sample": f"""with {WORKERS} select k, {text('payload', 'Worker_ID')} worker_id
+    "drift_sample": f"""with {WORKERS} select {text('payload', 'Worker_ID')} worker_id
         from native_workers order by k limit 50""",
     "full_name": f"""with {RAW_EMP}, {STG_EMPLOYEES} select employee_id, source_system,
         first_name || ' ' || last_name full_name from flat_employees""",
@@ -463,10 +522,23 @@ ORACLE: dict[str, str] = {
                 from (select unnest(generate_series({START}, {DAY}, interval '1 day')) d) group by 1) n
             using (month_start)),
         {ON_SPINE}, {MONTHLY_TERMS}, {COMBINED}, {ATTRITION} select * from fct_attrition_monthly""",
-    "run_stats": f"""with {WORKERS}, {NATIVE_APPS}
-        select 'workday' source, count(*) rows, false skipped, cast(null as varchar) error
-        from native_workers
-        union all select 'greenhouse', count(*) filter (where json_type(payload, '$.last_activity_at')
-          is distinct from 'NULL'), false, null from native_applications
-        union all select 'airtable', 0, true, null""",
+    "run_stats": f"""with {RUN_RAW}, {NATIVE_APPS}
+        select 'greenhouse' source, count(*) filter (where json_type(payload, '$.last_activity_at')
+          is distinct from 'NULL') rows, false skipped, cast(null as varchar) error from native_applications
+        union all select source, count(*), false, null from raw_employees group by source""",
+    "envelope_offsets": f"""with {ctes('offset_applications', 'duckdb')} select k,
+        {text('payload', 'applied_at')} applied_at, {APPLICATION_STAGE} stage from offset_applications""",
+    "upsert_two_batches": f"""with {WORKERS} select 'workday' source, 'E'||k source_id,
+        case when k % 2 = 0 then '{BATCH_ID[:-1]}2' else '{BATCH_ID}' end batch_id,
+        case when k % 2 = 0 then 'Lead' else {canonical_worker('job_title')} end job_title, true id_kept
+        from native_workers where k % 3 <> 0 or k % 2 = 0""",
+    "run_dim_employees": f"with {RUN_EMPLOYEES} select * from dim_employees",
+    "run_attrition": f"with {RUN_ATTRITION} select * from fct_attrition_monthly",
+    "run_headcount": f"with {RUN_DAILY} select * from fct_headcount_daily",
+    "run_funnel": f"with {RUN_FUNNEL} select * from rpt_recruiting_funnel",
+    "run_drift_log": f"""with {RUN_DRIFT} select 'workday' source, {RUN} detected_at, field_name,
+        change_type, old_type, new_type, is_pii from events""",
+    "run_checks": f"with {RUN_ATTRITION}, {RUN_FUNNEL} {DQ_SUMMARY}",
+    "drift_late_field": f"""with {LATE_DRIFT} select 'workday' source, field_name, change_type,
+        old_type, new_type, is_pii from events""",
 }

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions import dates, values
@@ -14,11 +14,11 @@ from rosterlake.functions.exact import rounded_quotient
 from rosterlake.operators import drift, quality, tables, upsert
 from rosterlake.operators.dedup import newest_per_key
 from rosterlake.operators.envelope import to_envelope
-from rosterlake.operators.intervals import active_days, headcount
+from rosterlake.operators.intervals import active_totals, headcount
 from rosterlake.operators.validate import batch_summary, validate
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
-from rosterlake.plans.daily import RunConfig, canonical_records, run_daily
+from rosterlake.plans.daily import RunConfig, RunResult, canonical_records, run_daily
 from rosterlake.schemas import (
     APPLICATION_FIELDS,
     EMPLOYEE_BASELINE,
@@ -87,8 +87,7 @@ def daily(spark, sf):
 
 
 def attrition(spark, sf):
-    employees = dim(spark, sf)
-    return marts.fct_attrition_monthly(employees, marts.fct_headcount_daily(employees, AS_OF), AS_OF)
+    return marts.fct_attrition_monthly(dim(spark, sf), AS_OF)
 
 
 def applications(spark, sf):
@@ -105,29 +104,44 @@ def without_ids(spark, sf):
     return emp.withColumn("employee_id", F.when(F.col("k") % 1009 != 0, F.col("employee_id")))
 
 
-def written_text(df: DataFrame, purpose: str) -> str:
-    path = f"{work_folder(df.sparkSession, purpose)}/dump"
-    df.write.text(path)
+def written_text(df: DataFrame, purpose: str, column: str) -> str:
+    """A dump of one text column; its path has a blank, as paths may."""
+    path = f"{work_folder(df.sparkSession, purpose)}/a dump"
+    df.select(column).write.text(path)
     return path
 
 
 # --- sources, scans, sinks ---------------------------------------------------
 
 
+def numbered(found: DataFrame) -> DataFrame:
+    """Records with their place in the order of the source: the place in the file after
+    the records of the files before."""
+    inside = F.row_number().over(Window.partitionBy("src_file").orderBy("src_block", "src_row"))
+    ahead = Window.orderBy("src_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = found.groupBy("src_file").agg(F.count("*").alias("n"))
+    before = files.select("src_file", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    placed = found.withColumn("inside", inside).join(before, "src_file")
+    return placed.withColumn("place", F.col("before") + F.col("inside"))
+
+
 @query
 def scan_pages(spark, sf):
-    path = written_text(derived(spark, sf, "worker_pages"), "pages")
-    names = ("Worker_ID", "Cost_Center", "Hire_Date", "Termination_Date", "Base_Pay", "ssn")
+    """All members of all records, with the place of a record in its page file."""
+    path = written_text(derived(spark, sf, "worker_pages").orderBy("first_k"), "pages", "page")
     found = pages.read_pages(spark, path)
-    return found.select(*[values.member_text(F.col("record"), n).alias(n.lower()) for n in names])
+    names = [*WORKER_FIELD_MAP, "ssn"]
+    members = [values.member_text(F.col("record"), n).alias(n.lower()) for n in names]
+    return numbered(found).select("place", *members)
 
 
 @query
 def scan_wrapped(spark, sf):
-    path = written_text(derived(spark, sf, "wrapped_employees").select("page_row"), "wrapped")
-    names = ("source_id", "department", "hire_date", "termination_date", "employment_type")
+    path = written_text(derived(spark, sf, "wrapped_employees").orderBy("k"), "wrapped", "page_row")
     found = pages.read_wrapped(spark, path)
-    return found.select(*[values.member_text(F.col("record"), n).alias(n) for n in names])
+    names = [f.name for f in EMPLOYEE_FIELDS]
+    members = [values.member_text(F.col("record"), n).alias(n) for n in names]
+    return numbered(found).select("place", *members)
 
 
 @query
@@ -145,6 +159,15 @@ def envelope(spark, sf):
     return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
 
 
+@query
+def envelope_offsets(spark, sf):
+    """Times keep the fraction and the offset that the source sent."""
+    mapped = mapping.map_applications(records(spark, sf, "offset_applications"), ["k"])
+    checked = validate(mapped, APPLICATION_FIELDS, ["k"])
+    rows = to_envelope(checked, APPLICATION_FIELDS, "greenhouse", BATCH_ID, RUN_TS, ["k"], as_text=True)
+    return rows.select("k", *[F.get_json_object("payload", f"$.{c}").alias(c) for c in ("applied_at", "stage")])
+
+
 @query
 def raw_scan(spark, sf):
     raw = derived(spark, sf, "raw_employees")
@@ -199,7 +222,7 @@ def map_status_stage(spark, sf):
 
 @query
 def map_applications(spark, sf):
-    return checked_applications(spark, sf)
+    return checked_applications(spark, sf).select("k", *[f.name for f in APPLICATION_FIELDS], "errors")
 
 
 @query
@@ -227,7 +250,7 @@ def strip_strings(spark, sf):
 @query
 def validate_records(spark, sf):
     checked = checked_workers(spark, sf, "dirty_workers")
-    return checked.select("k", "source_id", "first_name", "hire_date", "errors")
+    return checked.select("k", *[f.name for f in EMPLOYEE_FIELDS], "errors")
 
 
 @query
@@ -272,12 +295,8 @@ def retention_filter(spark, sf):
 
 @query
 def interval_join_active(spark, sf):
-    rows = active_days(derived(spark, sf, "emp").select("k", "hire_date", "termination_date"), AS_OF)
-    return rows.groupBy("date").agg(
-        F.count("*").alias("employees"),
-        F.sum("k").alias("key_sum"),
-        F.min("hire_date").alias("first_hire"),
-    )
+    spells = derived(spark, sf, "emp").select("k", "hire_date", "termination_date")
+    return active_totals(spells, {"key_sum": F.col("k")}, {"first_hire": F.col("hire_date")}, AS_OF)
 
 
 @query
@@ -293,10 +312,7 @@ def month_spine_join(spark, sf):
 
 @query
 def left_join_terminations(spark, sf):
-    employees = dim(spark, sf)
-    monthly = marts.monthly_headcount(marts.fct_headcount_daily(employees, AS_OF))
-    spine = marts.on_month_spine(dates.month_spine(spark, AS_OF), monthly)
-    return marts.with_terminations(spine, marts.monthly_terminations(employees))
+    return marts.monthly_balance(dim(spark, sf), AS_OF)
 
 
 @query
@@ -343,8 +359,10 @@ def preview_limit(spark, sf):
 
 @query
 def drift_sample(spark, sf):
-    first = workers(spark, sf).orderBy("k").limit(50)
-    return first.select("k", values.member_text(F.col("record"), "Worker_ID").alias("worker_id"))
+    """The first records of a dump in the order of its pages."""
+    path = written_text(derived(spark, sf, "worker_pages").orderBy("first_k"), "sample", "page")
+    first = pages.first_records(pages.read_pages(spark, path), 50)
+    return first.select(values.member_text(F.col("record"), "Worker_ID").alias("worker_id"))
 
 
 # --- scalar functions --------------------------------------------------------
@@ -448,6 +466,29 @@ def upsert_idempotent(spark, sf):
     )
 
 
+@query
+def upsert_two_batches(spark, sf):
+    """Two different batches land in a real table; ids of the first stay."""
+    raw = work_folder(spark, "raw")
+    checked = landed(checked_workers(spark, sf))
+    later_id = BATCH_ID[:-1] + "2"
+    first = checked.where("k % 3 <> 0")
+    second = checked.where("k % 2 = 0").withColumn("job_title", F.lit("Lead"))
+    batch = to_envelope(first, EMPLOYEE_FIELDS, "workday", BATCH_ID, RUN_TS, ["k"])
+    upsert.upsert(spark, raw, batch, "workday", ["k"])
+    before = upsert.read_raw(spark, raw, ["workday"]).select("source_id", F.col("id").alias("first_id"))
+    batch = to_envelope(second, EMPLOYEE_FIELDS, "workday", later_id, RUN_TS, ["k"])
+    upsert.upsert(spark, raw, batch, "workday", ["k"])
+    both = upsert.read_raw(spark, raw, ["workday"]).join(before, "source_id", "left")
+    return both.select(
+        "source",
+        "source_id",
+        "batch_id",
+        values.member_text(F.col("payload"), "job_title").alias("job_title"),
+        (F.col("id") == F.coalesce("first_id", "id")).alias("id_kept"),
+    )
+
+
 @query
 def upsert_last_wins(spark, sf):
     batch = table(spark, sf, "events").select("user_id", "event_id", "event_type", "props")
@@ -530,7 +571,7 @@ def dq_summary(spark, sf):
         "stg_job_applications": applications(spark, sf),
         "dim_employees": employees,
         "fct_headcount_daily": counted,
-        "fct_attrition_monthly": marts.fct_attrition_monthly(employees, counted, AS_OF),
+        "fct_attrition_monthly": marts.fct_attrition_monthly(employees, AS_OF),
         "rpt_recruiting_funnel": funnel(spark, sf),
     }
     parts = [quality.summarize(frame, CHECKS[name]) for name, frame in frames.items()]
@@ -573,25 +614,90 @@ def rpt_recruiting_funnel(spark, sf):
 @query
 def attrition_corrected(spark, sf):
     employees = dim(spark, sf, retention_days=None)
-    counted = marts.fct_headcount_daily(employees, AS_OF)
-    return marts.fct_attrition_monthly(employees, counted, AS_OF, corrected=True)
+    return marts.fct_attrition_monthly(employees, AS_OF, corrected=True)
+
+
+def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]:
+    """Page dumps of all three sources."""
+    paths = {
+        "workday": ("employees", workers, "page"),
+        "greenhouse": ("job_applications", "application_pages", "page"),
+        "airtable": ("employees", "wrapped_employees", "page_row"),
+    }
+    dumps = {}
+    for source, (entity, recipe, column) in paths.items():
+        path = f"{root}/dump/{source}"
+        derived(spark, sf, recipe).select(column).write.text(path)
+        dumps[source] = {entity: path}
+    return dumps
+
+
+def run_config(spark, sf, purpose, workers="worker_pages", **options) -> RunConfig:
+    root = work_folder(spark, purpose)
+    return RunConfig(root, dumped(spark, sf, root, workers), AS_OF, RUN_TS, strict=False, **options)
 
 
 @query
 def run_stats(spark, sf):
-    """A complete run over dumped pages, from files to checked models."""
-    root = work_folder(spark, "run")
-    worker_dump, application_dump = f"{root}/dump/workers", f"{root}/dump/applications"
-    derived(spark, sf, "worker_pages").write.text(worker_dump)
-    derived(spark, sf, "application_pages").write.text(application_dump)
-    cfg = RunConfig(
-        root=root,
-        dumps={
-            "workday": {"employees": worker_dump},
-            "greenhouse": {"job_applications": application_dump},
-        },
-        as_of=AS_OF,
-        run_ts=RUN_TS,
-        strict=False,
-    )
-    return run_daily(spark, cfg).stats_frame(spark)
+    """A complete run over the dumped pages of three sources, from files to checked models."""
+    return run_daily(spark, run_config(spark, sf, "run")).stats_frame(spark)
+
+
+_finished: dict[tuple[str, str], tuple[RunConfig, RunResult]] = {}
+
+
+def finished(spark, sf) -> tuple[RunConfig, RunResult]:
+    """One run serves all queries that look at what it built."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _finished:
+        cfg = run_config(spark, sf, "finished", publish=True)
+        _finished[key] = cfg, run_daily(spark, cfg)
+    return _finished[key]
+
+
+@query
+def run_dim_employees(spark, sf):
+    """Read as the catalog serves it."""
+    finished(spark, sf)
+    served = spark.table("analytics.dim_employees")
+    return served.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
+
+
+@query
+def run_attrition(spark, sf):
+    cfg, _ = finished(spark, sf)
+    return tables.read(spark, cfg.model("fct_attrition_monthly"))
+
+
+@query
+def run_headcount(spark, sf):
+    cfg, _ = finished(spark, sf)
+    return tables.read(spark, cfg.model("fct_headcount_daily"))
+
+
+@query
+def run_funnel(spark, sf):
+    cfg, _ = finished(spark, sf)
+    return tables.read(spark, cfg.model("rpt_recruiting_funnel"))
+
+
+@query
+def run_drift_log(spark, sf):
+    cfg, _ = finished(spark, sf)
+    logged = drift.read_log(spark, cfg.drift_log).drop("id")
+    return logged.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
+
+
+@query
+def run_checks(spark, sf):
+    _, result = finished(spark, sf)
+    rows = [tuple(r) for passed in result.checks.values() for r in passed]
+    return spark.createDataFrame(rows, "check_name string, table_name string, column_name string, failures bigint")
+
+
+@query
+def drift_late_field(spark, sf):
+    """A field that only late records have, found by a run over records as sent."""
+    cfg = run_config(spark, sf, "late", "late_worker_pages", drift_raw=True)
+    run_daily(spark, cfg)
+    return drift.read_log(spark, cfg.drift_log).drop("id", "detected_at")

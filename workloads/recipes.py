@@ -24,6 +24,7 @@ DIALECT = {
         "o_orderkey*977%86400 + o_orderkey*7919%5184000 - 259200), \"yyyy-MM-dd'T'HH:mm:ss\")",
         "JOIN_PAGE": "array_join(transform(array_sort(collect_list(struct(k, payload))), x -> x.payload), ',')",
         "DIV": "k div 100",
+        "OFFSET": """regexp_replace(payload, '("applied_at":"[^"]*)"', '$1{}"')""",
     },
     "duckdb": {
         "LEFT_DAY": "cast(o_orderdate as date) + cast((o_orderkey*37)%900 as integer)",
@@ -33,6 +34,7 @@ DIALECT = {
         "o_orderkey*977%86400 + o_orderkey*7919%5184000 - 259200), '%Y-%m-%dT%H:%M:%S')",
         "JOIN_PAGE": "string_agg(payload, ',' order by k)",
         "DIV": "k // 100",
+        "OFFSET": """regexp_replace(payload, '("applied_at":"[^"]*)"', '\\1{}"')""",
     },
 }
 
@@ -56,7 +58,8 @@ select k, hire_date, employment_type, '{"Worker_ID":"'||employee_id||'","Legal_F
          when k%2=0 then ',"Termination_Date":null' else '' end
  || ',"Worker_Type":"'||employment_type||'","Management_Level":"'||level||'","Location":"Site '||(k%6)||'"'
  || case when k%10=0 then ',"Manager_ID":null' else ',"Manager_ID":"E'||(k%50)||'"' end
- || ',"Base_Pay":'||(80000+k%240000)||'.25'
+ || case when k%13=0 then ',"Base_Pay":"'||(80000+k%240000)||'.2512345600"'
+         else ',"Base_Pay":'||(80000+k%240000)||'.25' end
  || case when k%4=0 then ',"Performance_Rating":null' else ',"Performance_Rating":"meets"' end
  || case when k%1000=7 then ',"ssn":"000-00-'||k||'"' else '' end || '}' payload
 from emp
@@ -77,10 +80,26 @@ from native_workers
 """
 
 WORKER_PAGES = """
-select '{"data":['||<<JOIN_PAGE>>||'],"_links":{"next":"/api/v1/workers?page='||(<<DIV>> + 2)||'"}}' page
+select '{"data":['||<<JOIN_PAGE>>||'],"_links":{"next":"/api/v1/workers?page='||(<<DIV>> + 2)||'"}}' page, min(k) first_k
 from native_workers group by <<DIV>>
 union all
-select '{"_links":{}}' from region
+select '{"_links":{}}', 0 from region
+"""
+
+# The newest hires have a member that no earlier record has.
+LATE_WORKERS = """
+select k, case when k > 2000 then substr(payload, 1, length(payload) - 1)||',"Badge":'||k||'}' else payload end payload
+from native_workers
+"""
+
+LATE_WORKER_PAGES = """
+select '{"data":['||<<JOIN_PAGE>>||'],"_links":{}}' page from late_workers group by <<DIV>>
+"""
+
+OFFSET_APPLICATIONS = """
+select k, case cast(k%4 as int) when 0 then <<OFFSET:+02:00>> when 1 then <<OFFSET:Z>>
+  when 2 then <<OFFSET:.250>> else payload end payload
+from native_applications
 """
 
 APPLICATION_PAGES = """
@@ -155,10 +174,13 @@ RECIPES = {
     "native_workers": (NATIVE_WORKERS, ("emp",)),
     "dirty_workers": (DIRTY_WORKERS, ("emp", "native_workers")),
     "worker_pages": (WORKER_PAGES, ("emp", "native_workers")),
+    "late_workers": (LATE_WORKERS, ("emp", "native_workers")),
+    "late_worker_pages": (LATE_WORKER_PAGES, ("emp", "native_workers", "late_workers")),
     "wrapped_employees": (WRAPPED_EMPLOYEES, ("emp",)),
     "raw_base": (RAW_BASE, ("emp",)),
     "raw_employees": (RAW_EMPLOYEES, ("emp", "raw_base")),
     "native_applications": (NATIVE_APPLICATIONS, ()),
+    "offset_applications": (OFFSET_APPLICATIONS, ("native_applications",)),
     "application_pages": (APPLICATION_PAGES, ("native_applications",)),
     "raw_applications": (RAW_APPLICATIONS, ()),
 }

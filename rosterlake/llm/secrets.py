@@ -205,9 +205,10 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
         parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
         return F.array_join(parts, ",")
 
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE
-    ]
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE]
     return found.select(
         key, *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )

@@ -129,7 +129,7 @@ def references(
     )
     scratch.drop(counts)
     rows.sort(key=lambda r: r["lang"])
-    shape = np.array([[r[f"c{i}"] for i in range(len(CLASSES))] for r in rows], float).reshape(len(rows), -1)
+    shape = np.array([[r[f"c{i}"] for i in range(len(CLASSES))] for r in rows], float).reshape(-1, len(CLASSES))
     shares = np.zeros((len(rows), COMMON_WORDS + 1))
     for i, r in enumerate(rows):
         for k, w in enumerate(r["common"]):

@@ -23,7 +23,7 @@ whatever its size; each block is one pass over the documents.
 
 Cases: null and empty texts, on both sides, hold and are nothing; an item of fewer than
 ``LEAST_WORDS`` words is not searched for, since ordinary text would match it; repeated
-items and rows each count; null ids are carried along; texts are read whole; other
+items and rows each count; null ids are carried along and filtered like others; texts are read whole; other
 columns are not read; an empty table on either side gives an empty result.
 """
 
@@ -32,6 +32,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -116,7 +117,7 @@ class Embedding:
                 coin = ((now ^ np.uint64(step * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * self.keys[k]) >> np.uint64(63)
                 here = np.minimum(here + coin.astype(np.int64), size)
         number = np.arange(WALKS * SAMPLES, dtype=np.uint64).reshape(1, WALKS, SAMPLES)
-        return (out * np.uint64(0x94D049BB133111EB) + number).reshape(n, -1)
+        return (out * np.uint64(0x94D049BB133111EB) + number).reshape(n, WALKS * SAMPLES)
 
 
 @dataclass
@@ -166,7 +167,7 @@ def prepare(rows: list[tuple[int | None, bytes]], embedding: Embedding, errors:
         found: dict[int, set[int]] = defaultdict(set)
         for shift in range(STRIDE):  # windows may start this many words into an item
             owners = [k for k in members if len(numbers[k]) >= size + shift]
-            heads = np.array([numbers[k][shift : shift + size] for k in owners]).reshape(-1, size)
+            heads = np.array([numbers[k][shift : shift + size] for k in owners], np.int64).reshape(-1, size)
             for k, buckets in zip(owners, embedding.buckets(hashes[heads])):
                 inside[numbers[k]] = True
                 for b in buckets.tolist():
@@ -246,31 +247,34 @@ class Searcher:
         return best
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, errors: int = ERRORS,
-    key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-) -> DataFrame:
-    """One row per document and item it holds: distance and the stretch, in words, nearest to it."""
+def searchers(
+    benchmark: DataFrame, scratch: Scratch, errors: int, item_key: str, item_text: str
+) -> Iterator[Searcher]:
+    """A searcher per block of items; at most about ``BLOCK`` items come to the driver at once."""
     embedding = Embedding()
-    stored = scratch.save(
-        benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).where("t is not null"),
-        "items",
-    )
-    count = stored.count()
-    blocks = max(1, -(-count // BLOCK))
-    parts = []
+    named = benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
+    stored = scratch.save(named.where("t is not null"), "items")
+    blocks = max(1, -(-stored.count() // BLOCK))
     for b in range(blocks):
         mine = F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b
         rows = [(r["i"], r["t"].encode()) for r in stored.where(mine).collect()]
         rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        searcher = Searcher(prepare(rows, embedding, errors), embedding)
+        yield Searcher(prepare(rows, embedding, errors), embedding)
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, errors: int = ERRORS,
+    key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """One row per document and item it holds: distance and the stretch, in words, nearest to it."""
 
-        def run(batches: Iterator[pa.RecordBatch], searcher=searcher) -> Iterator[pa.RecordBatch]:
+    def search(searcher: Searcher) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bench = searcher.bench
             for batch in slices(batches, 1):
-                docs = batch.column(0).cast(pa.int64()).to_pylist()
+                ids = batch.column(0).cast(pa.int64()).to_pylist()
                 out = [
-                    (docs[t], bench.ids[k], distance, start, end, len(bench.items[k]))
+                    (ids[t], bench.ids[k], distance, start, end, len(bench.items[k]))
                     for t, k, distance, start, end in searcher.hits(texts_of(batch.column(1)))
                 ]
                 columns = list(zip(*out)) or [()] * 6
@@ -279,14 +283,25 @@ def contaminated(
                     ["doc_id", "item_id", "distance", "start", "end", "item_words"],
                 )
 
-        parts.append(scratch.save(docs.select(key, text).mapInArrow(run, HITS), "hits"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        return scratch.save(docs.select(key, text).mapInArrow(run, HITS), "hits")
+
+    parts = [search(s) for s in searchers(benchmark, scratch, errors, item_key, item_text)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, errors: int = ERRORS,
+    text: str = "text", item_key: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item."""
+    place = docs.columns.index(text)
+
+    def without_items(rest: DataFrame, searcher: Searcher) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, place):
+                held = {hit[0] for hit in searcher.hits(texts_of(batch.column(place)))}
+                yield batch.filter(pa.array([t not in held for t in range(batch.num_rows)], pa.bool_()))
 
+        return rest.mapInArrow(run, docs.schema)
 
-def clean(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those that hold an item; documents without an id stay if they hold none."""
-    hits = contaminated(docs, benchmark, scratch, key=key, **options)
-    return docs.join(hits.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti")
+    return reduce(without_items, searchers(benchmark, scratch, errors, item_key, item_text), docs)

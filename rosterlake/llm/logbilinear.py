@@ -285,9 +285,10 @@ def score_texts(
             target, before, earlier = contexts(classes)
             model_log = one[before, target] + two[earlier, target] - total[before, earlier]
             text_of = np.repeat(np.arange(len(rows)), sizes + 1)
-            line = np.concatenate([part for x in numbers for part in (x, [-2])])
-            smoothed = np.where(line == -2, math.log10(ends + SMOOTH), logs[line])
-            known = np.where(line == -2, ends > 0, line >= 0)
+            line = np.concatenate([part for x in numbers for part in (x, [-1])])
+            at_end = target == END
+            smoothed = np.where(at_end, math.log10(ends + SMOOTH), logs[line])
+            known = np.where(at_end, ends > 0, line >= 0)
             inside = np.where(target > FREQUENT, logs[line] - mass[target], 0.0)
 
             def per_text(values):

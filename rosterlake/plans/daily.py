@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.operators import drift as drift_ops
@@ -17,7 +17,7 @@ from rosterlake.operators import tables
 from rosterlake.operators.envelope import payload_struct, to_envelope
 from rosterlake.operators.quality import gate
 from rosterlake.operators.upsert import read_raw, source_root, upsert
-from rosterlake.operators.validate import admit, valid_records, validate
+from rosterlake.operators.validate import admit, counted, valid_records, validate
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
 from rosterlake.schemas import (
@@ -103,8 +103,8 @@ class RunResult:
 
 def land(
     spark: SparkSession, cfg: RunConfig, source: Source, entity: str, path: str, batch_id: str
-) -> DataFrame:
-    """Read, map and validate a dump once and write it to shared storage.
+) -> tuple[DataFrame, Observation]:
+    """Read, map and validate a dump once and write it to shared storage, counting on the way.
 
     Everything later reads the landed columns: the pages are parsed once, record
     numbers stay fixed, and a lost executor does not send the job back to them. Where
@@ -116,8 +116,9 @@ def land(
     checked = validate(mapped, ENTITY_FIELDS[entity], kept)
     target = cfg.landing(entity, source.name, batch_id)
     # Folders of a batch belong to the batch, so a rerun after a crash replaces them.
-    checked.write.mode("overwrite").parquet(target)
-    return spark.read.schema(checked.schema).parquet(target)
+    rows, seen = counted(checked)
+    rows.write.mode("overwrite").parquet(target)
+    return spark.read.schema(checked.schema).parquet(target), seen
 
 
 def extract(spark: SparkSession, cfg: RunConfig, source: Source, batch_id: str) -> SourceStats:
@@ -129,9 +130,9 @@ def extract(spark: SparkSession, cfg: RunConfig, source: Source, batch_id: str)
         raise ValueError(f"no dump configured for {source.name}")
     admitted, rows = {}, 0
     for entity, path in dumps.items():
-        landed = land(spark, cfg, source, entity, path, batch_id)
+        landed, seen = land(spark, cfg, source, entity, path, batch_id)
         rejected = cfg.rejected(entity, source.name, batch_id)
-        valid, count = admit(landed, source.name, rejected, cfg.strict)
+        valid, count = admit(landed, source.name, rejected, cfg.strict, seen)
         rows += count
         if count:
             admitted[entity] = valid

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Recipes that have been written already: ``(sf_dir, name)`` to folder.
+PREPARED: dict[tuple[str, str], str] = {}
+
+
+def prepare(spark: SparkSession, sf_dir: str, names: Iterable[str], folder: str) -> None:
+    """Write recipes, so that what reads them later does not build them."""
+    for name in names:
+        derived(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+        PREPARED[sf_dir, name] = f"{folder}/{name}"
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Recipe ``name`` over the tables of ``sf_dir``."""
+    if (sf_dir, name) in PREPARED:
+        return spark.read.parquet(PREPARED[sf_dir, name])
     orders = table(spark, sf_dir, "orders")
     orders.createOrReplaceTempView("rosterlake_orders")
     for other in ("customer", "region"):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.values import type_name
-from rosterlake.schemas import DRIFT_LOG_SCHEMA
+from rosterlake.schemas import DRIFT_LOG_SCHEMA, PII_ALERT
 
 
 def infer_schema(records: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -118,6 +118,6 @@ def pii_alert(events: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("events"), names.alias("fields"))
         .where("events > 0")
         .select(
-            "events", F.concat(F.lit("PII schema drift detected in fields: "), "fields").alias("message")
+            "events", F.concat(F.lit(PII_ALERT), "fields").alias("message")
         )
     )

@@ -16,37 +16,6 @@ class Field:
     required: bool = True
 
 
-EMPLOYEE_FIELDS = (
-    Field("source_id"),
-    Field("first_name"),
-    Field("last_name"),
-    Field("email"),
-    Field("department"),
-    Field("job_title"),
-    Field("hire_date", "date"),
-    Field("termination_date", "date", required=False),
-    Field("manager_id", required=False),
-    Field("employment_type"),
-    Field("level"),
-    Field("location"),
-    Field("salary", "decimal", required=False),
-    Field("performance_rating", required=False),
-)
-
-APPLICATION_FIELDS = (
-    Field("source_id"),
-    Field("candidate_id"),
-    Field("job_id"),
-    Field("job_title"),
-    Field("department"),
-    Field("stage"),
-    Field("applied_at", "timestamp"),
-    Field("stage_changed_at", "timestamp"),
-    Field("recruiter_id", required=False),
-)
-
-ENTITY_FIELDS = {"employees": EMPLOYEE_FIELDS, "job_applications": APPLICATION_FIELDS}
-
 # Unbounded numerics are served with six decimals.
 NUMERIC = T.DecimalType(38, 6)
 
@@ -91,6 +60,37 @@ DRIFT_LOG_SCHEMA = T.StructType(
 # They have to equal what the sources and consumers already use.
 # ---------------------------------------------------------------------------
 
+EMPLOYEE_FIELDS = (
+    Field("source_id"),
+    Field("first_name"),
+    Field("last_name"),
+    Field("email"),
+    Field("department"),
+    Field("job_title"),
+    Field("hire_date", "date"),
+    Field("termination_date", "date", required=False),
+    Field("manager_id", required=False),
+    Field("employment_type"),
+    Field("level"),
+    Field("location"),
+    Field("salary", "decimal", required=False),
+    Field("performance_rating", required=False),
+)
+
+APPLICATION_FIELDS = (
+    Field("source_id"),
+    Field("candidate_id"),
+    Field("job_id"),
+    Field("job_title"),
+    Field("department"),
+    Field("stage"),
+    Field("applied_at", "timestamp"),
+    Field("stage_changed_at", "timestamp"),
+    Field("recruiter_id", required=False),
+)
+
+ENTITY_FIELDS = {"employees": EMPLOYEE_FIELDS, "job_applications": APPLICATION_FIELDS}
+
 WORKER_FIELD_MAP = {
     "Worker_ID": "source_id",
     "Legal_First_Name": "first_name",
@@ -146,7 +146,7 @@ EMPLOYEE_BASELINE = {
 RETENTION_DAYS = 90
 HISTORY_YEARS = 2
 ROLLING_MONTHS = 12
-DRIFT_SAMPLE = 50
+PII_ALERT = "PII schema drift detected in fields: "
 SOURCE_ID_LIMIT = 255
 
 # Code points with the Unicode property White_Space.

@@ -30,7 +30,7 @@ class Source:
         try:
             return self.mappings[entity]
         except KeyError:
-            raise NotImplementedError(f"{self.name} does not provide {entity}") from None
+            raise NotImplementedError(f"no mapping of {entity} from {self.name}") from None
 
 
 WORKDAY = Source("workday", read_pages, {"employees": map_workers})

@@ -55,6 +55,9 @@ class Scratch:
         df.write.parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved.scratch_path = path
+        # Spark deletes the shuffle files of a finished job once the driver has collected
+        # what refers to them; in a chain of jobs they would fill the disks until then.
+        self.spark._jvm.System.gc()
         return saved
 
     def drop(self, *frames: DataFrame) -> None:

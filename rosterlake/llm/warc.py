@@ -40,6 +40,8 @@ SHARD_BYTES = 64 << 20  # payload bytes of a shard
 FILE_BYTES = 16 << 20  # compressed bytes after which a file is full
 MOST_SHARDS = 10_000  # bounds that a task holds; shards of a larger corpus are larger
 MIN_REVISIT_BYTES = 0
+TASKS_PER_SHARD = 2  # partitions the shards are hashed to, so that few share one
+FILES_PER_TASK = 4
 DATE = "2024-03-15T06:00:00Z"
 SPACE = uuid.UUID("5f2c3c1e-6d0a-5b0e-9a51-0d7c2b1e4f60")
 
@@ -181,13 +183,17 @@ def write_archives(
     )
     repeated = first.where("copies > 1").select("same", "first")
 
-    joined = digested(pages, key, url, html).join(repeated, "same", "left")
     # Rows that share the smallest id of a payload are all responses; they name no other page.
-    revisit = F.col("first").isNotNull() & (F.coalesce(F.col("page_id") != F.col("first"), F.lit(False)))
-    rows = joined.select(
-        "page_id", "url", F.when(~revisit, F.coalesce("html", F.lit(""))).alias("html"), "size", "digest",
-        F.when(revisit, F.col("first")).alias("refers_to"),
+    revisits = narrow.join(repeated, "same").where("page_id <> first").select("page_id", "same", "first").distinct()
+
+    # A revisit travels as a note that sorts before the page itself, so payloads are
+    # shuffled once, to their shard.
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    notes = revisits.select(
+        "page_id", text.alias("url"), text.alias("html"), number.alias("size"), text.alias("digest"), "same",
+        F.col("first").alias("refers_to"),
     )
+    whole = digested(pages, key, url, html).withColumn("refers_to", number)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,23 +203,32 @@ def write_archives(
                 [*batch.columns, pa.array(shard, pa.int64())], [*batch.schema.names, "shard"]
             )
 
-    columns = "page_id bigint, url string, html string, size bigint, digest string, refers_to bigint, shard bigint"
-    sharded = rows.mapInArrow(dealt, columns).repartition(len(bounds) + 1, "shard").sortWithinPartitions(
-        "shard", "page_id", "digest", "url"
+    columns = (
+        "page_id bigint, url string, html string, size bigint, digest string, same binary, "
+        "refers_to bigint, shard bigint"
     )
+    sharded = notes.unionByName(whole).mapInArrow(dealt, columns).repartition(
+        TASKS_PER_SHARD * (len(bounds) + 1), "shard"
+    ).sortWithinPartitions("shard", "page_id", F.col("digest").asc_nulls_first(), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rolled():
-            files = None
+            files, noted, noted_id = None, {}, None
             for batch in slices(batches, 2):
-                data = batch.column(2).cast(pa.binary()).to_pylist()
-                fields = zip(*[batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6)])
-                for payload, (page_id, link, size, digest, refers_to, shard) in zip(data, fields):
+                data = texts_of(batch.column(2))
+                fields = zip(*[batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6, 7)])
+                for payload, (page_id, link, size, digest, same, refers_to, shard) in zip(data, fields):
+                    if digest is None:
+                        noted = {**(noted if noted_id == page_id else {}), same: refers_to}
+                        noted_id = page_id
+                        continue
                     if files is None or files.shard != shard:
                         if files is not None and files.out is not None:
                             yield files.close()
                         files = _Files(root, shard, file_bytes)
-                    yield from files.add(page_id, record(page_id, link, payload, size, digest, refers_to, date))
+                    first_id = noted.get(same) if page_id is not None and noted_id == page_id else None
+                    body = payload if first_id is None else None
+                    yield from files.add(page_id, record(page_id, link, body, size, digest, first_id, date))
             if files is not None and files.out is not None:
                 yield files.close()
 
@@ -305,8 +320,9 @@ def read_archives(spark: SparkSession, root: str, listed: DataFrame) -> DataFram
                 names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names)
 
-    # A file is a unit of work here.
-    return listed.select("name").repartition("name").mapInArrow(run, READ)
+    # The rows are few, the files behind them are not: the number of tasks is set here.
+    tasks = max(1, -(-listed.count() // FILES_PER_TASK))
+    return listed.select("name").repartition(tasks, "name").mapInArrow(run, READ)
 
 
 def round_trip(pages: DataFrame, scratch: Scratch, **options) -> DataFrame:

@@ -7,7 +7,8 @@ or repeat the letter before it, each at a price. Viterbi search finds the cheape
 reading under a trigram model of characters that is learned from all words of the
 corpus. Tokens that leave no choice, nearly all of them, are read as they stand.
 
-The restored words are scored by what the labels say about them: a word, or a word
+The restored words are scored by what the labels of a bounded sample of documents say
+about them: a word, or a word
 beginning, is toxic evidence as far as the lower bound of its share of label 1 is
 high, and the evidence of a text adds up by noisy-or over its different words.
 
@@ -20,9 +21,7 @@ empty one.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.llm.common import Scratch, slices, texts_of, with_columns, word_counts
+from rosterlake.llm.common import Scratch, slices, texts_of, with_columns
 
 THRESHOLD = 0.3
+TRAIN_DOCUMENTS = 20_000  # labelled documents learned from, those with the smallest hash of their id
 LEAST_DOCUMENTS = 6  # labelled documents a word needs to count as evidence
 LEAST_SHARE = 0.6  # lower bound of the share of label 1
 BEGINNINGS = (4, 5, 6, 7, 8)  # lengths of word beginnings that count as well
@@ -63,27 +63,45 @@ def symbol(c: str) -> int:
     return _NUMBER.get(c, SIZE - 1)
 
 
-def character_model(counts: DataFrame) -> np.ndarray:
-    """Minus log probabilities ``[before, last, next]`` from counted words, 28 ** 3 numbers.
+def _symbol_codes() -> np.ndarray:
+    """Symbol by byte: 0 apart from letters, -1 for signs that may hide one, -2 inside a character."""
+    table = np.zeros(256, np.int64)
+    for c in LETTERS:
+        table[ord(c)] = symbol(c)
+    table[0xC0:] = SIZE - 1
+    table[0x80:0xC0] = -2
+    for c in LOOKALIKES:
+        if c.isascii() and c not in "!|(<":  # those four also stand between words
+            table[ord(c)] = -1
+    return table
 
-    Only tokens of letters teach, so disguises do not. Trigram counts are summed in the
-    tasks; at most 28 ** 3 rows per task reach the shuffle and the driver.
+
+def trigram_counts(text: bytes, table: np.ndarray) -> np.ndarray:
+    """Counts of ``(before, last, next)``; a word begins after two start signs and ends with one."""
+    codes = table[np.frombuffer(b"  " + text.lower() + b" ", np.uint8)]
+    codes = codes[codes != -2]
+    before, last, after = codes[:-2], codes[1:-1], codes[2:]
+    begins = last == 0
+    good = (last >= 0) & (after >= 0) & (begins | (before >= 0)) & ~(begins & (after == 0))
+    flat = (np.where(begins, 0, before) * SIZE + last) * SIZE + after
+    return np.bincount(flat[good], minlength=SIZE**3)
+
+
+def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Minus log probabilities ``[before, last, next]``, 28 ** 3 numbers, from all words of ``docs``.
+
+    Letters next to signs that may hide one do not teach. A task sums its counts, so at
+    most 28 ** 3 rows of each reach the shuffle, and as many the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                word = word.strip(_EDGES)
-                if word.isalpha():
-                    text = [0, 0, *[symbol(c) for c in word], 0]
-                    for a, b, c in zip(text, text[1:], text[2:]):
-                        seen[(a * SIZE + b) * SIZE + c] += n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen.keys()), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["t", "n"]
-        )
-
-    rows = counts.select("word", "n").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+        table, total = _symbol_codes(), np.zeros(SIZE**3, np.int64)
+        for batch in slices(batches, 0):
+            total += trigram_counts(b" ".join(texts_of(batch.column(0))), table)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["t", "n"])
+
+    rows = docs.select(text).mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
     table = np.zeros(SIZE**3)
     for r in rows.collect():
         table[r["t"]] = r["n"]
@@ -193,15 +211,15 @@ def lower_bound(hits, seen, z: float = 1.64):
 
 def train(
     docs: DataFrame, labels: DataFrame, held_out: Column, scratch: Scratch,
-    key: str = "doc_id", text: str = "text", label: str = "toxic",
+    key: str = "doc_id", text: str = "text", label: str = "toxic", most: int = TRAIN_DOCUMENTS,
 ) -> ToxicityModel:
-    """Learn the character model from all words and the evidence from all labelled documents."""
-    counts = scratch.save(word_counts(docs.withColumn("_all", F.lit("")), "_all", text, lowered=True), "words")
-    prices = character_model(counts)
-    scratch.drop(counts)
+    """Learn the character model from all words, the evidence from a bounded sample of labels."""
+    prices = character_model(docs, text)
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out)
     known = usable.groupBy(key).agg(F.max(F.col(label)).cast("int").alias("_label"))
-    labelled = docs.select(key, F.col(text).alias("_text")).join(known, key).select("_text", "_label")
+    chosen = known.orderBy(F.xxhash64(key), key).limit(most)
+    texts = docs.select(key, F.col(text).alias("_text"))
+    labelled = texts.join(F.broadcast(chosen), key).select("_text", "_label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, restored = Decoder(prices), {}

@@ -8,12 +8,15 @@ candidate pair is confirmed on the full sets.
 
 Equal sets are one node from the start, so thousands of exact copies cost nothing
 later. Inside a bucket every member is compared with the first and the last member.
-What these comparisons join needs no further one; members of a bucket that are still
-apart after that are all compared, so no candidate is left out, while a large group
-of near copies costs a few comparisons a member instead of its square.
+What these comparisons join needs no further one. Members of a bucket that are still
+apart are all compared; where the bucket is crowded, only those that share one of their
+rarest shingles, which every pair similar enough does. So no candidate is left out,
+while a large group of near copies, or of texts around one common passage, costs a few
+comparisons a member instead of its square.
 
 Bands and rows: a pair at the threshold of 0.75 shares no band with probability
-``(1 - 0.75**5) ** 40``, about 2 in 100,000.
+``(1 - 0.75**5) ** 40``, about 2 in 100,000. Sets are compared when the signatures agree
+in 125 of 200 places; a pair at the threshold agrees in fewer with a like probability.
 
 Cases: a null or empty text has no shingle and is linked with nothing; with fewer than
 five words the whole sequence is one shingle; rows with a null id keep a null
@@ -24,12 +27,11 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import Scratch, slices, texts_of
@@ -39,8 +41,14 @@ PERCENT = 75
 BANDS, ROWS = 40, 5
 UNIVERSE = 1 << 21
 SEED = 20240315
+CROWD = 32  # members of a larger bucket meet by their rarest shingles instead
 CACHED_WORDS = 400_000
-FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, buckets array<bigint>"
+FEATURES = (
+    "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, buckets array<bigint>, sketch array<bigint>"
+)
+# Of the 200 places of two signatures, as many must agree before the sets are compared: four standard deviations below the mean at the threshold.
+AGREEING = 125
+LANES = 7  # places, a byte each, in a number of the sketch
 
 _ODD = np.random.default_rng(SEED).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -106,6 +114,27 @@ def band_buckets(signature: np.ndarray) -> np.ndarray:
     return mixed((bands * _ODD[:ROWS]).sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * _ODD[9]).view(np.int64)
 
 
+def sketch(signature: np.ndarray) -> np.ndarray:
+    """The low byte of every place, seven in a number, so that numbers stay positive."""
+    places = np.zeros(-(-len(signature) // LANES) * LANES, np.int64)
+    places[: len(signature)] = signature & 0xFF
+    return (places.reshape(-1, LANES) << (8 * np.arange(LANES))).sum(axis=1)
+
+
+def agreeing(one: str, two: str, size: int = BANDS * ROWS) -> Column:
+    """Places in which two sketches agree, from the bytes of their difference that are 0."""
+    low, top = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080)
+    differ = F.lit(0)
+    for i in range(-(-size // LANES)):
+        x = F.col(one)[i].bitwiseXOR(F.col(two)[i])
+        differ = differ + F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(top))
+    return size - differ
+
+
+def least_agreeing(percent: int) -> int:
+    return AGREEING * percent // PERCENT
+
+
 _shared: dict[str, object] = {}
 
 
@@ -117,14 +146,16 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             _shared.update(words=WordHashes(), circulant=Circulant())
         known, circulant = _shared["words"], _shared["circulant"]
         for batch in slices(batches, 1):
-            sizes, a, b, buckets = [], [], [], []
+            sizes, a, b, buckets, sketches = [], [], [], [], []
             for value in texts_of(batch.column(1)):
                 hashes = shingle_hashes(words_of(value), known)
                 both = xxhash.xxh3_128_digest(hashes.tobytes())
                 sizes.append(len(hashes))
                 a.append(int.from_bytes(both[:8], "little", signed=True))
                 b.append(int.from_bytes(both[8:], "little", signed=True))
-                buckets.append(band_buckets(circulant.signature(hashes)) if len(hashes) else [])
+                signature = circulant.signature(hashes) if len(hashes) else None
+                buckets.append([] if signature is None else band_buckets(signature))
+                sketches.append([] if signature is None else sketch(signature))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
@@ -132,8 +163,9 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                     pa.array(a, pa.int64()),
                     pa.array(b, pa.int64()),
                     pa.array(buckets, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "buckets"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "buckets", "sketch"],
             )
 
     return docs.select(key, text).mapInArrow(run, FEATURES)
@@ -215,6 +247,54 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a < b").distinct()
 
 
+def _apart(members: DataFrame, group: str, percent: int) -> DataFrame:
+    """Pairs of a group in different parts whose sizes and signatures allow a link."""
+    kept = ("rep", "n", "part", "sketch")
+    one = members.select(group, *[F.col(c).alias(f"a_{c}") for c in kept])
+    two = members.select(group, *[F.col(c).alias(f"b_{c}") for c in kept])
+    near = (
+        (F.col("a_rep") < F.col("b_rep"))
+        & (F.col("a_part") != F.col("b_part"))
+        & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+        & (agreeing("a_sketch", "b_sketch") >= least_agreeing(percent))
+    )
+    met = one.join(two, one[group] == two[group]).where(near)
+    return met.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+
+
+def rare_shingles(
+    members: DataFrame, docs: DataFrame, scratch: Scratch, key: str, text: str, percent: int
+) -> DataFrame:
+    """``(rep, n, part, shingle)``: the rarest quarter of the shingles of every member.
+
+    Two sets that are similar enough share more than three quarters of the larger one,
+    so each has one of the common shingles among its rarest quarter, in any order that
+    is the same for both. Members of a crowded bucket that have only a common passage
+    in common therefore do not meet, and no pair that could be linked is left out.
+    """
+    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in slices(batches, 3):
+            sets = [shingle_hashes(words_of(t), known) for t in texts_of(batch.column(3))]
+            at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            rows = batch.select([0, 1, 2]).take(pa.array(at))
+            found = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*rows.columns, found], ["rep", "n", "part", "shingle"])
+
+    each = members.join(texts, "rep").select("rep", "n", "part", "_text")
+    elements = scratch.save(each.mapInArrow(run, "rep bigint, n bigint, part bigint, shingle bigint"), "elements")
+    often = elements.groupBy("shingle").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("rep").orderBy("often", "shingle")
+    ranked = elements.join(often, "shingle").withColumn("_rank", F.row_number().over(order))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = ranked.where((F.col("_rank") <= prefix) & (F.col("often") > 1))
+    saved = scratch.save(rare.select("rep", "n", "part", "shingle"), "rare")
+    scratch.drop(elements)
+    return saved
+
+
 def near_duplicates(
     docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -223,23 +303,34 @@ def near_duplicates(
     linkable = found.where("n_shingles > 0 and doc_id is not null")
     sets = scratch.save(
         linkable.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("buckets").alias("buckets")
+            F.min("doc_id").alias("rep"),
+            F.min("n_shingles").alias("n"),
+            F.first("buckets").alias("buckets"),
+            F.first("sketch").alias("sketch"),
         ),
         "sets",
     )
     members = sets.select("rep", "n", F.explode("buckets").alias("bucket"))
     ends = members.groupBy("bucket").agg(
-        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size")
+        F.min("rep").alias("low"),
+        # Another one in every bucket, so a member of many meets many.
+        F.min_by("rep", F.xxhash64("rep", "bucket")).alias("other"),
+        F.count("*").alias("size"),
     )
     shared = scratch.save(members.join(ends.where("size > 1"), "bucket"), "shared")
-    pairs = scratch.save(
+    tried = scratch.save(
         _ordered(
             shared.select(F.col("low").alias("a"), F.col("rep").alias("b")).union(
-                shared.select(F.col("rep").alias("a"), F.col("high").alias("b"))
+                shared.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
             )
         ),
-        "pairs",
+        "tried",
     )
+    sketches = sets.select("rep", "sketch")
+    first = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("a_sketch"))
+    second = sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("b_sketch"))
+    alike = tried.join(first, "a").join(second, "b").where(agreeing("a_sketch", "b_sketch") >= least_agreeing(percent))
+    pairs = scratch.save(alike.select("a", "b"), "pairs")
     links = scratch.save(confirmed(pairs, docs, key, text, percent), "confirmed")
     joined = scratch.save(components(links, scratch), "components")
 
@@ -248,19 +339,18 @@ def near_duplicates(
         joined.withColumnRenamed("node", "rep"), "rep", "left"
     ).withColumn("part", F.coalesce("component", "rep"))
     apart = left.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q")
-    rest = left.join(apart.select("bucket"), "bucket").select("bucket", "rep", "n", "part")
-    one = rest.select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("p"))
-    two = rest.select("bucket", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("q"))
-    near = (
-        (F.col("a") < F.col("b"))
-        & (F.col("p") != F.col("q"))
-        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    rest = scratch.save(left.join(apart.select("bucket"), "bucket").select("bucket", "size", "rep", "n", "part"), "rest")
+    few = _apart(rest.where(F.col("size") <= CROWD).join(sketches, "rep"), "bucket", percent)
+    rare = rare_shingles(
+        rest.where(F.col("size") > CROWD).select("rep", "n", "part").distinct(), docs, scratch, key, text, percent
     )
-    more = one.join(two, "bucket").where(near).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = few.union(_apart(rare.join(sketches, "rep"), "shingle", percent)).distinct().join(tried, ["a", "b"], "left_anti")
     more = scratch.save(more, "more")
     late = scratch.save(confirmed(more, docs, key, text, percent), "late")
-    stars = joined.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = scratch.save(components(stars.union(late), scratch), "components")
+    final = joined
+    if not late.isEmpty():
+        stars = joined.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        final = scratch.save(components(stars.union(late), scratch), "components")
 
     named = (
         found.select("doc_id", "n_shingles", "set_a", "set_b")
@@ -280,5 +370,16 @@ def near_duplicates(
         ),
         "result",
     )
-    scratch.drop(found, sets, shared, pairs, links, joined, more, late, final)
+    scratch.drop(found, sets, shared, tried, pairs, links, rest, rare, more, late, *{id(f): f for f in (joined, final)}.values())
     return result
+
+
+def distinct_documents(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: one per group.
+
+    Of rows that share an id one stays; rows without an id all stay.
+    """
+    found = near_duplicates(docs, scratch, key, text)
+    ids = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(key))
+    named = docs.where(F.col(key).isNotNull()).join(ids, key, "left_semi").dropDuplicates([key])
+    return named.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(F.col(key).isNull()))

@@ -105,3 +105,43 @@ def test_embedding_maps_edits_to_few_places(edits, most):
     same = (embedding.buckets(words) == embedding.buckets(other)).any(axis=1).mean()
     apart = (embedding.buckets(words) == embedding.buckets(words[::-1])).any(axis=1)
     assert same > (0.6 if edits else 0.999) and apart.mean() < 0.1
+
+
+def found_at_the_limit(n, trials=100, seed=12):
+    rnd = random.Random(seed)
+    name = lambda: f"w{rnd.getrandbits(40):x}"
+    items = [[name() for _ in range(n)] for _ in range(trials)]
+    embedding = d.Embedding()
+    searcher = d.Searcher(d.prepare([(i, " ".join(w).encode()) for i, w in enumerate(items)], embedding), embedding)
+    texts = []
+    for item in items:
+        words = list(item)
+        for _ in range(d.allowed(n)):
+            place, kind = rnd.randrange(len(words)), rnd.randrange(3)
+            words[place : place + (kind != 2)] = [] if kind == 1 else [name()]
+        around = [name() for _ in range(rnd.randint(0, 41))]
+        texts.append(" ".join(around + words + around[::-1]).encode())
+    return len({(t, k) for t, k, *_ in searcher.hits(texts)} & {(i, i) for i in range(trials)}) / trials
+
+
+@pytest.mark.parametrize("n", [8, 20, 28, 40, 60, 100, 200, 400])
+def test_recall_at_the_limit_does_not_fall_with_length(n):
+    assert found_at_the_limit(n) >= 0.95
+
+
+def test_exact_items_of_one_size_at_every_place():
+    item = [f"w{i}" for i in range(15)]
+    embedding = d.Embedding()
+    searcher = d.Searcher(d.prepare([(1, " ".join(item).encode())], embedding), embedding)
+    texts = [" ".join(["x"] * k + item).encode() for k in range(20)]
+    assert [hit[:3] for hit in searcher.hits(texts)] == [(k, 0, 0) for k in range(20)]
+
+
+@pytest.mark.parametrize("n", range(1, 8))
+def test_best_stretch_is_the_first_nearest(n):
+    rnd = random.Random(n)
+    for _ in range(60):
+        item, text = rnd.choices("abcd", k=n), rnd.choices("abcde", k=rnd.randint(0, 12))
+        spans = [(i, j) for i in range(len(text) + 1) for j in range(i, len(text) + 1)]
+        want = min((distance(item, text[i:j]), j, i) for i, j in spans)
+        assert d.best_stretch(item, text) == (want[0], want[2], want[1])

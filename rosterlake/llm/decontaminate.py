@@ -1,6 +1,8 @@
 """Benchmark passages in documents, also edited ones.
 
-Items and documents become sequences of words (lower case, signs dropped). A document holds an item when some stretch of it is within ``ERRORS`` per cent of the item's words
+Items and documents become sequences of words (lower case, signs dropped); of scripts
+written without blanks (Han, kana, Thai, Lao, Tibetan, Burmese, Khmer) every character
+is a word of its own. A document holds an item when some stretch of it is within ``ERRORS`` per cent of the item's words
 in edit distance. Windows of an item's size slide over every document; the CGK
 embedding, a random walk that repeats or advances on coin flips drawn per step and
 word, turns their edit distance into Hamming distance; hashes of sampled places of
@@ -10,7 +12,10 @@ document around the window.
 
 The more edits, the fewer samples miss them all, so an item of more than ``PIECE`` words
 is searched in pieces of about equal size: of an item with at most ``ERRORS`` per cent of
-edits, one piece at least has no more than that. Where a piece is met, the whole item is confirmed.
+edits, one piece at least has no more than that. Items of fewer than ``LEAST_WORDS``
+words leave the embedding no room; they are cut into one piece more than they may have
+edits, so that one piece is whole, and windows at every word are compared with the
+pieces by one hash. Where a piece is met, the whole item is confirmed.
 
 Windows of the embedding start at every second word and are a word shorter than the
 smallest piece of their class (sizes within a fifth of each other), since the
@@ -20,18 +25,20 @@ loses nothing.
 
 Recall: items with up to ``ERRORS`` per cent of random word edits are found with at
 least the target of 0.95 at every size; the tests measure it up to 400 words. Exact
-passages always share every sample.
+passages always share every sample, and items below ``LEAST_WORDS`` are all found.
 
 The benchmark is read in blocks of ``BLOCK`` items, so what a task holds is bounded
 whatever its size; each block is one pass over the documents.
 
-Cases: null and empty texts, on both sides, hold and are nothing; an item of fewer than
-``LEAST_WORDS`` words is not searched for, since ordinary text would match it; repeated items and rows each count; null ids are carried along and filtered like others; texts are read whole; other
+Cases: null and empty texts, on both sides, hold and are nothing; an item of one or a few
+words is found in ordinary text too, so hits tell the item's words, and ``clean`` takes
+the smallest number that counts (1 unless the caller says otherwise); repeated items and rows each count; null ids are carried along and filtered like others; texts are read whole; other
 columns are not read; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -67,9 +74,23 @@ def _fold() -> bytes:
 FOLD = _fold()
 
 
+# UTF-8 of single characters of scripts without blanks, and of the signs between them.
+_ALONE = re.compile(
+    rb"\xe0[\xb8-\xbf][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xe3\x80[\x85-\x87]"
+    rb"|\xe3[\x81-\x87\x90-\xbf][\x80-\xbf]|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]"
+    rb"|\xef\xbd[\xa6-\xbf]|\xef\xbe[\x80-\x9f]|\xf0[\xa0-\xb3][\x80-\xbf]{2}"
+)
+_WIDE_SIGN = re.compile(
+    rb"\xe3\x80[\x80-\x84\x88-\xbf]|\xef\xbc[\x80-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]"
+)
+
+
 def words_of(text: bytes) -> list[bytes]:
-    """Words in lower case; ASCII signs separate."""
-    return text.translate(FOLD).split()
+    """Words in lower case; ASCII signs separate, and a character of a script without blanks is a word."""
+    text = text.translate(FOLD)
+    if _ALONE.search(text):
+        text = _ALONE.sub(rb" \g<0> ", _WIDE_SIGN.sub(b" ", text))
+    return text.split()
 
 
 def allowed(n: int, errors: int = ERRORS) -> int:
@@ -128,6 +149,15 @@ class Embedding:
         return (out * np.uint64(0x94D049BB133111EB) + number).reshape(n, WALKS * SAMPLES)
 
 
+def whole_hash(windows: np.ndarray) -> np.ndarray:
+    """One bucket per window, for equal windows only."""
+    out = np.zeros(len(windows), np.uint64)
+    for column in windows.T:
+        out = (out ^ column) * np.uint64(0x94D049BB133111EB)
+        out ^= out >> np.uint64(29)
+    return out[:, None]
+
+
 def cut(n: int, pieces: int) -> list[tuple[int, int]]:
     """Starts and ends of pieces of about one size."""
     ends = [n * i // pieces for i in range(pieces + 1)]
@@ -139,6 +169,7 @@ class SizeClass:
     """Pieces of about one size."""
 
     size: int  # words of a window
+    whole: bool  # equal windows only, by one hash
     least: int  # words of these pieces in a window that can be near to one
     words: np.ndarray  # whether a word of the block's vocabulary is in one of these pieces
     keys: np.ndarray  # sorted buckets
@@ -161,29 +192,37 @@ class Benchmark:
 def prepare(rows: list[tuple[int | None, bytes]], embedding: Embedding, errors: int = ERRORS) -> Benchmark:
     """Cut items into pieces, sort these into classes of sizes and hash each at its class's size."""
     items = [(i, words_of(t)) for i, t in rows]
-    items = [(i, w) for i, w in items if len(w) >= LEAST_WORDS]
+    items = [(i, w) for i, w in items if w]
     vocabulary: dict[bytes, int] = {}
     for _, words in items:
         for w in words:
             vocabulary.setdefault(w, len(vocabulary) + 1)
     hashes = np.array([0, *[xxhash.xxh3_64_intdigest(w) | 1 for w in vocabulary]], np.uint64)
     numbers = [np.array([vocabulary[w] for w in words]) for _, words in items]
+    short: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     embedded: list[tuple[int, int, int]] = []  # words, item, words before the piece
     for k, own in enumerate(numbers):
-        embedded += [(end - start, k, start) for start, end in cut(len(own), -(-len(own) // PIECE))]
+        n = len(own)
+        if n < LEAST_WORDS:
+            for start, end in cut(n, min(n, allowed(n, errors) + 1)):
+                short[end - start].append((end - start, k, start))
+        else:
+            embedded += [(end - start, k, start) for start, end in cut(n, -(-n // PIECE))]
     groups: list[list[tuple[int, int, int]]] = []
     for piece in sorted(embedded):
         if not groups or piece[0] > groups[-1][0][0] * CLASS:
             groups.append([])
         groups[-1].append(piece)
     classes = []
-    for pieces in groups:
-        size = pieces[0][0] - STRIDE + 1
+    for whole, pieces in [*((True, p) for p in short.values()), *((False, g) for g in groups)]:
+        # Windows of the embedding may start up to STRIDE - 1 words into a piece.
+        shifts = 1 if whole else STRIDE
+        size = pieces[0][0] - shifts + 1
         inside = np.zeros(len(hashes), bool)
         found: dict[int, set[tuple[int, int]]] = defaultdict(set)
-        for shift in range(STRIDE):  # windows may start this many words into a piece
+        for shift in range(shifts):
             heads = np.array([numbers[k][at + shift : at + shift + size] for _, k, at in pieces], np.int64)
-            made = embedding.buckets(hashes[heads])
+            made = whole_hash(hashes[heads]) if whole else embedding.buckets(hashes[heads])
             for (n, k, at), buckets in zip(pieces, made):
                 inside[numbers[k][at : at + n]] = True
                 for b in buckets.tolist():
@@ -191,9 +230,9 @@ def prepare(rows: list[tuple[int | None, bytes]], embedding: Embedding, errors:
         keys = np.array(sorted(found), np.uint64)
         lists = [sorted(found[int(b)]) for b in keys]
         first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(int)
-        least = max(1, size - allowed(pieces[-1][0], errors) - STRIDE + 1)
+        least = size if whole else max(1, size - allowed(pieces[-1][0], errors) - STRIDE + 1)
         owners = np.array([owner for x in lists for owner in x], int).reshape(-1, 2)
-        classes.append(SizeClass(size, least, inside, keys, first, owners))
+        classes.append(SizeClass(size, whole, least, inside, keys, first, owners))
     return Benchmark([i for i, _ in items], [w for _, w in items], vocabulary, hashes, classes, errors)
 
 
@@ -218,11 +257,11 @@ class Searcher:
         for c in self.bench.classes:
             known = np.concatenate([[0], np.cumsum(c.words[line])])
             near = known[starts + c.size] - known[starts] >= c.least
-            passed = np.flatnonzero(near & even)
+            passed = np.flatnonzero(near if c.whole else near & even)
             for at in range(0, len(passed), 4096):
                 some = passed[at : at + 4096]
                 windows = codes[starts[some][:, None] + np.arange(c.size)]
-                buckets = self.embedding.buckets(windows)
+                buckets = whole_hash(windows) if c.whole else self.embedding.buckets(windows)
                 place = np.minimum(np.searchsorted(c.keys, buckets), len(c.keys) - 1)
                 for i, j in zip(*np.nonzero(c.keys[place] == buckets)):
                     w, p = some[i], place[i, j]
@@ -311,15 +350,16 @@ def contaminated(
 
 def clean(
     docs: DataFrame, benchmark: DataFrame, scratch: Scratch, errors: int = ERRORS,
-    text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 1,
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item."""
+    """The rows of ``docs``, with all their columns, that hold no item of ``least_words`` words or more."""
     place = docs.columns.index(text)
 
     def without_items(rest: DataFrame, searcher: Searcher) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, place):
-                held = {hit[0] for hit in searcher.hits(texts_of(batch.column(place)))}
+                hits = searcher.hits(texts_of(batch.column(place)))
+                held = {t for t, k, *_ in hits if len(searcher.bench.items[k]) >= least_words}
                 yield batch.filter(pa.array([t not in held for t in range(batch.num_rows)], pa.bool_()))
 
         return rest.mapInArrow(run, docs.schema)

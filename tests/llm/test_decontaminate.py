@@ -145,3 +145,29 @@ def test_best_stretch_is_the_first_nearest(n):
         spans = [(i, j) for i in range(len(text) + 1) for j in range(i, len(text) + 1)]
         want = min((distance(item, text[i:j]), j, i) for i, j in spans)
         assert d.best_stretch(item, text) == (want[0], want[2], want[1])
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [
+        (1, "Who wrote the old red book?", "x"), (2, "what colour has a ripe lemon then", "x"), (3, "Paris", "x"),
+        (4, "中国最长的河流叫什么名字？", "x"), (5, "ประเทศไทยมีกี่จังหวัด", "x"), (6, "日本で一番高い山", "x"),
+    ]
+    rows = [
+        (1, "a b who wrote THE old red book c", "aa", "s"),  # 6 words, as they are
+        (2, "a who wrote the old blue book c", "aa", "s"),  # one edit in 6 is too many
+        (3, "say what colour has a ripe fig then", "aa", "s"),  # 1 edit in 7
+        (4, "say what hue has a ripe fig then", "aa", "s"),  # 2 edits in 7
+        (5, "in Paris, once", "aa", "s"),
+        (6, "parish", "aa", "s"),
+        (7, "问：中国最长的河流叫什么名字?答:长江。", "aa", "s"),
+        (8, "中国最长的那河流叫什么名字", "aa", "s"),  # 1 edit in 12
+        (9, "โจทย์ประเทศไทยมีกี่จังหวัดครับ", "aa", "s"),
+        (10, "これは日本で一番高い山です", "aa", "s"),
+        (11, "中国的河流很多", "aa", "s"),
+    ]
+    bench, docs = spark.createDataFrame(items, ITEMS), documents(spark, rows)
+    found = d.contaminated(docs, bench, Scratch(spark, "t")).collect()
+    want = {(1, 1, 0, 6), (3, 2, 1, 7), (5, 3, 0, 1), (7, 4, 0, 12), (8, 4, 1, 12), (9, 5, 0, 21), (10, 6, 0, 8)}
+    assert {(r.doc_id, r.item_id, r.distance, r.item_words) for r in found} == want
+    left = lambda **kw: {r.doc_id for r in d.clean(docs, bench, Scratch(spark, "t"), **kw).collect()}
+    assert left() == {2, 4, 6, 11} and left(least_words=7) == {1, 2, 4, 5, 6, 11}

@@ -7,6 +7,11 @@ reference by Jensen-Shannon distance (base 2, so between 0 and 1) and keeps the
 nearest one's distances. Histograms of few words are noise, so each distance is used
 from a minimum length on.
 
+A document without any common word is only as far from a reference as the share of that
+reference's common words puts it, so the limit on word distances is ``GONE`` of that
+reach where this is below ``WORD_LIMIT``. A language of which more than ``FAR`` of the own
+documents lie beyond has no words common to its documents, and only ``WORD_LIMIT`` holds.
+
 ``base_failed``: fewer than 50 words, or more than half of the words lie in three-word
 windows that occur twice or more. ``kept`` is false then, or when a distance that is
 long enough to count is above its limit.
@@ -20,7 +25,7 @@ empty one.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.llm.common import Scratch, with_columns, word_counts
+from rosterlake.llm.common import Scratch, slices, texts_of, with_columns, word_counts
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 COMMON_WORDS = 64
-LANGUAGES = 256  # far above the number of languages with text worth a reference
+LANGUAGES = 256  # references compared at once
 CHAR_LIMIT, CHAR_MIN_CHARS = 0.30, 200
 WORD_LIMIT, WORD_MIN_WORDS = 0.48, 80
+GONE = 0.9  # of the distance of a document without common words
+FAR = 25  # per cent of a language's own documents
 
 ADDED = [
     T.StructField("n_words", T.LongType()),
@@ -88,12 +95,13 @@ def class_counts(data: bytes) -> np.ndarray:
 
 @dataclass(frozen=True)
 class References:
-    """At most ``LANGUAGES`` rows of fixed width: small whatever the corpus."""
+    """A row of fixed width for every language: small whatever the corpus."""
 
     languages: tuple[str, ...]
     chars: np.ndarray  # languages x classes, shares
     words: tuple[dict[bytes, int], ...]  # bin of each common word
     shares: np.ndarray  # languages x (common words + 1), shares
+    limits: np.ndarray  # largest word distance of each
 
 
 def references(
@@ -124,9 +132,7 @@ def references(
         F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("common")
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    rows = (
-        totals.join(chars, "lang").join(common, "lang").orderBy(F.desc("total"), "lang").limit(LANGUAGES).collect()
-    )
+    rows = totals.join(chars, "lang").join(common, "lang").collect()
     scratch.drop(counts)
     rows.sort(key=lambda r: r["lang"])
     shape = np.array([[r[f"c{i}"] for i in range(len(CLASSES))] for r in rows], float).reshape(-1, len(CLASSES))
@@ -135,12 +141,47 @@ def references(
         for k, w in enumerate(r["common"]):
             shares[i, k] = w["n"] / r["total"]
         shares[i, COMMON_WORDS] = max(0.0, 1 - shares[i].sum())
-    return References(
+    none = np.zeros_like(shares)
+    none[:, COMMON_WORDS] = 1
+    learned = References(
         tuple(r["lang"] for r in rows),
         shape / np.maximum(shape.sum(axis=1, keepdims=True), 1) if len(rows) else shape,
         tuple({w["word"].encode(): k for k, w in enumerate(r["common"])} for r in rows),
         shares,
+        np.minimum(WORD_LIMIT, GONE * distances(none, shares)),
     )
+    return replace(learned, limits=usable_limits(docs, learned, text, language))
+
+
+def usable_limits(docs: DataFrame, learned: References, text: str, language: str) -> np.ndarray:
+    """The limits, with ``WORD_LIMIT`` for languages whose own documents are beyond theirs too often."""
+    number = {name: i for i, name in enumerate(learned.languages)}
+
+    def run(batches):
+        seen = np.zeros((len(number), 2), np.int64)
+        for batch in slices(batches, 1):
+            for name, data in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                words = data.lower().split()
+                if len(words) >= WORD_MIN_WORDS:
+                    i = number[name]  # a text with words has taught its language
+                    bins = learned.words[i]
+                    found = [bins[w] for w in words if w in bins]
+                    row = np.bincount(found, minlength=COMMON_WORDS + 1) / len(words)
+                    row[COMMON_WORDS] = 1 - len(found) / len(words)
+                    seen[i] += 1, distances(row, learned.shares[i : i + 1])[0] > learned.limits[i]
+        some = np.flatnonzero(seen[:, 0])
+        columns = [pa.array(some), pa.array(seen[some, 0]), pa.array(seen[some, 1])]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "seen", "far"])
+
+    if not number:
+        return learned.limits
+    own = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull())
+    rows = own.select(F.col(language).cast("string"), text).mapInArrow(run, "i bigint, seen bigint, far bigint")
+    limits = learned.limits.copy()
+    for r in rows.groupBy("i").agg(F.sum("seen").alias("seen"), F.sum("far").alias("far")).collect():
+        if 100 * r["far"] > FAR * r["seen"]:
+            limits[r["i"]] = WORD_LIMIT
+    return limits
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -188,6 +229,15 @@ def duplicate_lines(text: bytes) -> int:
 
 def judge(docs: DataFrame, learned: References, text: str = "text") -> DataFrame:
     """``docs`` with the base figures, the verdict and the nearest language's distances."""
+    # Every common word of any language once; where it counts as a bin of a reference.
+    number = {w: i for i, w in enumerate(dict.fromkeys(w for bins in learned.words for w in bins))}
+    cells = [(i, k, number[w]) for i, bins in enumerate(learned.words) for w, k in bins.items()]
+    at_language, at_bin, at_word = np.array(cells, np.int64).reshape(-1, 3).T
+    blocks = [slice(i, i + LANGUAGES) for i in range(0, len(learned.languages), LANGUAGES)]
+
+    def to_all(p: np.ndarray, references: np.ndarray) -> np.ndarray:
+        p = np.broadcast_to(p, references.shape)
+        return np.concatenate([distances(p[b], references[b]) for b in blocks])
 
     def one(data: bytes):
         words = data.split()
@@ -199,20 +249,18 @@ def judge(docs: DataFrame, learned: References, text: str = "text") -> DataFrame
         language = char_distance = word_distance = None
         kept = not failed
         if n and learned.languages:
-            by_char = distances(counts / max(1, counts.sum()), learned.chars)
-            lowered = data.lower().split()
+            by_char = to_all(counts / max(1, counts.sum()), learned.chars)
+            found = np.array([number[w] for w in data.lower().split() if w in number], np.int64)
             rows = np.zeros_like(learned.shares)
-            for i, bins in enumerate(learned.words):
-                found = [bins[w] for w in lowered if w in bins]
-                rows[i] = np.bincount(found, minlength=COMMON_WORDS + 1) / n if found else 0
-                rows[i, COMMON_WORDS] = 1 - len(found) / n
-            by_word = distances(rows, learned.shares)
+            rows[at_language, at_bin] = np.bincount(found, minlength=len(number))[at_word] / n
+            rows[:, COMMON_WORDS] = 1 - rows.sum(axis=1)
+            by_word = to_all(rows, learned.shares)
             nearest = int(np.argmin(by_char + by_word))
             language = learned.languages[nearest]
             char_distance, word_distance = float(by_char[nearest]), float(by_word[nearest])
             if chars >= CHAR_MIN_CHARS and char_distance > CHAR_LIMIT:
                 kept = False
-            if n >= WORD_MIN_WORDS and word_distance > WORD_LIMIT:
+            if n >= WORD_MIN_WORDS and word_distance > learned.limits[nearest]:
                 kept = False
         lines = duplicate_lines(data)
         return n, chars, symbols, lines, repeats, failed, kept, language, char_distance, word_distance

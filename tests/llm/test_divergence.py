@@ -92,3 +92,37 @@ def test_result_columns_replace_their_namesakes(spark):
     judged = divergence.judge(docs, divergence.references(docs, Scratch(spark, "t")))
     assert judged.columns.count("kept") == 1 and dict(judged.dtypes)["kept"] == "boolean"
     assert judged.where("size <> 'mine'").isEmpty()
+
+
+def test_texts_without_common_words_are_rejected(spark):
+    rnd = random.Random(7)
+    common = "the of and to in a is that for it was on with as be by at this from or".split()
+    name = lambda letters: "".join(rnd.choices(letters, k=rnd.randint(3, 8)))
+    stock = [name("eeaoinstrhldcum") for _ in range(3000)]
+    rows = [
+        (i, " ".join(rnd.choice(common) if rnd.random() < 0.33 else rnd.choice(stock) for _ in range(150)), "en", "s")
+        for i in range(150)
+    ]
+    rows += [(1000 + i, " ".join(name("eeaoinstrhldcum") for _ in range(150)), None, "s") for i in range(5)]
+    finnish = "tämä on vain yksi pitkä teksti jossa ei ole mitään yhteistä muiden kielten kanssa vaikka se onkin oikea"
+    rows.append((2000, " ".join(rnd.choices(finnish.split(), k=120)), None, "s"))
+    # No words are common to the documents of this language, so none can be missed.
+    rows += [(3000 + i, " ".join(name("ωαβγδεζηθικλμ") for _ in range(100)), "xx", "s") for i in range(20)]
+    docs = documents(spark, rows)
+    learned = divergence.references(docs, Scratch(spark, "t"))
+    kept = {r.doc_id: r.kept for r in divergence.judge(docs, learned).collect()}
+    assert {i for i in kept if kept[i]} == {*range(150), *range(3000, 3020)}
+
+
+def test_more_languages_than_are_compared_at_once(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(i, sentence(rnd, 120) + f" only{i % 7}" * 60, f"l{i % 7}", "s") for i in range(28)]
+    docs = documents(spark, rows)
+    judged = lambda: {
+        (r.doc_id, r.language, r.word_distance)
+        for r in divergence.judge(docs, divergence.references(docs, Scratch(spark, "t"))).collect()
+    }
+    once = judged()
+    assert {(i, f"l{i % 7}") for i in range(28)} == {x[:2] for x in once}
+    monkeypatch.setattr(divergence, "LANGUAGES", 2)
+    assert judged() == once

@@ -7,6 +7,12 @@ or repeat the letter before it, each at a price. Viterbi search finds the cheape
 reading under a trigram model of characters that is learned from all words of the
 corpus. Tokens that leave no choice, nearly all of them, are read as they stand.
 
+A run of single characters is one lattice in which every blank may be kept or dropped,
+so ``a s t u p i d`` is read as two words. Pieces of several letters (``stu pid``) are
+closed up where that gives a word of the evidence and the search reads them so too.
+Signs at the edges of a token are read as nothing, and those that resemble letters also
+as these.
+
 The restored words are scored by what the labels of a bounded sample of documents say
 about them: a word, or a word
 beginning, is toxic evidence as far as the lower bound of its share of label 1 is
@@ -53,9 +59,10 @@ SIZE = len(SYMBOLS)
 
 # Prices of the channel in nats.
 AS_LOOKALIKE, AS_NOTHING, AS_REPEAT, KEPT_DOUBLE = 1.0, 1.0, 1.0, 0.3
+DROPPED_BLANK = 1.0  # between pieces of several letters; single characters are joined for nothing
 
 _EDGES = ".,;:?!\"'`()[]{}<>|#*%&=~_-/\\"
-_RUN = re.compile(rb"(?<!\S)(?:[!-~][ \t]+){3,}[!-~](?!\S)")
+_RUN = re.compile(rb"(?<!\S)(?:[!-~][ \t]+){2,}[!-~](?!\S)")
 _CHOICE = re.compile(r"[^a-zß-￿]|(.)\1")
 
 
@@ -123,6 +130,8 @@ class Decoder:
         token = token.strip(_EDGES) or token
         if not _CHOICE.search(token):
             return token
+        # Blanks may be kept or dropped; the words are then set apart by one blank each.
+        dropped = 0.0 if max(map(len, token.split(" "))) == 1 else DROPPED_BLANK
         prices = self.prices
         # Best price and reading by (symbol before, last symbol, last source letter).
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
@@ -134,6 +143,12 @@ class Decoder:
                 if held is None or price < held[0]:
                     after[state] = (price, text)
 
+            if c == " ":
+                for (before, last), (price, text) in states.items():
+                    offer((before, last), price + dropped, text)
+                    offer((0, 0), price + prices[before][last][0], text + " " if last else text)
+                states = after
+                continue
             repeat = i > 0 and token[i - 1] == c
             readings = [(c, KEPT_DOUBLE if repeat else 0.0)] if c.isalpha() else []
             readings += [(x, AS_LOOKALIKE) for x in LOOKALIKES.get(c, "")]
@@ -147,17 +162,60 @@ class Decoder:
                     offer((before, last), price + AS_REPEAT, text)
             states = after
         best = min((price + prices[b][l][0], text) for (b, l), (price, text) in states.items())
-        return best[1]
+        return best[1].strip()
 
 
-def spaced_words(text: bytes) -> list[bytes]:
-    """Runs of four or more single characters set apart by blanks, closed up."""
-    return [b"".join(m.split()) for m in _RUN.findall(text)]
+def spaced_words(text: bytes, between: bytes = b"") -> list[bytes]:
+    """Runs of three or more single characters set apart by blanks, closed up."""
+    return [between.join(m.split()) for m in _RUN.findall(text)]
 
 
 def tokens_of(text: bytes) -> set[bytes]:
+    """Words, and runs of single characters with a blank between each."""
     lowered = text.lower()
-    return {*lowered.split(), *spaced_words(lowered)}
+    return {*lowered.split(), *spaced_words(lowered, b" ")}
+
+
+def edge_readings(token: str) -> tuple[list[str], list[str]]:
+    """The token with the sign before it read as letters, and with the sign after it."""
+    core = token.strip(_EDGES)
+    if not core or core == token:
+        return [], []
+    at = token.index(core)
+    first, last = token[at - 1 : at], token[at + len(core) :][:1]
+    heads = [x + core for x in LOOKALIKES.get(first, "")] if first else []
+    return heads, [w + x for w in [core, *heads] for x in (LOOKALIKES.get(last, "") if last else "")]
+
+
+# The signs that resemble letters as letters, with the last of those they resemble as well.
+_AS_LETTERS = [
+    bytes.maketrans(*(b"".join(x) for x in zip(*((c.encode(), v[k].encode()) for c, v in LOOKALIKES.items() if c.isascii()))))
+    for k in (0, -1)
+]
+
+
+def word_starts(lexicon: dict[str, float]) -> dict[bytes, str]:
+    """Every beginning of the words of ``lexicon``, with the word where it is whole."""
+    words = [k for k in lexicon if not k.endswith("*")]
+    starts = {w.encode()[:n]: "" for w in words for n in range(1, len(w.encode()))}
+    return starts | {w.encode(): w for w in words}
+
+
+def closed_up(text: bytes, starts: dict[bytes, str]) -> set[tuple[str, str]]:
+    """``(pieces, word)`` of neighbouring pieces of ``text`` that make a whole word of ``starts``."""
+    found = set()
+    lowered, edges = text.lower(), _EDGES.encode()
+    for table in _AS_LETTERS if b"1" in lowered or b"|" in lowered else _AS_LETTERS[:1]:
+        pieces = [p if p.isalpha() else p.strip(edges).translate(table) for p in lowered.split()]
+        for i in [i for i, p in enumerate(pieces) if p in starts]:
+            joined = pieces[i]
+            for j in range(i + 1, len(pieces)):
+                joined += pieces[j]
+                if joined not in starts:
+                    break
+                if starts[joined] and pieces[j]:
+                    found.add((b" ".join(pieces[i : j + 1]).decode(), starts[joined]))
+    return found
 
 
 def evidence_keys(word: str) -> list[str]:
@@ -171,33 +229,49 @@ class ToxicityModel:
     lexicon: dict[str, float]  # lower bound of the share of label 1
     base: float  # share of label 1 among documents without evidence
     known: dict[bytes, float] = field(default_factory=dict, repr=False)
+    starts: dict[bytes, str] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"known": {}, "starts": {}}
 
     def decoder(self) -> Decoder:
         return Decoder(self.prices)
 
+    def evidence(self, token: str, decoder: Decoder) -> float:
+        """The strongest evidence of any reading of a token."""
+        heads, tails = edge_readings(token)
+        read = {token.strip(_EDGES), *(w for t in (token, *heads) for w in decoder.restore(t).split(" "))}
+        # A sign at the end adds nothing to the beginnings of a word.
+        keys = [k for w in read for k in evidence_keys(w)] + [decoder.restore(t) for t in tails]
+        return max((self.lexicon.get(k, 0.0) for k in keys), default=0.0)
+
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Noisy-or of the evidence in each text."""
         known, decoder = self.known, None
+        if not self.starts:
+            self.starts.update(word_starts(self.lexicon))
         scores = np.empty(len(texts))
         for i, text in enumerate(texts):
             innocent = 1 - self.base
-            for token in tokens_of(text):
+            tokens = tokens_of(text)
+            for token in tokens:
                 share = known.get(token)
                 if share is None:
                     decoder = decoder or self.decoder()
                     if len(known) > CACHED_TOKENS:
                         known.clear()
-                    plain = token.decode().strip(_EDGES)
-                    words = {plain, decoder.restore(token.decode())}
-                    share = max(
-                        (self.lexicon.get(k, 0.0) for w in words for k in evidence_keys(w)), default=0.0
-                    )
-                    known[token] = share
+                    share = known[token] = self.evidence(token.decode(), decoder)
                 if share:
                     innocent *= 1 - share
+            for pieces, word in closed_up(text, self.starts):
+                if any(b" " in t and pieces.encode() in t for t in tokens):
+                    continue  # counted with its run
+                share = known.get(b"+" + pieces.encode())
+                if share is None:
+                    decoder = decoder or self.decoder()
+                    read = decoder.restore(pieces).split()
+                    share = known[b"+" + pieces.encode()] = self.lexicon[word] if word in read else 0.0
+                innocent *= 1 - share
             scores[i] = 1 - innocent
         return scores
 
@@ -244,7 +318,8 @@ def train(
                     if found is None:
                         if len(restored) > CACHED_TOKENS:
                             restored.clear()
-                        found = restored[token] = evidence_keys(decoder.restore(token.decode()))
+                        read = decoder.restore(token.decode()).split(" ")
+                        found = restored[token] = [k for w in read for k in evidence_keys(w)]
                     keys.update(found)
                 for k in keys:
                     both = held.setdefault(k, [0, 0])

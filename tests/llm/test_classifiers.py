@@ -135,3 +135,20 @@ def test_toxicity_without_labels(spark):
     assert toxicity.classify(spark.createDataFrame([], SCHEMA), model).collect() == []
     nothing = toxicity.train(spark.createDataFrame([], SCHEMA), empty, F.lit(False), Scratch(spark, "t"))
     assert nothing.lexicon == {}
+
+
+def test_spaced_words_beside_others_and_signs_at_edges(spark):
+    rnd = random.Random(6)
+    text = " ".join(["you are a stupid idiot i am a moron so fat he is a man letter"] * 50) + " " + sentence(rnd, 500)
+    prices = toxicity.character_model(documents(spark, [(1, text, "aa", "s")]))
+    model = toxicity.ToxicityModel(prices, {"stupid": 0.9, "idiot": 0.9, "moron": 0.9, "fat": 0.9}, 0.0)
+    hidden = [
+        "you are a s t u p i d man", "what a m o r o n", "i a m a s t u p i d man", "so f a t", "he is stu pid",
+        "stu p1d", "!diot", "|diot", "(!diot)", "1 d 1 o t", "you are a s t u p i d", "mor on",
+    ]
+    plain = ["he is a man", "a letter", "so i am", "fatal!", "a b c d", "you! are a (man)", "i", "!", "", "st upon"]
+    scores = model.score([t.encode() for t in hidden + plain])
+    assert [t for t, s in zip(hidden, scores) if s < 0.9] == []
+    assert [t for t, s in zip(plain, scores[len(hidden) :]) if s] == []
+    ending = toxicity.ToxicityModel(prices, {"ali": 0.9}, 0.0)
+    assert ending.score([b"al!", b"al"]).tolist() == pytest.approx([0.9, 0])

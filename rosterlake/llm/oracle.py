@@ -78,3 +78,53 @@ select page_id, payload_bytes::bigint as payload_bytes,
   case when page_id <> first then first end as refers_to
 from payloads join firsts using (html)
 """
+
+ORACLE["op11_conversation_trie"] = r"""
+with said as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+drawn as (
+  select conv_id, xor(list_reduce(
+      list_prepend(4294967295::bigint, [ord(c)::bigint for c in string_split(conv_id::varchar, '')]),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295::bigint) % 9 as h
+  from (select distinct conv_id from said)),
+rebuilt as (
+  select d.conv_id, 0 as part, s.place, s.role, s.text
+  from drawn d join said s on s.conv_id = d.conv_id - d.conv_id % 5 and s.place <= d.h
+  union all
+  select d.conv_id, 1, s.place, s.role, s.text from drawn d join said s on s.conv_id = d.conv_id and s.place > d.h),
+path as (
+  select conv_id, row_number() over (partition by conv_id order by part, place) as depth,
+    {'r': role, 't': text} as turn from rebuilt),
+whole as (
+  select d.conv_id, coalesce(list(turn order by depth) filter (turn is not null), []) as turns
+  from drawn d left join path using (conv_id) group by d.conv_id),
+members as (
+  select conv_id, unnest(range(len(turns) + 1)) as depth, turns from whole),
+keyed as (
+  select conv_id, depth, md5(turns[1:depth]::varchar) as node, md5(turns[1:depth - 1]::varchar) as parent,
+    case when depth > 0 then strlen(turns[depth].t) else 0 end as bytes, len(turns) = depth as ended
+  from members),
+nodes as (
+  select depth, node, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256
+  from keyed group by depth, node),
+children as (select depth - 1 as depth, parent as node, count(*) as n from nodes where depth > 0 group by all),
+below as (
+  select distinct a.depth, a.node, b.depth as low_depth, b.node as low
+  from keyed a join keyed b on a.conv_id = b.conv_id and a.depth <= b.depth),
+sums as (
+  select below.depth, below.node, count(*) filter (children.n is null) as n_leaves,
+    sum((low.n_convs - 1) * low.bytes) as saved_tokens
+  from below join nodes low on low.depth = low_depth and low.node = below.low
+  left join children on children.depth = low_depth and children.node = below.low
+  group by all)
+select x.conv_id, x.depth::bigint as depth, p.conv_id as parent_conv_id, x.n_convs::bigint as n_convs,
+  coalesce(c.n, 0)::bigint as n_children, n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, x.ends_sha256
+from nodes x join sums s on s.depth = x.depth and s.node = x.node
+left join children c on c.depth = x.depth and c.node = x.node
+left join nodes p on p.depth = x.depth - 1 and p.node = x.parent and x.depth > 0
+"""

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontaminate, divergence, logbilinear, mil, mixing, neardup, secrets, tokens, toxicity, warc
+from rosterlake.llm import (
+    conversation_trie,
+    decontaminate,
+    divergence,
+    logbilinear,
+    mil,
+    mixing,
+    neardup,
+    secrets,
+    tokens,
+    toxicity,
+    warc,
+)
 from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
 
@@ -105,3 +117,12 @@ def op7_logbilinear(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 10) == 0
     return logbilinear.score_texts(docs, held_out, Scratch(spark, "logbilinear"))
+
+
+@query
+def op11_conversation_trie(spark, sf_dir):
+    conversations, scratch = table(spark, sf_dir, "conversations"), Scratch(spark, "trie")
+    placed, sizes = conversation_trie.numbered(conversation_trie.turns(conversations), scratch)
+    path, lengths = conversation_trie.forked(placed, sizes)
+    nodes, ends = conversation_trie.prefix_trie(path, lengths, scratch)
+    return conversation_trie.described(nodes, ends)

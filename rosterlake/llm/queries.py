@@ -14,11 +14,13 @@ from rosterlake.llm import (
     logbilinear,
     mil,
     mixing,
+    multi_index,
     neardup,
     secrets,
     tokens,
     toxicity,
     warc,
+    whitening,
 )
 from rosterlake.llm.common import Scratch, crc_mod, table
 from rosterlake.llm.oracle import ORACLE
@@ -126,3 +128,14 @@ def op11_conversation_trie(spark, sf_dir):
     path, lengths = conversation_trie.forked(placed, sizes)
     nodes, ends = conversation_trie.prefix_trie(path, lengths, scratch)
     return conversation_trie.described(nodes, ends)
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.components(table(spark, sf_dir, "embeddings"), Scratch(spark, "whitening"))
+
+
+@query
+def op13_multi_index(spark, sf_dir):
+    embeddings, scratch = table(spark, sf_dir, "embeddings"), Scratch(spark, "multi-index")
+    return multi_index.neighbours(embeddings, scratch, F.col("vec_id") % 50 == 0)

@@ -1,7 +1,7 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-The derived inputs are written first, untimed, so a query is timed on stored records as
-a job finds them. Every query runs once on the smallest tables to load classes and
+The derived inputs are written first, untimed and in as many files as there are cores, so
+a query is timed on stored records as a job finds them. Every query runs once on the smallest tables to load classes and
 compile, then ``$BENCH_RUNS`` times (2) on the benchmark tables; the best run counts.
 """
 
@@ -56,7 +56,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus, memory=os.environ.get("BENCH_MEMORY", "16g"), partitions=int(cpus))
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
-    prepare(spark, sf_dir, RECIPES, work_folder(spark, "bench"))
+    prepare(spark, sf_dir, RECIPES, work_folder(spark, "bench"), int(cpus))
     times = {}
     for name in HEADLINE:
         if os.path.isdir(warm_dir):

@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PREPARED: dict[tuple[str, str], str] = {}
 
 
-def prepare(spark: SparkSession, sf_dir: str, names: Iterable[str], folder: str) -> None:
-    """Write recipes, so that what reads them later does not build them."""
+def prepare(spark: SparkSession, sf_dir: str, names: Iterable[str], folder: str, files: int) -> None:
+    """Write recipes in ``files`` files each, so that what reads them later does not build them."""
     for name in names:
-        derived(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+        derived(spark, sf_dir, name).repartition(files).write.parquet(f"{folder}/{name}")
         PREPARED[sf_dir, name] = f"{folder}/{name}"
 
 

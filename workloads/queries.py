@@ -620,14 +620,15 @@ def attrition_corrected(spark, sf):
 def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]:
     """Page dumps of all three sources."""
     paths = {
-        "workday": ("employees", workers, "page"),
-        "greenhouse": ("job_applications", "application_pages", "page"),
-        "airtable": ("employees", "wrapped_employees", "page_row"),
+        "workday": ("employees", workers, "page", "first_k"),
+        "greenhouse": ("job_applications", "application_pages", "page", "first_k"),
+        "airtable": ("employees", "wrapped_employees", "page_row", "k"),
     }
     dumps = {}
-    for source, (entity, recipe, column) in paths.items():
+    for source, (entity, recipe, column, order) in paths.items():
         path = f"{root}/dump/{source}"
-        derived(spark, sf, recipe).select(column).write.text(path)
+        # Pages lie in the order of their records, however many tasks write them.
+        derived(spark, sf, recipe).orderBy(order).select(column).write.text(path)
         dumps[source] = {entity: path}
     return dumps
 

@@ -93,7 +93,7 @@ from native_workers
 """
 
 LATE_WORKER_PAGES = """
-select '{"data":['||<<JOIN_PAGE>>||'],"_links":{}}' page from late_workers group by <<DIV>>
+select '{"data":['||<<JOIN_PAGE>>||'],"_links":{}}' page, min(k) first_k from late_workers group by <<DIV>>
 """
 
 OFFSET_APPLICATIONS = """
@@ -103,7 +103,7 @@ from native_applications
 """
 
 APPLICATION_PAGES = """
-select '{"data":['||<<JOIN_PAGE>>||'],"_links":{}}' page
+select '{"data":['||<<JOIN_PAGE>>||'],"_links":{}}' page, min(k) first_k
 from native_applications group by <<DIV>>
 """
 

@@ -17,14 +17,14 @@ from rosterlake.plans.daily import RunConfig, run_daily
 
 def parse(args: list[str] | None = None) -> RunConfig:
     parser = argparse.ArgumentParser(prog="rosterlake")
-    parser.add_argument("--root", required=True, help="folder of the raw and built tables")
+    parser.add_argument("--root", required=True, help="folder of all tables and dumps on their way")
     parser.add_argument("--dump", action="append", default=[], metavar="SOURCE/ENTITY=PATH")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="ISO date, today in UTC by default")
     parser.add_argument("--lenient", action="store_true", help="admit the valid records of a batch")
     parser.add_argument("--drift-raw", action="store_true", help="look for drift before mapping")
     parser.add_argument("--drift-sample", type=int, metavar="N", help="look at the first N records only")
     parser.add_argument("--corrected", action="store_true", help="attrition by mean headcount, over all leavers")
-    parser.add_argument("--publish", action="store_true", help="serve the models as catalog views")
+    parser.add_argument("--prefix", default="", help="begins the names of the catalog schemas")
     given = parser.parse_args(args)
     dumps: dict[str, dict[str, str]] = {}
     for item in given.dump:
@@ -43,12 +43,13 @@ def parse(args: list[str] | None = None) -> RunConfig:
         drift_raw=given.drift_raw,
         drift_sample=given.drift_sample,
         corrected=given.corrected,
-        publish=given.publish,
+        prefix=given.prefix,
     )
 
 
 def main() -> None:
-    spark = SparkSession.builder.appName("rosterlake").getOrCreate()
+    # The tables live in the catalog, so a run has to find those of the run before.
+    spark = SparkSession.builder.appName("rosterlake").enableHiveSupport().getOrCreate()
     result = run_daily(spark, parse())
     for stats in result.stats:
         print(stats)

@@ -1,179 +1,167 @@
-"""Parquet tables that are replaced as a whole.
-
-Each write goes to a new folder ``v=<n>``. It becomes the table when its marker is
-there, a small file that is written after the job has succeeded and the checks have
-passed, and that lists the folders the version consists of: its own and, for a table
-kept in parts, those it takes over from older versions. A job that dies leaves the old
-version in place, and a table can be rebuilt from its own content. Two runs that write
-the same table at once take the same number; the second one fails.
+"""Catalog tables that are replaced as a whole.
+
+``schema.name`` is a view. Every write is a table of its own, ``name__v<n>_<token>``, and
+becomes the table when the view is pointed to it, after the job has succeeded and the
+checks have passed: one step, so readers of any session see the old or the new version,
+and a job that dies leaves the old one. The version before stays for readers that have
+planned on it. Of two runs that replace a table at once, the one that ends later fails.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import re
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rosterlake.schemas import NUMERIC
 
-MARKER = "_VERSION"
-PUBLISHED = "_PUBLISHED"
-
-
-class UncommittedData(RuntimeError):
-    """Data without a committed version: a crash, or files of somebody else."""
-
-
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, file = _folder(spark, path)
-    return fs.exists(file)
-
-
-def _write_file(spark: SparkSession, path: str, lines: Iterable[str]) -> None:
-    fs, file = _folder(spark, path)
-    out = fs.create(file, True)
-    out.write(bytearray("\n".join(lines).encode()))
-    out.close()
-
-
-def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
-    """Version numbers below ``root`` in ascending order."""
-    found = [int(n[2:]) for n in _children(spark, root) if n.startswith("v=")]
-    return sorted(n for n in found if not committed or _exists(spark, f"{root}/v={n}/{MARKER}"))
-
-
-def folders(spark: SparkSession, root: str, version: int) -> list[str]:
-    """What a committed version consists of, relative to ``root``."""
-    fs, marker = _folder(spark, f"{root}/v={version}/{MARKER}")
-    stream = fs.open(marker)
-    listed = bytes(stream.readAllBytes()).decode()
-    stream.close()
-    return [line for line in listed.split("\n") if line]
+VERSION = "rosterlake.version"
 
 
-def current(spark: SparkSession, root: str) -> int | None:
-    """Number of the newest committed version."""
-    done = versions(spark, root)
-    return done[-1] if done else None
+class UnknownData(RuntimeError):
+    """Files where a new schema should begin: the catalog that knew them is gone."""
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    fs, folder = _folder(spark, path)
-    fs.delete(folder, True)
+class Conflict(RuntimeError):
+    """Somebody else has replaced the table meanwhile."""
 
 
-def discard_uncommitted(spark: SparkSession, root: str) -> None:
-    """Clean up after a crash."""
-    done = set(versions(spark, root))
-    for n in versions(spark, root, committed=False):
-        if n not in done:
-            discard(spark, f"{root}/v={n}")
-
-
-def next_version(spark: SparkSession, root: str) -> int:
-    taken = versions(spark, root, committed=False)
-    return taken[-1] + 1 if taken else 1
-
+def create_schema(spark: SparkSession, schema: str, location: str) -> None:
+    """A schema whose tables lie below ``location``; an existing one must lie there too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = files.makeQualified(path).toUri().getPath()
+    if spark.catalog.databaseExists(schema):
+        known = spark.catalog.getDatabase(schema).locationUri
+        if spark._jvm.org.apache.hadoop.fs.Path(known).toUri().getPath() != folder:
+            raise ValueError(f"schema {schema} lies in {known}, not in {location}")
+        return
+    if files.exists(path) and len(files.listStatus(path)):
+        raise UnknownData(f"{location} holds data, but the catalog has no schema {schema}")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{location}'")
 
-def commit(spark: SparkSession, root: str, version: int, parts: Iterable[str], keep: int = 2) -> None:
-    """Make a written version the table, then drop versions nobody needs.
 
-    The newest ``keep`` versions stay, for readers that already planned on them, and
-    the one a catalog view was last pointed to, with every folder they list.
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Version tables of ``name``, committed or not, in the order of their numbers."""
+    schema, table = name.split(".")
+    if not spark.catalog.databaseExists(schema):
+        return []
+    found = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{table}__v*'").collect()]
+    known = [t for t in found if re.fullmatch(rf"{re.escape(table)}__v\d+_[0-9a-f]+", t)]
+    return [f"{schema}.{t}" for t in sorted(known, key=_number)]
+
+
+def _number(table: str) -> int:
+    return int(table.rpartition("__v")[2].split("_")[0])
+
+
+def current(spark: SparkSession, name: str) -> str | None:
+    """The version table that the view reads."""
+    if not spark.catalog.tableExists(name):
+        return None
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return properties[VERSION]
+
+
+@dataclass(frozen=True)
+class Written:
+    """A version that is written and not yet the table."""
+
+    spark: SparkSession
+    name: str
+    before: str | None
+    table: str
+
+    def discard(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+    def commit(self, numerics: Iterable[str] = ()) -> None:
+        """Point the view here, then drop versions that nobody needs.
+
+        Unbounded ``numerics`` are served as decimals with six places.
+        """
+        spark, numerics = self.spark, set(numerics)
+        if current(spark, self.name) != self.before:
+            self.discard()
+            raise Conflict(f"{self.name} is no longer {self.before}")
+        columns = [
+            f"CAST(`{c}` AS {NUMERIC.simpleString()}) AS `{c}`" if c in numerics else f"`{c}`"
+            for c in spark.table(self.table).columns
+        ]
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{VERSION}' = '{self.table}') "
+            f"AS SELECT {', '.join(columns)} FROM {self.table}"
+        )
+        for other in versions(spark, self.name):
+            if other not in (self.before, self.table) and _number(other) < _number(self.table):
+                spark.sql(f"DROP TABLE IF EXISTS {other}")
+
+
+def write(
+    df: DataFrame,
+    name: str,
+    buckets: tuple[int, str] | None = None,
+    clustered: Sequence[str] = (),
+) -> Written:
+    """Write the next version of ``name``.
+
+    ``buckets`` is a number and the column whose hash says in which file a row lies.
+    ``clustered`` columns are range-partitioned and sorted, so that the statistics of a
+    file let a reader of a few values skip the others.
     """
-    _write_file(spark, f"{root}/v={version}/{MARKER}", parts)
-    done = versions(spark, root)
-    served = [n for n in done if _exists(spark, f"{root}/v={n}/{PUBLISHED}")]
-    kept = {*done[-keep:], *served[-1:]}
-    if len(kept) == len(done):
-        return
-    needed = {part for n in kept for part in folders(spark, root, n)}
-    for n in done:
-        if n not in kept:
-            own = [p for p in folders(spark, root, n) if p.split("/")[0] == f"v={n}"]
-            lost = [p for p in own if p not in needed]
-            if len(lost) == len(own):
-                discard(spark, f"{root}/v={n}")
-            else:
-                for part in lost:
-                    discard(spark, f"{root}/{part}")
-                discard(spark, f"{root}/v={n}/{MARKER}")
+    spark = df.sparkSession
+    found = versions(spark, name)
+    number = _number(found[-1]) + 1 if found else 1
+    target = Written(spark, name, current(spark, name), f"{name}__v{number}_{uuid.uuid4().hex[:8]}")
+    laid = df.repartitionByRange(*clustered).sortWithinPartitions(*clustered) if clustered else df
+    writer = laid.write
+    if buckets:
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
+    try:
+        writer.saveAsTable(target.table)
+    except Exception:
+        target.discard()
+        raise
+    return target
 
 
 def replace(
-    df: DataFrame, root: str, check: Callable[[DataFrame], object] | None = None, keep: int = 2
+    df: DataFrame,
+    name: str,
+    check: Callable[[DataFrame], object] | None = None,
+    numerics: Iterable[str] = (),
+    clustered: Sequence[str] = (),
 ) -> object:
-    """Write ``df`` as the next version and give what ``check`` says about it.
+    """Write ``df`` as the table and give what ``check`` says about it.
 
-    A version whose check raises, or whose job fails, is deleted; the table is as before.
+    A version whose check raises, or whose job fails, is dropped; the table is as before.
     """
-    spark = df.sparkSession
-    version = next_version(spark, root)
-    path = f"{root}/v={version}"
+    written = write(df, name, clustered=clustered)
     try:
-        df.write.mode("errorifexists").parquet(path)
-        verdict = check(spark.read.schema(df.schema).parquet(path)) if check else None
+        verdict = check(df.sparkSession.table(written.table)) if check else None
     except Exception:
-        discard(spark, path)
+        written.discard()
         raise
-    commit(spark, root, version, [f"v={version}"], keep)
+    written.commit(numerics)
     return verdict
 
 
-def read(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Current version of a table; an empty frame when a schema is given and nothing
-    has ever been written. Data without a committed version is an error."""
-    version = current(spark, root)
-    if version is None:
-        if versions(spark, root, committed=False):
-            raise UncommittedData(f"no committed version below {root}, but data of unfinished writes")
-        if schema is None:
-            raise FileNotFoundError(f"no table at {root}")
-        return spark.createDataFrame([], schema)
-    parts = [f"{root}/{p}" for p in folders(spark, root, version)]
-    if not parts:
-        return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*parts)
-
-
-def materialize(df: DataFrame, root: str) -> DataFrame:
-    """Full rebuild of a table; gives back what was written."""
-    replace(df, root)
-    return read(df.sparkSession, root)
+def read(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Current version of a table as it was written; an empty frame when a schema is
+    given and nothing has ever been written."""
+    table = current(spark, name)
+    if table is not None:
+        return spark.table(table)
+    if schema is None:
+        raise FileNotFoundError(f"no table {name}")
+    return spark.createDataFrame([], schema)
 
 
-def publish(
-    spark: SparkSession, layer: str, name: str, root: str, numerics: Iterable[str] = ()
-) -> None:
-    """Serve the current version of ``root`` as the catalog view ``layer.name``.
-
-    Replacing a view is one step, so readers see the old or the new version.
-    Unbounded numerics are served as decimals with six places.
-    """
-    version, numerics = current(spark, root), set(numerics)
-    if version is None:
-        raise FileNotFoundError(f"no committed version of {root} to publish")
-    paths = [f"{root}/{p}" for p in folders(spark, root, version)]
-    columns = [
-        f"CAST(`{c}` AS {NUMERIC.simpleString()}) AS `{c}`" if c in numerics else f"`{c}`"
-        for c in spark.read.parquet(*paths).columns
-    ]
-    selects = [f"SELECT {', '.join(columns)} FROM parquet.`{p}`" for p in paths]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    # The old version stays protected until the view no longer reads it.
-    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {' UNION ALL '.join(selects)}")
-    _write_file(spark, f"{root}/v={version}/{PUBLISHED}", [f"{layer}.{name}"])
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Full rebuild of a table; gives back what was written."""
+    replace(df, name)
+    return read(df.sparkSession, name)

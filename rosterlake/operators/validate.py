@@ -114,23 +114,24 @@ def rejected_records(landed: DataFrame) -> DataFrame:
     return landed.where(F.col("errors") > "")
 
 
-def counted(validated: DataFrame) -> tuple[DataFrame, Observation]:
-    """``validated`` with the figures of :func:`batch_summary` taken while it is written."""
+def counted(validated: DataFrame, more: Iterable[Column] = ()) -> tuple[DataFrame, Observation]:
+    """``validated`` with the figures of :func:`batch_summary`, and ``more`` aggregates,
+    taken while it is written."""
     seen = Observation()
     figures = (F.count(F.lit(1)).alias("records"), F.count_if(F.col("errors") > "").alias("invalid"))
-    return validated.observe(seen, *figures), seen
+    return validated.observe(seen, *figures, *more), seen
 
 
 def admit(
-    landed: DataFrame, source: str, rejected: str, strict: bool = True, seen: Observation | None = None
+    landed: DataFrame, source: str, rejected: str, strict: bool = True, figures: dict | None = None
 ) -> tuple[DataFrame, int]:
     """Valid records of a batch and their number.
 
     Invalid records are written with their errors to ``rejected``. A strict
-    batch is all or nothing: one invalid record refuses it. ``seen`` holds the counts
-    of the write; without it they are taken here.
+    batch is all or nothing: one invalid record refuses it. ``figures`` are the counts
+    of the write; without them they are taken here.
     """
-    figures = seen.get if seen is not None else batch_summary(landed).first().asDict()
+    figures = figures or batch_summary(landed).first().asDict()
     records, invalid = figures["records"], figures["invalid"]
     if invalid:
         rejected_records(landed).write.mode("overwrite").parquet(rejected)

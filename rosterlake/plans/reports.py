@@ -10,6 +10,9 @@ from rosterlake.functions.exact import rounded_quotient
 
 FUNNEL_STAGES = ("applied", "phone_screen", "interview", "offer", "hired")
 
+# Columns of the staged applications that the funnel reads.
+FUNNEL_INPUTS = ("job_id", "job_title", "department", "stage", "applied_at", "time_in_stage_days")
+
 # Columns a report is read by.
 REPORT_ORDER = {
     "fct_headcount_daily": ("date", "department", "level"),

@@ -43,10 +43,13 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+RAW_REQUIRED = ("id", "source_id", "payload", "batch_id")
+
 DRIFT_LOG_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("source", T.StringType()),
+        T.StructField("entity", T.StringType()),
         T.StructField("detected_at", T.TimestampType()),
         T.StructField("field_name", T.StringType()),
         T.StructField("change_type", T.StringType()),
@@ -56,6 +59,8 @@ DRIFT_LOG_SCHEMA = T.StructType(
     ]
 )
 
+DRIFT_LOG_REQUIRED = ("id", "source", "entity", "field_name", "change_type")
+
 # ---------------------------------------------------------------------------
 # They have to equal what the sources and consumers already use.
 # ---------------------------------------------------------------------------
@@ -107,6 +112,17 @@ WORKER_FIELD_MAP = {
     "Base_Pay": "salary",
     "Performance_Rating": "performance_rating",
 }
+APPLICATION_FIELD_MAP = {
+    "id": "source_id",
+    "candidate_id": "candidate_id",
+    "job_id": "job_id",
+    "job_title": "job_title",
+    "department": "department",
+    "status": "stage",
+    "applied_at": "applied_at",
+    "last_activity_at": "stage_changed_at",
+    "recruiter_id": "recruiter_id",
+}
 
 APPLICATION_STATUS_STAGE = {
     "active": "applied",
@@ -130,6 +146,7 @@ APPLICATION_SOURCES = ("greenhouse", "airtable")
 PII_FIELDS = ("email", "first_name", "last_name", "salary", "performance_rating", "ssn")
 SENSITIVE_FIELDS = ("salary", "performance_rating")
 
+
 EMPLOYEE_BASELINE = {
     "source_id": "str",
     "first_name": "str",
@@ -142,6 +159,17 @@ EMPLOYEE_BASELINE = {
     "level": "str",
     "location": "str",
 }
+APPLICATION_BASELINE = {
+    "source_id": "str",
+    "candidate_id": "str",
+    "job_id": "str",
+    "job_title": "str",
+    "department": "str",
+    "stage": "str",
+    "applied_at": "str",
+    "stage_changed_at": "str",
+}
+BASELINES = {"employees": EMPLOYEE_BASELINE, "job_applications": APPLICATION_BASELINE}
 
 RETENTION_DAYS = 90
 HISTORY_YEARS = 2

@@ -1,14 +1,20 @@
+import datetime as dt
 import json
 import os
+import uuid
+from dataclasses import replace
 
 import pytest
 
 from rosterlake.__main__ import parse
 from rosterlake.operators import tables
+from rosterlake.operators.drift import read_log
 from rosterlake.operators.quality import QualityError
 from rosterlake.operators.upsert import read_raw
 from rosterlake.operators.validate import InvalidBatch
+from rosterlake.plans import staging
 from rosterlake.plans.daily import RunConfig, run_daily
+from rosterlake.schemas import APPLICATION_SOURCES, EMPLOYEE_SOURCES
 from tests.conftest import AS_OF, RUN_TS
 from tests.people import application, worker, write_pages
 
@@ -20,7 +26,7 @@ def config(folder, workers, applications, wrapped=None, **kwargs):
     }
     if wrapped:
         dumps["airtable"] = wrapped
-    return RunConfig(f"{folder}/lake", dumps, AS_OF, RUN_TS, **kwargs)
+    return RunConfig(f"{folder}/lake", dumps, AS_OF, RUN_TS, prefix=f"t{uuid.uuid4().hex}_", **kwargs)
 
 
 def wrapped_rows(folder, name, rows):
@@ -34,6 +40,10 @@ AIR = {
     "source_id": "x1", "first_name": "Eve", "last_name": "K", "email": "e@x", "department": "Data",
     "job_title": "T", "hire_date": "2023-02-01", "level": "M1", "location": "Remote - US",
 }
+APPLIED = {
+    "source_id": "p1", "candidate_id": "c", "job_id": "J", "job_title": "T", "department": "D",
+    "stage": "hired", "applied_at": "2024-01-01", "stage_changed_at": "2024-01-03",
+}
 
 
 def test_full_run(spark, folder):
@@ -43,48 +53,99 @@ def test_full_run(spark, folder):
     assert (stats["workday"].rows, stats["greenhouse"].rows) == (20, 7)
     assert stats["airtable"].skipped and stats["airtable"].error is None
     # Optional fields are not in the baseline, so every run reports them.
-    assert result.drift_events == 4
+    assert result.drift_events == 5
     assert result.alert == "PII schema drift detected in fields: performance_rating, salary"
     assert tables.read(spark, cfg.model("dim_employees")).count() == 20
     assert tables.read(spark, cfg.model("rpt_recruiting_funnel")).count() == 1
     assert all(c.failures == 0 for checks in result.checks.values() for c in checks)
     assert sum(len(c) for c in result.checks.values()) == 17
-    assert spark.table("stg_employees").count() == 20
+    other = spark.newSession()
+    assert other.table(cfg.staged("stg_employees")).count() == 20
+    assert other.table(cfg.staged("stg_job_applications")).count() == 7
+    assert dict(other.table(cfg.model("fct_attrition_monthly")).dtypes)["avg_headcount"] == "decimal(38,6)"
     run_daily(spark, cfg)
     assert read_raw(spark, cfg.raw("employees"), ["workday"]).count() == 20
-    assert spark.read.parquet(cfg.drift_log).count() == 8
+    assert other.table(cfg.raw("employees")).count() == 20
+    assert read_log(spark, cfg.drift_log).count() == 5  # the same run again
+    run_daily(spark, replace(cfg, run_ts=RUN_TS + dt.timedelta(days=1)))
+    assert read_log(spark, cfg.drift_log).count() == 10
+
+
+def test_staging_views_equal_the_models(spark, folder):
+    left = worker(2, Termination_Date="2023-01-15", Hire_Date="2022-01-10", Base_Pay=None)
+    cfg = config(folder, [worker(1), left, worker(3, Performance_Rating="")], [application(1), application(2)])
+    run_daily(spark, cfg)
+    raw = read_raw(spark, cfg.raw("employees"), EMPLOYEE_SOURCES)
+    view, model = spark.table(cfg.staged("stg_employees")), staging.stg_employees(raw, AS_OF)
+    assert view.schema == model.schema and sorted(view.collect()) == sorted(model.collect())
+    raw = read_raw(spark, cfg.raw("job_applications"), APPLICATION_SOURCES)
+    view, model = spark.table(cfg.staged("stg_job_applications")), staging.stg_job_applications(raw)
+    assert view.schema == model.schema and sorted(view.collect()) == sorted(model.collect())
+    slim = spark.table(cfg.staged("stg_employees")).select("department")
+    plan = slim._jdf.queryExecution().executedPlan().toString()
+    assert "salary" not in plan
+
+
+def test_drift_of_every_source_shows(spark, folder):
+    wrapped = {
+        "employees": wrapped_rows(folder, "air-emp", [AIR | {"iban": "x"}]),
+        "job_applications": wrapped_rows(folder, "air-app", [APPLIED | {"referrer": {"a": 1}, "score": 1.5}]),
+    }
+    applications = [application(1, rank=3), application(2, email="a@b")]
+    cfg = config(folder, [worker(1, ssn=5)], applications, wrapped, drift_raw=True)
+    result = run_daily(spark, cfg)
+    added = {
+        (r.source, r.entity, r.field_name, r.new_type, r.is_pii)
+        for r in read_log(spark, cfg.drift_log).where("change_type = 'added'").collect()
+    }
+    assert {
+        ("workday", "employees", "ssn", "int", True), ("airtable", "employees", "iban", "str", False),
+        ("airtable", "job_applications", "referrer", "dict", False),
+        ("airtable", "job_applications", "score", "float", False),
+        ("greenhouse", "job_applications", "rank", "int", False),
+        ("greenhouse", "job_applications", "email", "str", True),
+    } <= added
+    assert "ssn" in result.alert and "email" in result.alert
 
 
 def test_ssn_shows_in_raw_mode_only(spark, folder):
     workers = [worker(i, ssn="000") for i in range(3)]
-    cfg = config(folder, workers, [application(1)], drift_raw=True, publish=True)
+    cfg = config(folder, workers, [application(1)], drift_raw=True)
     result = run_daily(spark, cfg)
     assert "ssn" in result.alert
-    assert spark.sql("select count(*) n from analytics.dim_employees").first().n == 3
-    for name in ("dim_employees", "fct_headcount_daily", "fct_attrition_monthly", "rpt_recruiting_funnel"):
-        spark.sql(f"drop view analytics.{name}")
+    assert spark.sql(f"select count(*) n from {cfg.model('dim_employees')}").first().n == 3
+    canonical = run_daily(spark, replace(cfg, drift_raw=False))
+    assert "ssn" not in canonical.alert
 
 
 def test_drift_finds_a_late_field(spark, folder):
     workers = [worker(i, **({"ssn": "000"} if i == 59 else {})) for i in range(60)]
     cfg = config(folder, workers, [application(1)], drift_raw=True)
     assert "ssn" in run_daily(spark, cfg).alert
-    sampled = RunConfig(f"{folder}/sampled", cfg.dumps, AS_OF, RUN_TS, drift_raw=True, drift_sample=50)
+    sampled = replace(cfg, drift_sample=50)
     assert "ssn" not in run_daily(spark, sampled).alert
 
 
 def test_failed_checks_keep_the_published_version(spark, folder):
-    cfg = config(folder, [worker(1)], [application(1)], publish=True)
+    cfg = config(folder, [worker(1)], [application(1)])
     run_daily(spark, cfg)
     for n in range(3):
         bad = [worker(1), worker(2, Management_Level="X9")]
         dumps = {**cfg.dumps, "workday": {"employees": write_pages(folder, f"bad{n}", [bad])}}
         with pytest.raises(QualityError):
-            run_daily(spark, RunConfig(cfg.root, dumps, AS_OF, RUN_TS, publish=True))
-        assert spark.table("analytics.dim_employees").count() == 1
+            run_daily(spark, replace(cfg, dumps=dumps))
+        assert spark.table(cfg.model("dim_employees")).count() == 1
         assert tables.read(spark, cfg.model("dim_employees")).count() == 1
-    for name in ("dim_employees", "fct_headcount_daily", "fct_attrition_monthly", "rpt_recruiting_funnel"):
-        spark.sql(f"drop view analytics.{name}")
+
+
+def test_failed_staging_check_keeps_the_model(spark, folder):
+    cfg = config(folder, [worker(1)], [application(1)])
+    run_daily(spark, cfg)
+    bad = [worker(1), worker(2, Worker_Type="intern"), worker(3, Worker_Type="intern")]
+    dumps = {**cfg.dumps, "workday": {"employees": write_pages(folder, "bad", [bad])}}
+    with pytest.raises(QualityError, match=r"accepted_values_stg_employees_employment_type \(1\)"):
+        run_daily(spark, replace(cfg, dumps=dumps))
+    assert spark.table(cfg.model("dim_employees")).count() == 1
 
 
 def test_corrected_run_counts_everybody_who_left(spark, folder):
@@ -99,18 +160,14 @@ def test_unknown_entity_is_refused_before_anything_lands(spark, folder):
     cfg = config(folder, [worker(1)], [application(1)])
     dumps = {**cfg.dumps, "greenhouse": {**cfg.dumps["greenhouse"], "employees": folder}}
     with pytest.raises(NotImplementedError):
-        run_daily(spark, RunConfig(cfg.root, dumps, AS_OF, RUN_TS))
+        run_daily(spark, replace(cfg, dumps=dumps))
     assert not os.path.exists(cfg.root)
 
 
 def test_optional_source_lands_both_entities(spark, folder):
     wrapped = {
         "employees": wrapped_rows(folder, "air-emp", [AIR]),
-        "job_applications": wrapped_rows(
-            folder, "air-app",
-            [{"source_id": "p1", "candidate_id": "c", "job_id": "J", "job_title": "T", "department": "D",
-              "stage": "hired", "applied_at": "2024-01-01", "stage_changed_at": "2024-01-03"}],
-        ),
+        "job_applications": wrapped_rows(folder, "air-app", [APPLIED]),
     }
     cfg = config(folder, [worker(1)], [application(1)], wrapped)
     stats = {s.source: s for s in run_daily(spark, cfg).stats}
@@ -128,9 +185,7 @@ def test_optional_source_that_fails_is_skipped_whole(spark, folder):
     stats = {s.source: s for s in run_daily(spark, cfg).stats}
     assert stats["airtable"].skipped and "invalid" in stats["airtable"].error
     assert read_raw(spark, cfg.raw("employees"), ["airtable"]).count() == 0
-    missing = RunConfig(
-        cfg.root, {**cfg.dumps, "airtable": {"employees": f"{folder}/nowhere"}}, AS_OF, RUN_TS
-    )
+    missing = replace(cfg, dumps={**cfg.dumps, "airtable": {"employees": f"{folder}/nowhere"}})
     assert {s.source: s.skipped for s in run_daily(spark, missing).stats}["airtable"]
 
 
@@ -163,7 +218,7 @@ def test_empty_batch_writes_nothing(spark, folder):
     cfg = config(folder, [worker(1)], [])
     stats = {s.source: s.rows for s in run_daily(spark, cfg).stats}
     assert stats["greenhouse"] == 0
-    assert tables.versions(spark, f"{cfg.raw('job_applications')}/source=greenhouse") == []
+    assert tables.versions(spark, f"{cfg.raw('job_applications')}_greenhouse") == []
 
 
 def test_core_source_must_be_configured(spark, folder):
@@ -178,6 +233,6 @@ def test_command_line():
          "--as-of", "2024-03-15", "--lenient", "--corrected"]
     )
     assert cfg.dumps == {"workday": {"employees": "a=b"}, "airtable": {"employees": "c"}}
-    assert (cfg.as_of, cfg.strict, cfg.drift_sample, cfg.publish) == (AS_OF, False, None, False) and cfg.corrected
+    assert (cfg.as_of, cfg.strict, cfg.drift_sample, cfg.prefix) == (AS_OF, False, None, "") and cfg.corrected
     with pytest.raises(SystemExit):
         parse(["--root", "r", "--dump", "workday=a"])

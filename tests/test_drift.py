@@ -1,12 +1,20 @@
+import datetime as dt
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from rosterlake.operators.drift import (
     append_log,
     detect_drift,
     infer_schema,
+    log_rows,
     native_names,
     native_pii,
     pii_alert,
+    raw_state,
+    raw_types,
+    read_log,
 )
 from rosterlake.schemas import EMPLOYEE_BASELINE, PII_FIELDS, WORKER_FIELD_MAP
 from tests.conftest import RUN_TS
@@ -112,18 +120,69 @@ def test_no_alert_without_pii(spark):
     assert pii_alert(detect_drift(infer_schema(records, ["k"]), BASELINE, PII)).count() == 0
 
 
-def test_log_appends_and_skips_empty(spark, folder):
-    path = f"{folder}/log"
-    drifted = detect_drift(infer_schema(record_frame(spark, [SAME | {"t": 1}]), ["k"]), BASELINE, PII)
-    none = detect_drift(infer_schema(record_frame(spark, [SAME]), ["k"]), BASELINE, PII)
-    assert append_log(drifted, "workday", RUN_TS, path)
-    assert not append_log(none, "workday", RUN_TS, path)
-    assert append_log(drifted, "airtable", RUN_TS, path)
-    rows = spark.read.parquet(path).collect()
-    assert {(r.source, r.field_name, r.change_type) for r in rows} == {
-        ("workday", "t", "added"), ("airtable", "t", "added"),
-    }
-    assert len({r.id for r in rows}) == 2 and all(r.id >= 0 for r in rows)
+def drifted(spark, *records):
+    return detect_drift(infer_schema(record_frame(spark, records), ["k"]), BASELINE, PII)
+
+
+def append(events, source, at, log, entity="employees"):
+    append_log(log_rows(events, source, entity, at), source, at, log)
+
+
+def test_a_repeated_append_gives_each_event_once(spark, schema):
+    log, later = f"{schema}.schema_drift_log", RUN_TS + dt.timedelta(days=1)
+    found, none = drifted(spark, SAME | {"t": 1}), drifted(spark, SAME)
+    for source, at in (("workday", RUN_TS), ("airtable", RUN_TS), ("workday", later), ("workday", RUN_TS)):
+        append(found, source, at, log)
+    rows = read_log(spark, log).collect()
+    assert sorted((r.source, r.detected_at.day, r.field_name, r.change_type) for r in rows) == [
+        ("airtable", 15, "t", "added"), ("workday", 15, "t", "added"), ("workday", 16, "t", "added"),
+    ]
+    assert len({r.id for r in rows}) == 3 and all(r.id >= 0 for r in rows)
+    append(drifted(spark, SAME | {"u": 1}), "workday", RUN_TS, log)  # the run again, with other data
+    append(none, "workday", later, log)
+    assert sorted((r.source, r.field_name) for r in read_log(spark, log).collect()) == [("airtable", "t"), ("workday", "u")]
+
+
+def test_log_refuses_an_event_without_a_field(spark, schema):
+    nameless = drifted(spark, SAME | {"t": 1}).withColumn("field_name", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="null in column field_name"):
+        append(nameless, "workday", RUN_TS, f"{schema}.schema_drift_log")
+
+
+def landed_types(spark, records, known):
+    """Types as a landing takes them, and how often it had to look at the records again."""
+    frame = record_frame(spark, records).repartition(3)
+    figures = frame.agg(*raw_state(known, ["k"])).first().asDict()
+    asked = []
+
+    def look(names):
+        asked.append(names)
+        return infer_schema(frame, ["k"], names)
+
+    found = raw_types(spark, figures, known, look)
+    return {r.field_name: r.type_name for r in found.collect()}, asked
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_landing_state_equals_the_second_pass(spark, seed):
+    rnd = random.Random(seed)
+    samples = [None, 1, 2.5, True, "x", [1], {"z": 1}, 10**25, 1e300, -0.0]
+    one_kind = {f: rnd.choice(samples) for f in "efgh"}
+    records = [
+        {f: one_kind.get(f, rnd.choice(samples)) for f in "abcdefgh" if rnd.random() < 0.4} for _ in range(50)
+    ]
+    want = {r.field_name: r.type_name for r in infer_schema(record_frame(spark, records), ["k"]).collect()}
+    found, asked = landed_types(spark, records, ["a", "b", "e", "missing"])
+    assert found == want
+    assert not any("a" in names or "b" in names for names in asked)
+
+
+def test_known_fields_need_no_second_look(spark):
+    records = [SAME | {"badge": v} for v in (None, 1.5, "x")] + [SAME | {"new": "y"}]
+    found, asked = landed_types(spark, records, list(BASELINE))
+    assert found["badge"] == "float" and found["new"] == "str" and asked == []
+    assert landed_types(spark, [SAME, "5"], list(BASELINE))[1] == [None]
+    assert landed_types(spark, ["{}"], list(BASELINE))[0] == {}
 
 
 def test_types_are_reduced_before_the_ordered_step(spark):

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions.values import member_text, strip
 from rosterlake.operators import tables
+from rosterlake.operators import upsert as upsert_module
+from rosterlake.operators.constraints import refused
 from rosterlake.operators.envelope import to_envelope
-from rosterlake.operators.upsert import KEYS, last_per_key, merge, read_raw, upsert
+from rosterlake.operators.upsert import KEYS, last_per_key, merge, read_raw, serve_raw, upsert
 from rosterlake.operators.validate import InvalidBatch, admit, batch_summary, validate
-from rosterlake.schemas import APPLICATION_FIELDS, EMPLOYEE_FIELDS
+from rosterlake.schemas import APPLICATION_FIELDS, EMPLOYEE_FIELDS, RAW_REQUIRED
 from rosterlake.sources.mapping import map_applications, map_workers
 from tests.conftest import RUN_TS
 from tests.people import application, record_frame, worker
@@ -161,42 +163,42 @@ def batch(spark, workers, batch_id):
     return to_envelope(checked(spark, *workers), EMPLOYEE_FIELDS, "workday", batch_id, RUN_TS, ["k"])
 
 
-def test_upsert_twice_keeps_rows_and_ids(spark, folder):
+def test_upsert_twice_keeps_rows_and_ids(spark, raw):
     workers = [worker(i) for i in range(10)]
-    upsert(spark, folder, batch(spark, workers, "b1"), "workday", ["k"])
-    first = {r.source_id: r.id for r in read_raw(spark, folder, ["workday"]).collect()}
-    upsert(spark, folder, batch(spark, workers, "b2"), "workday", ["k"])
-    again = read_raw(spark, folder, ["workday"])
+    upsert(spark, raw, batch(spark, workers, "b1"), "workday", ["k"])
+    first = {r.source_id: r.id for r in read_raw(spark, raw, ["workday"]).collect()}
+    upsert(spark, raw, batch(spark, workers, "b2"), "workday", ["k"])
+    again = read_raw(spark, raw, ["workday"])
     assert again.count() == 10
     assert {r.source_id: r.id for r in again.collect()} == first
     assert {r.batch_id for r in again.collect()} == {"b2"}
     assert len(set(first.values())) == 10
 
 
-def test_upsert_replaces_hits_and_leaves_the_rest(spark, folder):
-    upsert(spark, folder, batch(spark, [worker(i) for i in range(4)], "b1"), "workday", ["k"])
+def test_upsert_replaces_hits_and_leaves_the_rest(spark, raw):
+    upsert(spark, raw, batch(spark, [worker(i) for i in range(4)], "b1"), "workday", ["k"])
     changed = [worker(i, Job_Title="Lead") for i in range(2, 6)]
-    upsert(spark, folder, batch(spark, changed, "b2"), "workday", ["k"])
+    upsert(spark, raw, batch(spark, changed, "b2"), "workday", ["k"])
     title = member_text(F.col("payload"), "job_title").alias("title")
-    rows = read_raw(spark, folder, ["workday"]).select("source_id", "batch_id", title).collect()
+    rows = read_raw(spark, raw, ["workday"]).select("source_id", "batch_id", title).collect()
     assert {(r.source_id, r.batch_id, r.title) for r in rows} == {
         ("w-0", "b1", "Engineer"), ("w-1", "b1", "Engineer"), ("w-2", "b2", "Lead"),
         ("w-3", "b2", "Lead"), ("w-4", "b2", "Lead"), ("w-5", "b2", "Lead"),
     }
 
 
-def test_upsert_of_one_source_leaves_others(spark, folder):
-    upsert(spark, folder, batch(spark, [worker(1)], "b1"), "workday", ["k"])
-    upsert(spark, folder, batch(spark, [worker(1), worker(2)], "b2"), "airtable", ["k"])
-    assert read_raw(spark, folder, ["workday"]).count() == 1
-    assert read_raw(spark, folder, ["workday", "airtable"]).count() == 3
-    assert read_raw(spark, folder, ["greenhouse"]).count() == 0
+def test_upsert_of_one_source_leaves_others(spark, raw):
+    upsert(spark, raw, batch(spark, [worker(1)], "b1"), "workday", ["k"])
+    upsert(spark, raw, batch(spark, [worker(1), worker(2)], "b2"), "airtable", ["k"])
+    assert read_raw(spark, raw, ["workday"]).count() == 1
+    assert read_raw(spark, raw, ["workday", "airtable"]).count() == 3
+    assert read_raw(spark, raw, ["greenhouse"]).count() == 0
 
 
-def test_last_record_of_a_key_wins(spark, folder):
+def test_last_record_of_a_key_wins(spark, raw):
     workers = [worker(1, Job_Title="old"), worker(2), worker(1, Job_Title="new")]
-    upsert(spark, folder, batch(spark, workers, "b1"), "workday", ["k"])
-    rows = read_raw(spark, folder, ["workday"]).select(
+    upsert(spark, raw, batch(spark, workers, "b1"), "workday", ["k"])
+    rows = read_raw(spark, raw, ["workday"]).select(
         "source_id", member_text(F.col("payload"), "job_title").alias("t")
     )
     assert {tuple(r) for r in rows.collect()} == {("w-1", "new"), ("w-2", "Engineer")}
@@ -215,30 +217,86 @@ def test_merge_shuffles_each_side_once(spark):
     assert plan.count("Join") == 1
 
 
-def test_failed_version_is_not_read(spark, tmp_path):
-    root = str(tmp_path / "t")
-    tables.replace(spark.range(3).toDF("n"), root)
-    (tmp_path / "t" / "v=2").mkdir()
-    assert tables.read(spark, root).count() == 3
-    tables.replace(spark.range(5).toDF("n"), root)
-    assert tables.current(spark, root) == 3
+def test_a_version_counts_once_it_is_committed(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(spark.range(3).toDF("n"), name)
+    lost = tables.write(spark.range(9).toDF("n"), name)  # its job ended, the driver died
+    assert tables.read(spark, name).count() == 3
+    tables.replace(spark.range(5).toDF("n"), name)
+    assert tables.read(spark, name).count() == spark.newSession().table(name).count() == 5
+    assert lost.table not in tables.versions(spark, name)
 
 
-def test_table_can_be_rebuilt_from_itself(spark, tmp_path):
-    root = str(tmp_path / "t")
-    tables.replace(spark.range(3).toDF("n"), root)
+def test_table_can_be_rebuilt_from_itself(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(spark.range(3).toDF("n"), name)
     for _ in range(3):
-        grown = tables.read(spark, root).selectExpr("n + 1 as n")
-        assert tables.materialize(grown, root).count() == 3
-    assert tables.versions(spark, root) == [3, 4]
-    assert sorted(r.n for r in tables.read(spark, root).collect()) == [3, 4, 5]
+        grown = tables.read(spark, name).selectExpr("n + 1 as n")
+        assert tables.materialize(grown, name).count() == 3
+    assert len(tables.versions(spark, name)) == 2
+    assert sorted(r.n for r in tables.read(spark, name).collect()) == [3, 4, 5]
 
 
-def test_published_view_follows_new_versions(spark, tmp_path):
-    root = str(tmp_path / "t")
+def test_view_serves_decimals_of_the_newest_version(spark, schema):
+    name = f"{schema}.numbers"
     for n in (3, 5):
-        tables.replace(spark.range(n).selectExpr("id", "id / 4 as rate"), root)
-        tables.publish(spark, "analytics", "numbers", root, ["rate"])
-        served = spark.table("analytics.numbers")
+        tables.replace(spark.range(n).selectExpr("id", "id / 4 as rate"), name, numerics=["rate"])
+        served = spark.table(name)
         assert served.count() == n and dict(served.dtypes)["rate"] == "decimal(38,6)"
-    spark.sql("drop view analytics.numbers")
+        assert dict(tables.read(spark, name).dtypes)["rate"] == "double"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_reads_the_target_where_it_lies(spark, raw):
+    upsert(spark, raw, batch(spark, [worker(i) for i in range(40)], "b1"), "workday", ["k"])
+    target = tables.read(spark, f"{raw}_workday")
+    rows = last_per_key(batch(spark, [worker(3)], "b2").drop("source"), ["k"], ("source_id",))
+    lines = plan_of(merge(target, rows, ("source_id",))).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert join < scan and not any("Exchange" in line for line in lines[join:scan])
+
+
+def test_buckets_follow_the_size(spark, raw, monkeypatch):
+    def buckets():
+        return upsert_module._buckets(spark, tables.current(spark, f"{raw}_workday"))
+
+    for n, size, want in ((1, 1 << 40, 1), (2, 1 << 40, 1), (3, 2000, 4), (4, 2000, 4)):
+        monkeypatch.setattr(upsert_module, "BUCKET_BYTES", size)
+        monkeypatch.setattr(upsert_module, "plan_bytes", lambda df: 4000)
+        upsert(spark, raw, batch(spark, [worker(i) for i in range(n, 8)], f"b{n}"), "workday", ["k"])
+        assert buckets() == want
+    assert sorted(r.source_id for r in read_raw(spark, raw, ["workday"]).collect()) == [f"w-{i}" for i in range(1, 8)]
+    monkeypatch.undo()
+    assert upsert_module.bucket_count(None, None, spark.range(10)) == 1
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    assert upsert_module.bucket_count(None, None, unknown) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert upsert_module.bucket_count(None, 7, unknown) == 7
+
+
+@pytest.mark.parametrize("column", ["source_id", "payload", "batch_id"])
+def test_a_null_refuses_the_batch(spark, raw, column):
+    upsert(spark, raw, batch(spark, [worker(1)], "b1"), "workday", ["k"])
+    broken = batch(spark, [worker(2), worker(3)], "b2")
+    second = F.col("source_id") == "w-3"
+    kind = broken.schema[column].dataType
+    broken = broken.withColumn(column, F.when(~second, F.col(column)).otherwise(F.lit(None).cast(kind)))
+    with pytest.raises(Exception, match=f"null in column {'source_id' if column == 'source_id' else column}"):
+        upsert(spark, raw, broken, "workday", ["k"])
+    assert [r.batch_id for r in read_raw(spark, raw, ["workday"]).collect()] == ["b1"]
+    assert len(tables.versions(spark, f"{raw}_workday")) == 1
+    assert [r.null_columns for r in refused(broken, RAW_REQUIRED[1:]).collect()] == [column]
+
+
+def test_raw_view_names_its_sources(spark, raw):
+    serve_raw(spark, raw, ["workday", "airtable"])
+    assert spark.table(raw).count() == 0
+    for source in ("workday", "airtable"):
+        upsert(spark, raw, batch(spark, [worker(1), worker(2)], "b1"), source, ["k"])
+    serve_raw(spark, raw, ["workday", "airtable"])
+    seen = spark.newSession().table(raw)
+    assert seen.where("source = 'airtable'").count() == 2 and seen.count() == 4
+    assert plan_of(seen.where("source = 'airtable'")).count("FileScan") == 1

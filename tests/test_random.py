@@ -142,7 +142,7 @@ def test_funnel(spark):
     assert {tuple(r) for r in frame.collect()} == want
 
 
-def test_upserts(spark, folder):
+def test_upserts(spark, raw):
     rnd = random.Random(9)
     state, ids = {}, {}
     for n in range(4):
@@ -151,9 +151,9 @@ def test_upserts(spark, folder):
             state[record["Worker_ID"]] = (record["Job_Title"], f"b{n}")
         checked = validate(map_workers(record_frame(spark, batch), ["k"]), EMPLOYEE_FIELDS, ["k"])
         rows = to_envelope(checked, EMPLOYEE_FIELDS, "workday", f"b{n}", RUN_TS, ["k"])
-        upsert(spark, folder, rows, "workday", ["k"])
+        upsert(spark, raw, rows, "workday", ["k"])
         title = member_text(F.col("payload"), "job_title").alias("title")
-        found = read_raw(spark, folder, ["workday"]).select("id", "source_id", title, "batch_id").collect()
+        found = read_raw(spark, raw, ["workday"]).select("id", "source_id", title, "batch_id").collect()
         assert {r.source_id: (r.title, r.batch_id) for r in found} == state
         assert all(ids.setdefault(r.source_id, r.id) == r.id for r in found)
     assert len(set(ids.values())) == len(ids)

@@ -1,15 +1,7 @@
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
 from rosterlake.operators import tables
-from rosterlake.operators.envelope import to_envelope
-from rosterlake.operators.upsert import bucket_of, read_raw, source_root, upsert
-from rosterlake.schemas import EMPLOYEE_FIELDS
-from tests.conftest import RUN_TS
-from tests.test_landing import checked
-from tests.people import worker
 from workloads.queries import QUERIES
 
 
@@ -21,70 +13,86 @@ def refuse(_):
     raise ValueError("no")
 
 
-def test_failed_check_leaves_the_table_and_the_view(spark, tmp_path):
-    root = str(tmp_path / "t")
-    tables.replace(numbers(spark, 3), root)
-    tables.publish(spark, "analytics", "kept", root)
+def test_failed_check_leaves_the_table(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(numbers(spark, 3), name)
     for _ in range(3):
         with pytest.raises(ValueError):
-            tables.replace(numbers(spark, 9), root, refuse)
-    for n in (4, 5, 6):  # good, but not published
-        tables.replace(numbers(spark, n), root)
-    assert spark.table("analytics.kept").count() == 3
-    assert tables.read(spark, root).count() == 6
-    tables.publish(spark, "analytics", "kept", root)
-    tables.replace(numbers(spark, 7), root)
-    assert spark.table("analytics.kept").count() == 6
-    assert tables.versions(spark, root, committed=False) == [4, 5]
-    spark.sql("drop view analytics.kept")
-
-
-def test_committer_marker_is_not_needed(spark, folder):
-    setting = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop.set(setting, "false")
-    try:
-        land(spark, folder, [worker(i) for i in range(10)], "b1")
-        land(spark, folder, [worker(1), worker(11)], "b2")
-    finally:
-        hadoop.unset(setting)
-    assert read_raw(spark, folder, ["workday"]).count() == 11
-
-
-def test_uncommitted_data_is_not_an_empty_table(spark, folder):
-    numbers(spark, 2).write.parquet(f"{folder}/v=1")
-    with pytest.raises(tables.UncommittedData):
-        tables.read(spark, folder, numbers(spark, 0).schema)
-    tables.discard_uncommitted(spark, folder)
-    assert tables.read(spark, folder, numbers(spark, 0).schema).count() == 0
-
-
-def land(spark, folder, workers, batch_id, **options):
-    batch = to_envelope(checked(spark, *workers), EMPLOYEE_FIELDS, "workday", batch_id, RUN_TS, ["k"])
-    return upsert(spark, folder, batch, "workday", ["k"], **options)
-
-
-def data_files(root):
-    return {
-        os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")
-    }
-
-
-def test_small_batch_leaves_other_buckets_alone(spark, folder):
-    root = source_root(folder, "workday")
-    first = land(spark, folder, [worker(i) for i in range(60)], "b1")
-    before = data_files(root)
-    second = land(spark, folder, [worker(7, Job_Title="Lead")], "b2")
-    bucket = spark.range(1).select(bucket_of(F.lit("w-7"), 16).alias("b")).first().b
-    assert before <= data_files(root)
-    assert {os.path.basename(os.path.dirname(f)) for f in data_files(root) - before} == {f"bucket={bucket}"}
-    listed = tables.folders(spark, root, second)
-    assert f"v={second}/bucket={bucket}" in listed
-    assert all(p.startswith(f"v={first}/") for p in listed if not p.endswith(f"bucket={bucket}"))
-    for i in range(3):  # old versions go, what newer ones refer to stays
-        land(spark, folder, [worker(7, Job_Title=f"Title {i}")], f"b{3 + i}")
-    assert read_raw(spark, folder, ["workday"]).count() == 60
-    assert len(tables.versions(spark, root)) == 2
+            tables.replace(numbers(spark, 9), name, refuse)
+    assert spark.table(name).count() == tables.read(spark, name).count() == 3
+    assert len(tables.versions(spark, name)) == 1
+
+
+def test_failed_job_leaves_the_table(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(numbers(spark, 3), name)
+    with pytest.raises(Exception, match="broken"):
+        tables.replace(numbers(spark, 3).select(F.raise_error(F.lit("broken")).cast("long").alias("n")), name)
+    assert tables.read(spark, name).count() == 3 and len(tables.versions(spark, name)) == 1
+
+
+def test_the_later_of_two_writers_fails(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(numbers(spark, 3), name)
+    first, second = tables.write(numbers(spark, 4), name), tables.write(numbers(spark, 5), name)
+    first.commit()
+    with pytest.raises(tables.Conflict):
+        second.commit()
+    assert tables.read(spark, name).count() == 4
+    tables.replace(numbers(spark, 6), name)
+    assert tables.read(spark, name).count() == 6
+
+
+def test_readers_of_the_version_before_go_on(spark, schema):
+    name = f"{schema}.numbers"
+    tables.replace(numbers(spark, 3), name)
+    planned = spark.table(name).selectExpr("n + 1 AS n")
+    tables.replace(numbers(spark, 4), name)
+    assert planned.count() == 3
+
+
+def test_tables_with_like_names_are_apart(spark, schema):
+    tables.replace(numbers(spark, 3), f"{schema}.a")
+    tables.replace(numbers(spark, 4), f"{schema}.a_b")
+    tables.replace(numbers(spark, 5), f"{schema}.a__version")
+    assert [len(tables.versions(spark, f"{schema}.{n}")) for n in ("a", "a_b", "a__version")] == [1, 1, 1]
+    assert tables.read(spark, f"{schema}.a").count() == 3
+
+
+def test_schemas_keep_their_place(spark, schema, tmp_path):
+    tables.create_schema(spark, schema, str(tmp_path / schema))
+    with pytest.raises(ValueError, match="lies in"):
+        tables.create_schema(spark, schema, str(tmp_path / "elsewhere"))
+    numbers(spark, 2).write.parquet(str(tmp_path / "left" / "numbers"))
+    with pytest.raises(tables.UnknownData):
+        tables.create_schema(spark, "t_lost", str(tmp_path / "left"))
+    assert tables.read(spark, f"{schema}.none", numbers(spark, 0).schema).count() == 0
+    with pytest.raises(FileNotFoundError):
+        tables.read(spark, f"{schema}.none")
+
+
+def rows_scanned(df):
+    """Rows that the scan of a finished query handed on."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().length() or node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan() if "Adaptive" in node.getClass().getSimpleName() else node.children().head()
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_clustered_table_skips_other_months(spark, schema):
+    name = f"{schema}.daily"
+    days = spark.range(120_000).selectExpr(
+        "date_add(DATE'2023-01-01', cast(hash(id) % 360 as int)) AS date", "id % 7 AS level", "id AS headcount"
+    )
+    tables.replace(days, name, clustered=("date", "level"))
+    month = tables.read(spark, name).where("date BETWEEN DATE'2023-03-01' AND DATE'2023-03-31'")
+    wanted = month.count()
+    month = tables.read(spark, name).where("date BETWEEN DATE'2023-03-01' AND DATE'2023-03-31'")
+    assert 0 < wanted <= rows_scanned(month) < 60_000  # of 120,000
+    tables.replace(days, f"{schema}.mixed")
+    mixed = tables.read(spark, f"{schema}.mixed").where("date BETWEEN DATE'2023-03-01' AND DATE'2023-03-31'")
+    assert rows_scanned(mixed) == 120_000
 
 
 @pytest.mark.parametrize(

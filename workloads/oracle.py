@@ -21,6 +21,12 @@ EMPLOYEE_BASELINE = dict.fromkeys(
     ("source_id", "first_name", "last_name", "email", "department", "job_title", "hire_date",
      "employment_type", "level", "location"), "str",
 )
+APPLICATION_BASELINE = dict.fromkeys(
+    ("source_id", "candidate_id", "job_id", "job_title", "department", "stage", "applied_at",
+     "stage_changed_at"), "str",
+)
+# Names of the application source where they differ from the canonical ones.
+NATIVE_APPLICATION = {"source_id": "id", "stage": "status", "stage_changed_at": "last_activity_at"}
 LEVELS = ("IC1", "IC2", "IC3", "IC4", "IC5", "IC6", "M1", "M2", "M3", "M4", "M5")
 PII_FIELDS = ("email", "first_name", "last_name", "salary", "performance_rating", "ssn")
 
@@ -368,13 +374,70 @@ raw_applications as (
   where coalesce(json_type(payload, '$.last_activity_at'), 'VARCHAR') <> 'NULL'),
 {STG_APPLICATIONS},
 {FUNNEL}"""
-RUN_DRIFT = (
-    f"{WORKERS},\ncanonical as (select k, {CANONICAL_JSON} body from native_workers),\n"
-    f"{TYPES.format(records='canonical', payload='body')},\n{baseline(EMPLOYEE_BASELINE)},\n{events(PII_FIELDS)}"
+
+
+def drift_of(bodies: str, baselines: dict[tuple[str, str], dict[str, str]], pii) -> str:
+    """Events of several sources; ``bodies`` gives ``(source, entity, k, body)``."""
+    known = ", ".join(
+        f"('{source}', '{entity}', '{n}', '{t}')"
+        for (source, entity), fields in baselines.items()
+        for n, t in fields.items()
+    )
+    return f"""
+bodies as ({bodies}),
+members as (select source, entity, k, e.key field_name, e.type t from bodies, json_each(body) e),
+typed as (
+  select source, entity, k, field_name, case t when 'VARCHAR' then 'str' when 'UBIGINT' then 'int'
+    when 'BIGINT' then 'int' when 'DOUBLE' then 'float' when 'BOOLEAN' then 'bool'
+    when 'OBJECT' then 'dict' when 'ARRAY' then 'list' else 'NoneType' end t from members),
+observed as (
+  select source, entity, field_name, coalesce(arg_min(t, k) filter (where t <> 'NoneType'), 'NoneType') type_name
+  from typed group by all),
+baseline as (select * from (values {known}) b(source, entity, field_name, old_type)),
+events as (
+  select * from (
+    select source, entity, field_name,
+      case when old_type is null then 'added' when type_name is null then 'removed'
+           when type_name <> old_type and type_name <> 'NoneType' then 'type_changed' end change_type,
+      old_type, type_name new_type, field_name in ({listed(pii)}) is_pii
+    from observed full join baseline using (source, entity, field_name))
+  where change_type is not null)"""
+
+
+RUN_DRIFT = f"{RUN_RAW},\n{NATIVE_APPS}," + drift_of(
+    f"""select 'workday' source, 'employees' entity, k, {CANONICAL_JSON} body from native_workers
+  union all
+  select 'airtable', 'employees', k, json_object({WRAPPED_FIELDS}) from wrapped_employees
+  where json_exists(page_row, '$.fields')
+    and coalesce(json_type(page_row, '$.fields.employment_type'), 'VARCHAR') <> 'NULL'
+  union all
+  select 'greenhouse', 'job_applications', k, {APPLICATION_JSON} from native_applications
+  where coalesce(json_type(payload, '$.last_activity_at'), 'VARCHAR') <> 'NULL'""",
+    {
+        ("workday", "employees"): EMPLOYEE_BASELINE,
+        ("airtable", "employees"): EMPLOYEE_BASELINE,
+        ("greenhouse", "job_applications"): APPLICATION_BASELINE,
+    },
+    PII_FIELDS,
 )
 LATE_DRIFT = (
-    f"{ctes('late_workers', 'duckdb')},\n{TYPES.format(records='late_workers', payload='payload')},\n"
-    f"{baseline(NATIVE_BASELINE)},\n{events(NATIVE_PII)}"
+    f"{ctes('late_workers', 'duckdb')},\n{WRAPPED.removeprefix(EMP).lstrip(',').strip()},\n{NATIVE_APPS},"
+    + drift_of(
+        """select 'workday' source, 'employees' entity, k, cast(payload as json) body from late_workers
+  union all
+  select 'airtable', 'employees', k, json_extract(page_row, '$.fields') from wrapped_employees
+  where json_exists(page_row, '$.fields')
+  union all
+  select 'greenhouse', 'job_applications', k, cast(payload as json) from native_applications""",
+        {
+            ("workday", "employees"): NATIVE_BASELINE,
+            ("airtable", "employees"): EMPLOYEE_BASELINE,
+            ("greenhouse", "job_applications"): {
+                NATIVE_APPLICATION.get(n, n): t for n, t in APPLICATION_BASELINE.items()
+            },
+        },
+        NATIVE_PII,
+    )
 )
 
 ORACLE: dict[str, str] = {
@@ -391,7 +454,7 @@ ORACLE: dict[str, str] = {
     "raw_scan": f"""with {RAW_EMP} select source, source_id, ingested_at from raw_employees
         where source in ('workday', 'airtable')""",
     "materialize_roundtrip": f"with {ALL_FUNNEL} select * from rpt_recruiting_funnel",
-    "drift_log": f"""with {RAW_DRIFT} select 'workday' source, d detected_at, field_name, change_type,
+    "drift_log": f"""with {RAW_DRIFT} select 'workday' source, 'employees' entity, d detected_at, field_name, change_type,
         old_type, new_type, is_pii from events,
         (values ({RUN}), ({RUN} + interval '1 day')) x(d)""",
     "serve_decimals": f"""with {ALL_ATTRITION} select year_month, department,
@@ -536,9 +599,13 @@ ORACLE: dict[str, str] = {
     "run_attrition": f"with {RUN_ATTRITION} select * from fct_attrition_monthly",
     "run_headcount": f"with {RUN_DAILY} select * from fct_headcount_daily",
     "run_funnel": f"with {RUN_FUNNEL} select * from rpt_recruiting_funnel",
-    "run_drift_log": f"""with {RUN_DRIFT} select 'workday' source, {RUN} detected_at, field_name,
+    "run_drift_log": f"""with {RUN_DRIFT} select source, entity, {RUN} detected_at, field_name,
         change_type, old_type, new_type, is_pii from events""",
+    "run_alert": f"""with {RUN_DRIFT} select count(*) drift_events, 'PII schema drift detected in fields: '
+        || string_agg(distinct field_name, ', ' order by field_name) filter (where is_pii) alert from events""",
+    "run_staged_employees": f"with {RUN_RAW},\n{STG_EMPLOYEES} select * from stg_employees",
+    "run_staged_applications": f"""with {RUN_FUNNEL} select * from stg_job_applications""",
     "run_checks": f"with {RUN_ATTRITION}, {RUN_FUNNEL} {DQ_SUMMARY}",
-    "drift_late_field": f"""with {LATE_DRIFT} select 'workday' source, field_name, change_type,
+    "drift_late_field": f"""with {LATE_DRIFT} select source, entity, field_name, change_type,
         old_type, new_type, is_pii from events""",
 }

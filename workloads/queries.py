@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -32,7 +33,7 @@ from rosterlake.session import configure
 from rosterlake.sources import mapping, pages
 from workloads.frames import derived, records, table
 from workloads.recipes import AS_OF, BATCH_ID, RUN_TS
-from workloads.scratch import work_folder
+from workloads.scratch import work_folder, work_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,18 +177,24 @@ def raw_scan(spark, sf):
 
 @query
 def materialize_roundtrip(spark, sf):
-    return tables.materialize(funnel(spark, sf), f"{work_folder(spark, 'funnel')}/table")
+    return tables.materialize(funnel(spark, sf), f"{work_schema(spark, 'funnel')}.rpt_recruiting_funnel")
 
 
 @query
 def drift_log(spark, sf):
-    path = f"{work_folder(spark, 'drift')}/log"
+    """Events of two days; the first day is logged twice, as a repeated run does."""
+    log = f"{work_schema(spark, 'drift')}.schema_drift_log"
     found = raw_drift(spark, sf).persist()
-    drift.append_log(found, "workday", RUN_TS, path)
-    drift.append_log(found, "workday", RUN_TS + dt.timedelta(days=1), path)
+    for day in (0, 1, 0):
+        at = RUN_TS + dt.timedelta(days=day)
+        drift.append_log(drift.log_rows(found, "workday", "employees", at), "workday", at, log)
     found.unpersist()
-    logged = drift.read_log(spark, path).drop("id")
-    return logged.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
+    return logged(spark, log)
+
+
+def logged(spark, log):
+    rows = drift.read_log(spark, log)
+    return rows.drop("id").withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
 
 
 @query
@@ -449,7 +456,7 @@ def upsert_raw(spark, sf):
 @query
 def upsert_idempotent(spark, sf):
     """The same batch lands twice in a real table, with unchanged ids."""
-    raw = work_folder(spark, "raw")
+    raw = f"{work_schema(spark, 'raw')}.employees"
     checked = landed(checked_workers(spark, sf))
     batch = to_envelope(checked, EMPLOYEE_FIELDS, "workday", BATCH_ID, RUN_TS, ["k"])
     upsert.upsert(spark, raw, batch, "workday", ["k"])
@@ -469,7 +476,7 @@ def upsert_idempotent(spark, sf):
 @query
 def upsert_two_batches(spark, sf):
     """Two different batches land in a real table; ids of the first stay."""
-    raw = work_folder(spark, "raw")
+    raw = f"{work_schema(spark, 'raw')}.employees"
     checked = landed(checked_workers(spark, sf))
     later_id = BATCH_ID[:-1] + "2"
     first = checked.where("k % 3 <> 0")
@@ -559,10 +566,10 @@ def dq_no_null_id(spark, sf):
 
 @query
 def dq_summary(spark, sf):
-    root = work_folder(spark, "checked")
+    schema = work_schema(spark, "checked")
 
     def built(name, frame):
-        return tables.materialize(frame, f"{root}/{name}")
+        return tables.materialize(frame, f"{schema}.{name}")
 
     employees = built("dim_employees", dim(spark, sf))
     counted = built("fct_headcount_daily", marts.fct_headcount_daily(employees, AS_OF))
@@ -635,7 +642,9 @@ def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]
 
 def run_config(spark, sf, purpose, workers="worker_pages", **options) -> RunConfig:
     root = work_folder(spark, purpose)
-    return RunConfig(root, dumped(spark, sf, root, workers), AS_OF, RUN_TS, strict=False, **options)
+    prefix = f"{purpose}_{uuid.uuid4().hex}_"
+    dumps = dumped(spark, sf, root, workers)
+    return RunConfig(root, dumps, AS_OF, RUN_TS, strict=False, prefix=prefix, **options)
 
 
 @query
@@ -651,7 +660,7 @@ def finished(spark, sf) -> tuple[RunConfig, RunResult]:
     """One run serves all queries that look at what it built."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _finished:
-        cfg = run_config(spark, sf, "finished", publish=True)
+        cfg = run_config(spark, sf, "finished")
         _finished[key] = cfg, run_daily(spark, cfg)
     return _finished[key]
 
@@ -659,8 +668,8 @@ def finished(spark, sf) -> tuple[RunConfig, RunResult]:
 @query
 def run_dim_employees(spark, sf):
     """Read as the catalog serves it."""
-    finished(spark, sf)
-    served = spark.table("analytics.dim_employees")
+    cfg, _ = finished(spark, sf)
+    served = spark.table(cfg.model("dim_employees"))
     return served.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
 
 
@@ -685,8 +694,28 @@ def run_funnel(spark, sf):
 @query
 def run_drift_log(spark, sf):
     cfg, _ = finished(spark, sf)
-    logged = drift.read_log(spark, cfg.drift_log).drop("id")
-    return logged.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
+    return logged(spark, cfg.drift_log)
+
+
+@query
+def run_alert(spark, sf):
+    """The message of a run and the number of events behind it."""
+    _, result = finished(spark, sf)
+    rows = [(result.drift_events, result.alert)]
+    return spark.createDataFrame(rows, "drift_events bigint, alert string")
+
+
+@query
+def run_staged_employees(spark, sf):
+    """The staging view, as another session reads it."""
+    cfg, _ = finished(spark, sf)
+    return spark.newSession().table(cfg.staged("stg_employees"))
+
+
+@query
+def run_staged_applications(spark, sf):
+    cfg, _ = finished(spark, sf)
+    return spark.newSession().table(cfg.staged("stg_job_applications"))
 
 
 @query

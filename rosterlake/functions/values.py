@@ -8,7 +8,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rosterlake.functions.dates import date_lit
 from rosterlake.schemas import APPLICATION_STATUS_STAGE, DEFAULT_STAGE, RETENTION_DAYS, WHITE_SPACE
 
 
@@ -65,11 +64,6 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(first, F.lit(" "), last)
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    """Whole 24-hour spans between two zone-less timestamps, toward zero."""
-    return F.extract(F.lit("DAY"), later - earlier).cast("bigint")
-
-
 def is_voluntary(employee_id: Column) -> Column:
     """Fixed demo split: the first 32 bits of the id's MD5 are not a multiple of 4.
 
@@ -78,14 +72,15 @@ def is_voluntary(employee_id: Column) -> Column:
     return ~F.substring(F.md5(employee_id), 8, 1).isin("0", "4", "8", "c")
 
 
-def is_active(termination_date: Column, as_of: dt.date) -> Column:
-    return termination_date.isNull() | (termination_date > date_lit(as_of))
+# The staging views are SQL, so these predicates are too.
+
+
+def is_active(as_of: dt.date) -> str:
+    return f"termination_date IS NULL OR termination_date > DATE'{as_of}'"
 
 
-def is_retained(
-    termination_date: Column, as_of: dt.date, days: int | None = RETENTION_DAYS
-) -> Column:
+def is_retained(as_of: dt.date, days: int | None = RETENTION_DAYS) -> str:
     """Still employed, or left less than ``days`` days ago; ``None`` keeps everybody."""
     if days is None:
-        return F.lit(True)
-    return termination_date.isNull() | (termination_date > F.date_sub(date_lit(as_of), days))
+        return "true"
+    return f"termination_date IS NULL OR termination_date > date_sub(DATE'{as_of}', {days})"

@@ -20,6 +20,13 @@ TIMESTAMP_TEXT = (
 )
 
 
+WHOLE_NUMBER, ANY_NUMBER = r"^[+-]?\d+$", r"^[+-]?\d+(\.\d+)?$"
+NUMBER_KIND = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+# Seconds since 1970 up to here, milliseconds beyond; dates run from 1600 to 9999.
+MILLISECONDS_FROM = 20_000_000_000
+FIRST_SECOND, LAST_SECOND = -11_676_096_000, 253_402_300_799
+
+
 class InvalidBatch(ValueError):
     """A strict batch held at least one invalid record."""
 
@@ -29,26 +36,50 @@ def sent(name: str) -> str:
     return f"{name}__sent"
 
 
-def _as_sent(field: Field, text: Column, value: Column) -> Column:
+def _micros(field: Field, text: Column, kind: Column) -> Column:
+    """Microseconds since 1970 of a time that is sent as a number, NULL for other texts.
+
+    Text holds a whole number where a date is wanted, and any plain number for a time.
+    """
+    spelled = text.rlike(WHOLE_NUMBER if field.kind == "date" else ANY_NUMBER)
+    is_number = kind.rlike(NUMBER_KIND) | ((kind == "STRING") & spelled)
+    number = text.try_cast("decimal(38,9)")
+    in_millis = F.abs(number) > MILLISECONDS_FROM
+    known = F.when(in_millis, number.between(1000 * FIRST_SECOND, 1000 * LAST_SECOND + 999)).otherwise(
+        number.between(FIRST_SECOND, LAST_SECOND)
+    )
+    micros = number * F.when(in_millis, F.lit(1_000)).otherwise(F.lit(1_000_000))
+    return F.when(is_number & known, F.round(micros).cast("bigint"))
+
+
+def _as_sent(field: Field, text: Column, value: Column, micros: Column) -> Column:
     """All digits of a number; a time in ISO spelling with its fraction and offset."""
     if field.kind == "decimal":
         return F.when(value.isNotNull(), strip(text))
     iso = F.translate(text, "t_ z,", "TTTZ.")
     day_only = F.concat(iso, F.lit("T00:00:00"))
     minutes = F.regexp_replace(iso, r"^(.{13}:\d{2})([Z+-]|$)", "$1:00$2")
-    return F.when(value.isNotNull(), F.when(F.length(iso) == 10, day_only).otherwise(minutes))
+    part = F.pmod(micros, F.lit(1_000_000))
+    fraction = F.when(part != 0, F.concat(F.lit("."), F.lpad(part.cast("string"), 6, "0"))).otherwise(F.lit(""))
+    counted = F.concat(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
+    spelled = F.when(F.length(iso) == 10, day_only).otherwise(minutes)
+    return F.when(value.isNotNull(), F.when(text.rlike(TIMESTAMP_TEXT), spelled).otherwise(counted))
 
 
-def _parsed(field: Field, text: Column) -> Column:
+def _parsed(field: Field, text: Column, micros: Column) -> Column:
     """Typed value of a field, NULL when the text does not spell one."""
     if field.kind == "text":
         return strip(text)
     if field.kind == "date":
-        return F.when(text.rlike(DATE_TEXT), F.substring(text, 1, 10).try_cast("date"))
+        spelled = F.when(text.rlike(DATE_TEXT), F.substring(text, 1, 10).try_cast("date"))
+        day = F.lit(86_400_000_000)
+        counted = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(micros / day).cast("int"))
+        return F.coalesce(spelled, F.when(micros % day == 0, counted))
     if field.kind == "timestamp":
         plain = F.regexp_replace(F.translate(text, "tT_,", "   ."), r"([Zz]|[+-]\d{2}:?\d{2})$", "")
         plain = F.when(F.length(text) == 10, text).otherwise(plain)
-        return F.when(text.rlike(TIMESTAMP_TEXT), plain.try_cast("timestamp_ntz"))
+        spelled = F.when(text.rlike(TIMESTAMP_TEXT), plain.try_cast("timestamp_ntz"))
+        return F.coalesce(spelled, F.timestamp_micros(micros).cast("timestamp_ntz"))
     return text.try_cast(KIND_TYPES["decimal"])
 
 
@@ -56,8 +87,8 @@ def validate(mapped: DataFrame, fields: Sequence[Field], keep: Iterable[str] = (
     """Canonical typed columns, numbers and times also as sent, plus ``errors``: a
     comma-separated ``field:reason`` per broken rule, an empty text for a valid record.
 
-    Reasons: ``missing`` (no such key), ``null``, ``type`` (not a JSON string),
-    ``value`` (does not parse) and ``length``. Two narrow projections, so every
+    Reasons: ``missing`` (no such key), ``null``, ``type`` (not a JSON string; dates and
+    times may be numbers), ``value`` (does not parse) and ``length``. Two narrow projections, so every
     value is read from the record once.
     """
     keep = list(keep)
@@ -76,15 +107,18 @@ def validate(mapped: DataFrame, fields: Sequence[Field], keep: Iterable[str] = (
     typed, rules = [], []
     for f in fields:
         kind, text = F.col(f"{f.name}__kind"), F.col(f"{f.name}__text")
-        value = _parsed(f, text)
+        micros = _micros(f, text, kind) if f.kind in ("date", "timestamp") else F.lit(None)
+        value = _parsed(f, text, micros)
         typed.append(value.alias(f.name))
         if f.kind in ("decimal", "timestamp"):
-            typed.append(_as_sent(f, text, value).alias(sent(f.name)))
+            typed.append(_as_sent(f, text, value, micros).alias(sent(f.name)))
         broken = []
         if f.required:
             broken += [(kind.isNull(), "missing"), (kind == "VOID", "null")]
-        if f.kind != "decimal":
+        if f.kind == "text":
             broken.append((~kind.isin("STRING", "VOID"), "type"))
+        elif f.kind != "decimal":
+            broken.append((~(kind.isin("STRING", "VOID") | kind.rlike(NUMBER_KIND)), "type"))
         if f.kind != "text":
             broken.append((text.isNotNull() & value.isNull(), "value"))
         if f.name == "source_id":

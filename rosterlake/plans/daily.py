@@ -59,6 +59,7 @@ class RunConfig:
     drift_sample: int | None = None  # look at the first n records only
     retention_days: int | None = RETENTION_DAYS
     corrected: bool = False  # attrition by mean headcount, over all leavers
+    collation: str | None = None  # order of titles in the funnel, by bytes if not given
     prefix: str = ""  # keeps the schemas of several roots in one catalog apart
 
     def schema(self, layer: str) -> str:
@@ -280,7 +281,10 @@ def build_models(spark: SparkSession, cfg: RunConfig) -> dict[str, list]:
     def application_models() -> dict[str, list]:
         wanted = ["application_id", *reports.FUNNEL_INPUTS]
         _, done = above(
-            "stg_job_applications", wanted, "rpt_recruiting_funnel", reports.rpt_recruiting_funnel
+            "stg_job_applications",
+            wanted,
+            "rpt_recruiting_funnel",
+            lambda rows: reports.rpt_recruiting_funnel(rows, cfg.collation),
         )
         return done
 

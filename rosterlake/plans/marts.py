@@ -18,6 +18,7 @@ from rosterlake.functions.exact import rounded_quotient
 from rosterlake.functions.values import full_name, is_voluntary
 from rosterlake.operators.dedup import newest_per_key
 from rosterlake.operators.intervals import headcount
+from rosterlake.operators.lineage import made_from
 from rosterlake.schemas import NUMERIC, ROLLING_MONTHS, SENSITIVE_FIELDS
 
 HEADCOUNT_KEYS = ("department", "level", "employment_type")
@@ -28,19 +29,20 @@ MONTHLY = (
 
 
 def without_sensitive(df: DataFrame) -> DataFrame:
-    """Guard: refuse a frame that still carries a sensitive column."""
-    leaked = [c for c in df.columns if c in SENSITIVE_FIELDS]
+    """Guard: refuse a frame with a column that is made from a sensitive one, by any name."""
+    leaked = made_from(df, SENSITIVE_FIELDS)
     if leaked:
-        raise ValueError(f"sensitive columns must not leave staging: {leaked}")
+        told = ", ".join(f"{column} (from {', '.join(made)})" for column, made in leaked.items())
+        raise ValueError(f"sensitive columns must not leave staging: {told}")
     return df
 
 
 def dim_employees(staged: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """One row per employee, the most recently ingested, without pay and rating."""
     # Narrow first, so that the sensitive columns are neither read nor shuffled.
-    slim = without_sensitive(staged.drop(*SENSITIVE_FIELDS))
+    slim = staged.drop(*SENSITIVE_FIELDS)
     newest = newest_per_key(slim, "employee_id", "ingested_at", "source_system")
-    return newest.select(
+    dimension = newest.select(
         "employee_id",
         full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
         "email",
@@ -56,6 +58,7 @@ def dim_employees(staged: DataFrame, run_ts: Column | None = None) -> DataFrame:
         F.col("ingested_at").alias("created_at"),
         (F.current_timestamp() if run_ts is None else run_ts).alias("updated_at"),
     )
+    return without_sensitive(dimension)
 
 
 def fct_headcount_daily(employees: DataFrame, as_of: dt.date) -> DataFrame:

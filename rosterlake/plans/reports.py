@@ -21,7 +21,14 @@ REPORT_ORDER = {
 }
 
 
-def funnel_counts(staged: DataFrame) -> DataFrame:
+def _max_text(column: str, collation: str | None) -> Column:
+    """Last text in the order of a collation, or of its bytes."""
+    if collation is None:
+        return F.max(column).alias(column)
+    return F.collate(F.max(F.collate(column, collation)), "UTF8_BINARY").alias(column)
+
+
+def funnel_counts(staged: DataFrame, collation: str | None = None) -> DataFrame:
     """Applications per job and month by current stage, with sum and number of
     days to hire.
 
@@ -42,8 +49,8 @@ def funnel_counts(staged: DataFrame) -> DataFrame:
         )
     )
     return by_title.groupBy(*keys).agg(
-        F.max("job_title").alias("job_title"),
-        F.max("department").alias("department"),
+        _max_text("job_title", collation),
+        _max_text("department", collation),
         *[F.sum(m).alias(m) for m in measures],
     )
 
@@ -53,12 +60,16 @@ def _rate(num: Column, den: Column, scale: int) -> Column:
     return F.when(den > 0, rounded_quotient(scale * num, den)).otherwise(F.lit(0))
 
 
-def rpt_recruiting_funnel(staged: DataFrame) -> DataFrame:
+def rpt_recruiting_funnel(staged: DataFrame, collation: str | None = None) -> DataFrame:
     """Funnel by job and month. An application counts in its current stage only,
-    so more may be hired than are on offer; a rejected one only makes the row."""
+    so more may be hired than are on offer; a rejected one only makes the row.
+
+    Where a job has several titles or departments the last one is shown, by bytes or, as
+    databases order text, by a ``collation`` such as ``UNICODE`` or ``de``.
+    """
     days, days_n = F.col("days_sum"), F.col("days_n")
     hired, offers = F.col("hired_count"), F.col("offer_count")
-    return funnel_counts(staged).select(
+    return funnel_counts(staged, collation).select(
         "job_id",
         "year_month",
         "job_title",

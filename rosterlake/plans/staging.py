@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterlake.functions.values import is_active, is_retained
 from rosterlake.schemas import (
     APPLICATION_FIELDS,
     APPLICATION_SOURCES,
@@ -57,15 +58,8 @@ APPLICATION_COLUMNS = (
 TIME_IN_STAGE = "CAST(EXTRACT(DAY FROM stage_changed_at - applied_at) AS BIGINT) AS time_in_stage_days"
 
 
-def _retained(as_of: dt.date, days: int | None) -> str:
-    """Still employed, or left less than ``days`` days ago; ``None`` keeps everybody."""
-    if days is None:
-        return "true"
-    return f"termination_date IS NULL OR termination_date > date_sub(DATE'{as_of}', {days})"
-
-
 def _active(as_of: dt.date) -> str:
-    return f"(termination_date IS NULL OR termination_date > DATE'{as_of}') AS is_active"
+    return f"({is_active(as_of)}) AS is_active"
 
 
 def scan_raw(raw: DataFrame, sources: Iterable[str]) -> DataFrame:
@@ -100,7 +94,7 @@ def stg_employees(
     """Employees of the sources that own employees, without those who left more
     than ``retention_days`` before ``as_of``."""
     flat = flatten_employees(scan_raw(raw, EMPLOYEE_SOURCES))
-    return flat.where(_retained(as_of, retention_days)).selectExpr("*", _active(as_of))
+    return flat.where(is_retained(as_of, retention_days)).selectExpr("*", _active(as_of))
 
 
 def flatten_applications(raw: DataFrame) -> DataFrame:
@@ -134,7 +128,7 @@ def create_views(
     _view(
         spark, f"{schema}.stg_employees", employees, EMPLOYEE_FIELDS, EMPLOYEE_SOURCES,
         ("source", "ingested_at"), EMPLOYEE_COLUMNS,
-        f"SELECT *, {_active(as_of)} FROM {{}} WHERE {_retained(as_of, retention_days)}",
+        f"SELECT *, {_active(as_of)} FROM {{}} WHERE {is_retained(as_of, retention_days)}",
     )
     _view(
         spark, f"{schema}.stg_job_applications", applications, APPLICATION_FIELDS, APPLICATION_SOURCES,

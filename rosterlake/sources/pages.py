@@ -37,13 +37,29 @@ def file_order(path: Column) -> Column:
     return F.when(path.rlike(number), padded).otherwise(path)
 
 
+PLACE = ("_metadata.file_path", "_metadata.file_block_start")
+
+
 def _page_lines(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
     lines = spark.read.text(path, wholetext=whole_files)
-    return lines.select(
-        file_order(F.col("_metadata.file_path")).alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        "value",
-    ).where(F.length(F.trim("value")) > 0)
+    file, block = map(F.col, PLACE)
+    placed = lines.select(file_order(file).alias("src_file"), block.alias("src_block"), "value")
+    return placed.where(F.length(F.trim("value")) > 0)
+
+
+def _page_data(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
+    """``(src_file, src_block, data)``: the array of every page, an element a VARIANT.
+
+    The body is never one VARIANT, whose size is limited: the JSON reader makes one of each
+    element and skips the other members.
+    """
+    shape = "data array<variant>"
+    if whole_files:
+        reader = spark.read.schema(shape).option("multiLine", True).option("mode", "FAILFAST")
+        file, block = map(F.col, PLACE)
+        return reader.json(path).select(file_order(file).alias("src_file"), block.alias("src_block"), "data")
+    body = F.from_json("value", shape, {"mode": "FAILFAST"})
+    return _page_lines(spark, path, False).select("src_file", "src_block", body["data"].alias("data"))
 
 
 def _numbered(records: DataFrame, record: Column) -> DataFrame:
@@ -54,9 +70,9 @@ def _numbered(records: DataFrame, record: Column) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
     """Records of all pages below ``path``. A body that is not JSON fails the job."""
-    lines = _page_lines(spark, path, whole_files)
-    parsed = lines.select("src_file", "src_block", F.parse_json("value").alias("page"))
-    return _numbered(page_records(parsed), F.col("record"))
+    pages = _page_data(spark, path, whole_files)
+    records = pages.select("src_file", "src_block", F.explode("data").alias("record"))
+    return _numbered(records, F.col("record"))
 
 
 def unwrap_fields(row: Column) -> Column:

@@ -57,6 +57,15 @@ def test_valid_worker_is_typed(spark):
         ({"Hire_Date": "2024-02-03T00:00:00"}, []),
         ({"Hire_Date": "2024-02-03T10:00:00"}, ["hire_date:value"]),
         ({"Termination_Date": "soon"}, ["termination_date:value"]),
+        ({"Hire_Date": 1706918400}, []),
+        ({"Hire_Date": 1706918400.0}, []),
+        ({"Hire_Date": "1706918400"}, []),
+        ({"Hire_Date": "1706918400.0"}, ["hire_date:value"]),
+        ({"Hire_Date": 1706918401}, ["hire_date:value"]),
+        ({"Hire_Date": 1706918400.5}, ["hire_date:value"]),
+        ({"Hire_Date": True}, ["hire_date:type"]),
+        ({"Hire_Date": 1e300}, ["hire_date:value"]),
+        ({"Hire_Date": 10**30}, ["hire_date:value"]),
         ({"Base_Pay": "100k"}, ["salary:value"]),
         ({"Base_Pay": ""}, ["salary:value"]),
         ({"Base_Pay": True}, ["salary:value"]),
@@ -96,6 +105,41 @@ def test_timestamps(spark, text, value):
     assert row.errors == ("" if value else "applied_at:value")
 
 
+@pytest.mark.parametrize(
+    "number, value",
+    [
+        (0, dt.date(1970, 1, 1)),
+        (-86400, dt.date(1969, 12, 31)),
+        (20_000_000_000 // 86400 * 86400, dt.date(2603, 10, 11)),  # seconds up to 2e10
+        (20_044_800_000, dt.date(1970, 8, 21)),  # milliseconds beyond
+        (-20_044_800_000, dt.date(1969, 5, 14)),
+        (-11_676_096_000, dt.date(1600, 1, 1)),
+        (-11_676_182_400, None),
+        (253_402_214_400_000, dt.date(9999, 12, 31)),
+        (253_402_300_800_000, None),
+    ],
+)
+def test_numeric_dates(spark, number, value):
+    assert checked(spark, worker(1, Hire_Date=number)).first().hire_date == value
+
+
+@pytest.mark.parametrize(
+    "sent, kept",
+    [
+        (1704110400, "2024-01-01T12:00:00Z"),
+        (1704110400250, "2024-01-01T12:00:00.250000Z"),
+        (1704110400.5, "2024-01-01T12:00:00.500000Z"),
+        ("1704110400.000001", "2024-01-01T12:00:00.000001Z"),
+        (-1, "1969-12-31T23:59:59Z"),
+    ],
+)
+def test_payload_spells_numeric_times(spark, sent, kept):
+    mapped = map_applications(record_frame(spark, [application(1, applied_at=sent)]), ["k"])
+    checked_rows = validate(mapped, APPLICATION_FIELDS, ["k"])
+    row = to_envelope(checked_rows, APPLICATION_FIELDS, "greenhouse", "b", RUN_TS, ["k"], True).first()
+    assert json.loads(row.payload)["applied_at"] == kept and checked_rows.first().errors == ""
+
+
 def test_explicit_null_activity_is_invalid(spark):
     mapped = map_applications(record_frame(spark, [application(1, last_activity_at=None)]), ["k"])
     assert validate(mapped, APPLICATION_FIELDS, ["k"]).first().errors == "stage_changed_at:null"

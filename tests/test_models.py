@@ -2,14 +2,17 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions import dates, values
 from rosterlake.functions.exact import rounded_quotient
 from rosterlake.operators import quality
 from rosterlake.operators.intervals import active_totals, headcount
+from rosterlake.operators.lineage import made_from
 from rosterlake.plans import marts, reports, staging
 from rosterlake.plans.checks import CHECKS
+from rosterlake.schemas import SENSITIVE_FIELDS
 from tests.conftest import AS_OF
 from tests.people import employee, raw_frame
 
@@ -334,3 +337,54 @@ def test_declared_checks():
     assert {k: kinds.count(k) for k in set(kinds)} == {
         "not_null": 11, "unique": 1, "accepted_values": 3, "expression": 2,
     }
+
+
+def test_sensitive_columns_are_found_by_any_name(spark):
+    rows = staged(spark, employee(1), employee(2))
+    assert made_from(rows.select("employee_id", F.lower("department").alias("d")), SENSITIVE_FIELDS) == {}
+    renamed = rows.withColumnRenamed("salary", "bracket")
+    assert made_from(renamed, SENSITIVE_FIELDS) == {"bracket": ["salary"], "performance_rating": ["performance_rating"]}
+    pay = F.col("salary")
+    by_department = rows.groupBy("department").agg(F.avg(pay).alias("typical"), F.count("*").alias("n"))
+    best = F.max("performance_rating").over(Window.partitionBy("level"))
+    cases = {
+        "expression": rows.select((pay > 100_000).alias("senior")),
+        "struct": rows.select(F.struct("employee_id", "salary").alias("both")).select("both.employee_id", "both"),
+        "aggregate": by_department,
+        "window": rows.select(best.alias("best")),
+        "join": rows.select("employee_id", "department").join(by_department, "department").select("typical"),
+        "union": rows.select("location").union(rows.select("performance_rating")),
+        "explode": rows.select(F.explode(F.array("location", "performance_rating")).alias("x")),
+        "payload": spark.sql("SELECT variant_get(parse_json('{}'), '$.salary', 'string') AS x"),
+        "subquery": rows.select(F.lit(1).alias("x"), rows.agg(F.max("salary")).scalar().alias("top")),
+        "new name": rows.select(F.col("department").alias("salary")),
+    }
+    leaks = {name: sorted(made_from(df, SENSITIVE_FIELDS)) for name, df in cases.items()}
+    assert leaks == {
+        "expression": ["senior"], "struct": ["both", "employee_id"], "aggregate": ["typical"], "window": ["best"],
+        "join": ["typical"], "union": ["location"], "explode": ["x"], "payload": ["x"], "subquery": ["top"],
+        "new name": ["salary"],
+    }
+    with pytest.raises(ValueError, match=r"bracket \(from salary\)"):
+        marts.without_sensitive(renamed.drop("performance_rating"))
+
+
+def test_dimension_of_disguised_pay_is_refused(spark):
+    disguised = staged(spark, employee(1)).withColumn("location", F.concat("location", F.col("salary").cast("string")))
+    with pytest.raises(ValueError, match=r"location \(from salary\)"):
+        marts.dim_employees(disguised)
+
+
+@pytest.mark.parametrize(
+    "titles, collation, want",
+    [
+        (["a", "B"], None, "a"), (["a", "B"], "UNICODE", "B"), (["z", "Ä"], None, "Ä"), (["z", "Ä"], "UNICODE", "z"),
+        (["z", "Ä"], "sv", "Ä"), (["e", "É", "f"], "UNICODE", "f"),
+    ],
+)
+def test_last_title_by_collation(spark, titles, collation, want):
+    shape = "job_id string, job_title string, department string, stage string, applied_at timestamp_ntz, time_in_stage_days bigint"
+    rows = [("j", t, "d", "applied", dt.datetime(2024, 1, 1), 1) for t in titles]
+    frame = reports.rpt_recruiting_funnel(spark.createDataFrame(rows, shape), collation)
+    row = frame.first()
+    assert row.job_title == want and frame.schema["job_title"].dataType.simpleString() == "string"

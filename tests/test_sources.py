@@ -37,6 +37,27 @@ def test_pretty_printed_pages(spark, folder):
     assert ids(read_pages(spark, path, whole_files=True)) == ["w-1", "w-2"]
 
 
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_body_larger_than_a_variant(spark, tmp_path, whole_files):
+    filler = "x" * 100_000
+    with open(tmp_path / "page.json", "w") as out:  # 130 MiB and more, in one line
+        out.write('{"_links": {}, "data": [')
+        out.writelines(f'{"," if i else ""}{{"Worker_ID": "w-{i}", "filler": "{filler}"}}' for i in range(1400))
+        out.write("]}")
+    found = read_pages(spark, str(tmp_path), whole_files=whole_files)
+    assert ids(found) == [f"w-{i}" for i in range(1400)]
+    with pytest.raises(Exception, match="VARIANT_SIZE_LIMIT"):
+        spark.read.text(str(tmp_path)).select(F.is_variant_null(F.parse_json("value"))).collect()
+
+
+@pytest.mark.parametrize("body", ["5", "[1]", '{"data": 5}', '{"data": {"a": 1}}', "nope"])
+def test_body_of_another_shape_fails(spark, tmp_path, body):
+    (tmp_path / "p.json").write_text(body)
+    for whole_files in (True, False):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+            read_pages(spark, str(tmp_path), whole_files=whole_files).count()
+
+
 def test_malformed_page_fails(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"data": [')
     with pytest.raises(Exception, match="MALFORMED"):

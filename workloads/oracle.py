@@ -440,6 +440,10 @@ LATE_DRIFT = (
     )
 )
 
+CRC = """xor(list_reduce(list_prepend(4294967295::bigint, [ord(c)::bigint for c in string_split(application_id, '')]),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+              lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295::bigint)"""
+
 ORACLE: dict[str, str] = {
     "scan_pages": f"with {WORKERS} select row_number() over (order by k) place, "
     + ", ".join(f"{text('payload', n)} {n.lower()}" for n in (*WORKER_FIELD_MAP, "ssn"))
@@ -482,6 +486,32 @@ ORACLE: dict[str, str] = {
     "validate_records": f"""with {DIRTY} select k,
         {', '.join(f"{typed_worker(n)} {n}" for n in ENVELOPE_ORDER)}, {WORKER_ERRORS} errors
         from dirty_workers""",
+    "validate_epoch": f"""with {ctes('epoch_workers', 'duckdb')}, sent as (
+          select e.k, n.hire_date, cast(e.k % 11 as int) kind from epoch_workers e join native_workers n using (k))
+        select k, case when kind in (0, 1, 2, 3, 5, 10) then hire_date end hire_date,
+          case kind when 4 then 'hire_date:value' when 6 then 'hire_date:type' when 7 then 'hire_date:value'
+            when 8 then 'hire_date:value' when 9 then 'hire_date:value' else '' end errors from sent""",
+    "envelope_epoch": """with sent as (
+          select o_orderkey k, cast(o_orderkey % 6 as int) kind, o_orderdate + to_seconds(o_orderkey*977%86400) t from orders),
+        timed as (
+          select k, kind, case kind when 1 then t + interval '250 milliseconds' when 2 then t + interval '500 milliseconds'
+            when 4 then t + interval '250 milliseconds' when 5 then null else t end t from sent)
+        select k, t applied_at, case when kind in (1, 2, 4) then strftime(t, '%Y-%m-%dT%H:%M:%S.%fZ')
+            else strftime(t, '%Y-%m-%dT%H:%M:%SZ') end payload_applied_at,
+          case kind when 5 then 'applied_at:type' else '' end errors from timed""",
+    "refused_rows": f"""with {RAW_EMP} select k, source, concat_ws(',',
+          case when k % 97 = 0 then 'source_id' end, case when k % 89 = 0 then 'payload' end,
+          case when k % 83 = 0 then 'batch_id' end) null_columns
+        from raw_employees where k % 97 = 0 or k % 89 = 0 or k % 83 = 0""",
+    "source_capabilities": """select source, entity, note, optional,
+          case when note = 'owned' then n_records else 0 end n_records
+        from (select count(*) n_records from orders), (values
+          ('workday', 'employees', 'owned', false),
+          ('workday', 'job_applications', 'no mapping of job_applications from workday', false),
+          ('greenhouse', 'employees', 'no mapping of employees from greenhouse', false),
+          ('greenhouse', 'job_applications', 'owned', false),
+          ('airtable', 'employees', 'owned', true),
+          ('airtable', 'job_applications', 'owned', true)) c(source, entity, note, optional)""",
     "validate_summary": f"""with {DIRTY} select count(*) records,
         count(*) filter (where {WORKER_ERRORS} <> '') invalid from dirty_workers""",
     "batch_stats": f"""with {WORKERS}, {NATIVE_APPS}
@@ -575,6 +605,13 @@ ORACLE: dict[str, str] = {
     "fct_headcount_daily": f"with {DAILY} select * from fct_headcount_daily",
     "fct_attrition_monthly": f"with {ALL_ATTRITION} select * from fct_attrition_monthly",
     "rpt_recruiting_funnel": f"with {ALL_FUNNEL} select * from rpt_recruiting_funnel",
+    "funnel_collated": f"""with {APPLICATIONS}, titled as (
+          select * replace (['zeta', 'Zeta', 'Élan', 'elan', 'Alpha', 'ångström', 'beta', 'Äpfel'][{CRC} % 8 + 1] as job_title)
+          from stg_job_applications)
+        select job_id, strftime(applied_at, '%Y-%m') year_month, arg_max(job_title, icu_sort_key(job_title, 'en')) job_title,
+          arg_max(department, icu_sort_key(department, 'en')) department,
+          count(*) filter (where stage = 'applied') applied_count
+        from titled group by 1, 2""",
     "attrition_corrected": f"""with {RAW_EMP}, {STG_EMPLOYEES}, {dim('dim_employees', 'staged_all')},
         {headcount('fct_headcount_daily', 'dim_employees')}, {MONTHS},
         monthly as (
@@ -601,6 +638,8 @@ ORACLE: dict[str, str] = {
     "run_funnel": f"with {RUN_FUNNEL} select * from rpt_recruiting_funnel",
     "run_drift_log": f"""with {RUN_DRIFT} select source, entity, {RUN} detected_at, field_name,
         change_type, old_type, new_type, is_pii from events""",
+    "run_headcount_month": f"""with {RUN_DAILY} select * from fct_headcount_daily
+        where date between date '2001-03-01' and date '2001-03-31'""",
     "run_alert": f"""with {RUN_DRIFT} select count(*) drift_events, 'PII schema drift detected in fields: '
         || string_agg(distinct field_name, ', ' order by field_name) filter (where is_pii) alert from events""",
     "run_staged_employees": f"with {RUN_RAW},\n{STG_EMPLOYEES} select * from stg_employees",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rosterlake.functions import dates, values
 from rosterlake.functions.exact import rounded_quotient
 from rosterlake.operators import drift, quality, tables, upsert
+from rosterlake.operators.constraints import refused
 from rosterlake.operators.dedup import newest_per_key
 from rosterlake.operators.envelope import to_envelope
 from rosterlake.operators.intervals import active_totals, headcount
@@ -31,6 +32,7 @@ from rosterlake.schemas import (
 )
 from rosterlake.session import configure
 from rosterlake.sources import mapping, pages
+from rosterlake.sources.registry import SOURCES
 from workloads.frames import derived, records, table
 from workloads.recipes import AS_OF, BATCH_ID, RUN_TS
 from workloads.scratch import work_folder, work_schema
@@ -260,6 +262,55 @@ def validate_records(spark, sf):
     return checked.select("k", *[f.name for f in EMPLOYEE_FIELDS], "errors")
 
 
+@query
+def validate_epoch(spark, sf):
+    """Dates as numbers of seconds or milliseconds, as numbers and as text."""
+    return checked_workers(spark, sf, "epoch_workers").select("k", "hire_date", "errors")
+
+
+@query
+def envelope_epoch(spark, sf):
+    """Times as numbers, typed and as the payload spells them."""
+    mapped = mapping.map_applications(records(spark, sf, "epoch_applications"), ["k"])
+    checked = validate(mapped, APPLICATION_FIELDS, ["k"])
+    rows = to_envelope(checked, APPLICATION_FIELDS, "greenhouse", BATCH_ID, RUN_TS, ["k", "applied_at", "errors"], as_text=True)
+    sent = F.get_json_object("payload", "$.applied_at").alias("payload_applied_at")
+    return rows.select("k", "applied_at", sent, "errors")
+
+
+@query
+def refused_rows(spark, sf):
+    """Raw rows that a write would refuse, and why."""
+    rows = derived(spark, sf, "raw_employees").select(
+        "k",
+        "source",
+        F.when(F.col("k") % 97 != 0, F.col("source_id")).alias("source_id"),
+        F.when(F.col("k") % 89 != 0, F.col("payload")).alias("payload"),
+        F.when(F.col("k") % 83 != 0, F.lit(BATCH_ID)).alias("batch_id"),
+    )
+    return refused(rows, ["source_id", "payload", "batch_id"]).select("k", "source", "null_columns")
+
+
+@query
+def source_capabilities(spark, sf):
+    """How many of the given records each source could deliver as each entity; what a source
+    does not own is refused before any record is read."""
+    delivered = {"employees": workers(spark, sf), "job_applications": records(spark, sf, "native_applications")}
+    parts = []
+    for source in SOURCES.values():
+        for entity, found in delivered.items():
+            try:
+                source.mapping(entity)
+            except NotImplementedError as refusal:
+                note, found = str(refusal), found.where("false")
+            else:
+                note = "owned"
+            named = (F.lit(source.name).alias("source"), F.lit(entity).alias("entity"), F.lit(note).alias("note"))
+            counted = found.agg(F.count("*").alias("n_records"))
+            parts.append(counted.select(*named, F.lit(source.optional).alias("optional"), "n_records"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def validate_summary(spark, sf):
     return batch_summary(checked_workers(spark, sf, "dirty_workers"))
@@ -287,13 +338,12 @@ def flatten_applications(spark, sf):
 
 @query
 def active_flag(spark, sf):
-    ended = F.col("termination_date")
-    return derived(spark, sf, "emp").select("employee_id", values.is_active(ended, AS_OF).alias("is_active"))
+    return derived(spark, sf, "emp").select("employee_id", F.expr(values.is_active(AS_OF)).alias("is_active"))
 
 
 @query
 def retention_filter(spark, sf):
-    kept = derived(spark, sf, "emp").where(values.is_retained(F.col("termination_date"), AS_OF))
+    kept = derived(spark, sf, "emp").where(values.is_retained(AS_OF))
     return kept.select("employee_id", "termination_date")
 
 
@@ -618,6 +668,16 @@ def rpt_recruiting_funnel(spark, sf):
     return funnel(spark, sf)
 
 
+@query
+def funnel_collated(spark, sf):
+    """Titles that differ in case and accents, the last one as a database orders text."""
+    titles = F.array(*[F.lit(t) for t in ("zeta", "Zeta", "Élan", "elan", "Alpha", "ångström", "beta", "Äpfel")])
+    mixed = F.element_at(titles, (F.crc32("application_id") % 8 + 1).cast("int"))
+    staged_rows = applications(spark, sf).withColumn("job_title", mixed)
+    kept = ("job_id", "year_month", "job_title", "department", "applied_count")
+    return reports.rpt_recruiting_funnel(staged_rows, collation="UNICODE").select(*kept)
+
+
 @query
 def attrition_corrected(spark, sf):
     employees = dim(spark, sf, retention_days=None)
@@ -685,6 +745,14 @@ def run_headcount(spark, sf):
     return tables.read(spark, cfg.model("fct_headcount_daily"))
 
 
+@query
+def run_headcount_month(spark, sf):
+    """One month of the stored table, which is laid out by date."""
+    cfg, _ = finished(spark, sf)
+    month = F.col("date").between(dt.date(2001, 3, 1), dt.date(2001, 3, 31))
+    return spark.table(cfg.model("fct_headcount_daily")).where(month)
+
+
 @query
 def run_funnel(spark, sf):
     cfg, _ = finished(spark, sf)

@@ -24,6 +24,8 @@ DIALECT = {
         "o_orderkey*977%86400 + o_orderkey*7919%5184000 - 259200), \"yyyy-MM-dd'T'HH:mm:ss\")",
         "JOIN_PAGE": "array_join(transform(array_sort(collect_list(struct(k, payload))), x -> x.payload), ',')",
         "DIV": "k div 100",
+        "EPOCH_DAY": "datediff(hire_date, date '1970-01-01')",
+        "EPOCH": "cast(unix_seconds(cast(o_orderdate as timestamp)) + o_orderkey*977%86400 as bigint)",
         "OFFSET": """regexp_replace(payload, '("applied_at":"[^"]*)"', '$1{}"')""",
     },
     "duckdb": {
@@ -34,6 +36,8 @@ DIALECT = {
         "o_orderkey*977%86400 + o_orderkey*7919%5184000 - 259200), '%Y-%m-%dT%H:%M:%S')",
         "JOIN_PAGE": "string_agg(payload, ',' order by k)",
         "DIV": "k // 100",
+        "EPOCH_DAY": "(hire_date - date '1970-01-01')",
+        "EPOCH": "cast(epoch(o_orderdate) + o_orderkey*977%86400 as bigint)",
         "OFFSET": """regexp_replace(payload, '("applied_at":"[^"]*)"', '\\1{}"')""",
     },
 }
@@ -79,6 +83,26 @@ select k, case
 from native_workers
 """
 
+# Hire dates as numbers: seconds, milliseconds, as text, off midnight, beyond any date.
+EPOCH_WORKERS = """
+select k, replace(payload, '"Hire_Date":"'||hire_date||'"', '"Hire_Date":'||case cast(k%11 as int)
+   when 0 then cast(<<EPOCH_DAY>>*86400 as varchar(30)) when 1 then <<EPOCH_DAY>>*86400||'.0'
+   when 2 then <<EPOCH_DAY>>*cast(86400 as bigint)*1000||'' when 3 then '"'||<<EPOCH_DAY>>*86400||'"'
+   when 4 then <<EPOCH_DAY>>*86400+1||'' when 5 then '"'||<<EPOCH_DAY>>*cast(86400 as bigint)*1000||'"'
+   when 6 then 'true' when 7 then '999999999999999999' when 8 then '-12000000000'
+   when 9 then '"'||<<EPOCH_DAY>>*86400||'.0"' else '"'||hire_date||'"' end) payload
+from native_workers
+"""
+
+# Times as numbers: seconds, milliseconds, with a fraction, as text.
+EPOCH_APPLICATIONS = """
+select o_orderkey k, '{"id":"A'||o_orderkey||'","candidate_id":"C","job_id":"J","job_title":"T","department":"D"'
+ ||',"status":"hired","applied_at":'||case cast(o_orderkey%6 as int) when 0 then <<EPOCH>>||'' when 1 then <<EPOCH>>||'250'
+   when 2 then <<EPOCH>>||'.5' when 3 then '"'||<<EPOCH>>||'"' when 4 then '"'||<<EPOCH>>||'.25"' else 'false' end
+ ||',"last_activity_at":"2001-01-01T00:00:00"}' payload
+from orders
+"""
+
 WORKER_PAGES = """
 select '{"data":['||<<JOIN_PAGE>>||'],"_links":{"next":"/api/v1/workers?page='||(<<DIV>> + 2)||'"}}' page, min(k) first_k
 from native_workers group by <<DIV>>
@@ -173,6 +197,8 @@ RECIPES = {
     "emp": (EMP, ()),
     "native_workers": (NATIVE_WORKERS, ("emp",)),
     "dirty_workers": (DIRTY_WORKERS, ("emp", "native_workers")),
+    "epoch_workers": (EPOCH_WORKERS, ("emp", "native_workers")),
+    "epoch_applications": (EPOCH_APPLICATIONS, ()),
     "worker_pages": (WORKER_PAGES, ("emp", "native_workers")),
     "late_workers": (LATE_WORKERS, ("emp", "native_workers")),
     "late_worker_pages": (LATE_WORKER_PAGES, ("emp", "native_workers", "late_workers")),

@@ -31,6 +31,7 @@ SEED = 20240315
 ADDED = ("size", "source_size", "target", "copies", "taken")
 INNER = ("_source", "_class", "_block")
 HASH = "_hash"
+MOST_BROADCAST = 200_000  # rows of rates, some 80 bytes each
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -106,6 +107,8 @@ def systematic_copies(
         sources.withColumnRenamed("_source", "_name"), F.col("_source").eqNullSafe(F.col("_name"))
     ).select(*INNER, "_before", "source_size", "target")
     rated = scratch.save(rated.select(*[F.col(c).alias(f"_r{c}") for c in rated.columns]), "rated")
+    if rated.count() <= MOST_BROADCAST:  # else the join sorts whole rows once more
+        rated = F.broadcast(rated)
 
     within = Window.partitionBy(*INNER).orderBy(
         "size", HASH, F.col(key), F.xxhash64(F.col(text))

@@ -7,12 +7,13 @@ signature is one minimum over rows. Bands of the signature are bucketed, and eve
 candidate pair is confirmed on the full sets.
 
 Equal sets are one node from the start, so thousands of exact copies cost nothing
-later. Inside a bucket every member is compared with the first and the last member.
-What these comparisons join needs no further one. Members of a bucket that are still
-apart are all compared; where the bucket is crowded, only those that share one of their
-rarest shingles, which every pair similar enough does. So no candidate is left out,
-while a large group of near copies, or of texts around one common passage, costs a few
-comparisons a member instead of its square.
+later. First a node is compared with one other, the smallest one of the largest bucket
+it lies in, and what links is one part: that takes most of a large group of near copies
+together at one comparison a node. Nodes of buckets that still hold several parts then
+meet by their rarest shingles, which finds every pair that is similar enough: two such
+sets have one of their common shingles among the rarest quarter of each, and what is left
+of both behind the first of them has to be large enough. Texts around one common passage
+therefore meet in few pairs or none.
 
 Bands and rows: a pair at the threshold of 0.75 shares no band with probability
 ``(1 - 0.75**5) ** 40``, about 2 in 100,000. Sets are compared when the signatures agree
@@ -41,7 +42,6 @@ PERCENT = 75
 BANDS, ROWS = 40, 5
 UNIVERSE = 1 << 21
 SEED = 20240315
-CROWD = 32  # members of a larger bucket meet by their rarest shingles instead
 CACHED_WORDS = 400_000
 FEATURES = (
     "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, buckets array<bigint>, sketch array<bigint>"
@@ -243,34 +243,75 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return found.union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a < b").distinct()
+def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures agree often enough."""
+    first = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("a_sketch"))
+    second = sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("b_sketch"))
+    both = pairs.join(first, "a").join(second, "b")
+    return both.where(agreeing("a_sketch", "b_sketch") >= least_agreeing(percent)).select("a", "b")
+
+
+def _hooked(links: DataFrame) -> DataFrame:
+    """``(node, component)``: a node in two steps to the smallest neighbour of each."""
+    both = links.select("a", "b").union(links.select("b", "a"))
+    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    first = first.select("node", F.least("node", "m").alias("m"))
+    second = first.select(F.col("node").alias("m"), F.col("m").alias("component"))
+    return first.join(second, "m").select("node", "component")
+
+
+def _placed(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of buckets with the part that each belongs to by now."""
+    named = parts.withColumnRenamed("node", "rep")
+    return shared.join(named, "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+
+
+def _open_buckets(placed: DataFrame) -> DataFrame:
+    """Buckets that hold several parts."""
+    ends = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    return ends.where("p != q")
+
+
+def _with_centres(shared: DataFrame) -> DataFrame:
+    """At most one pair per member of a bucket: with the smallest one of its largest bucket,
+    among those where that is another."""
+    ends = shared.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("centre"))
+    met = shared.join(ends, "bucket").where("rep != centre")
+    chosen = met.groupBy("rep").agg(F.max(F.struct("size", "bucket", "centre")).alias("c"))
+    return chosen.select(F.col("c.centre").alias("a"), F.col("rep").alias("b"))
 
 
-def _apart(members: DataFrame, group: str, percent: int) -> DataFrame:
-    """Pairs of a group in different parts whose sizes and signatures allow a link."""
-    kept = ("rep", "n", "part", "sketch")
-    one = members.select(group, *[F.col(c).alias(f"a_{c}") for c in kept])
-    two = members.select(group, *[F.col(c).alias(f"b_{c}") for c in kept])
+def _apart(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different parts with a rare shingle in common that may be similar enough.
+
+    ``place`` is that of the shingle in the order of its member. Where it is the first that
+    two members share, they have no more in common than it and what comes behind it in
+    either.
+    """
+    kept = ("rep", "n", "part", "place")
+    one = members.select("shingle", *[F.col(c).alias(f"a_{c}") for c in kept])
+    two = members.select("shingle", *[F.col(c).alias(f"b_{c}") for c in kept])
+    behind = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
     near = (
         (F.col("a_rep") < F.col("b_rep"))
         & (F.col("a_part") != F.col("b_part"))
         & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & (agreeing("a_sketch", "b_sketch") >= least_agreeing(percent))
+        & ((100 + percent) * (behind + 1) >= percent * (F.col("a_n") + F.col("b_n")))
     )
-    met = one.join(two, one[group] == two[group]).where(near)
-    return met.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+    met = one.join(two, "shingle").where(near)
+    pairs = met.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+    return _alike(pairs, sketches, percent)
 
 
 def rare_shingles(
     members: DataFrame, docs: DataFrame, scratch: Scratch, key: str, text: str, percent: int
 ) -> DataFrame:
-    """``(rep, n, part, shingle)``: the rarest quarter of the shingles of every member.
+    """``(rep, n, part, shingle, place)``: the rarest quarter of the shingles of every member.
 
     Two sets that are similar enough share more than three quarters of the larger one,
     so each has one of the common shingles among its rarest quarter, in any order that
-    is the same for both. Members of a crowded bucket that have only a common passage
-    in common therefore do not meet, and no pair that could be linked is left out.
+    is the same for both. Members that have only a common passage in common therefore do
+    not meet, and no pair that could be linked is left out.
     """
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text"))
 
@@ -287,10 +328,10 @@ def rare_shingles(
     elements = scratch.save(each.mapInArrow(run, "rep bigint, n bigint, part bigint, shingle bigint"), "elements")
     often = elements.groupBy("shingle").agg(F.count("*").alias("often"))
     order = Window.partitionBy("rep").orderBy("often", "shingle")
-    ranked = elements.join(often, "shingle").withColumn("_rank", F.row_number().over(order))
+    ranked = elements.join(often, "shingle").withColumn("place", F.row_number().over(order))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rare = ranked.where((F.col("_rank") <= prefix) & (F.col("often") > 1))
-    saved = scratch.save(rare.select("rep", "n", "part", "shingle"), "rare")
+    rare = ranked.where((F.col("place") <= prefix) & (F.col("often") > 1))
+    saved = scratch.save(rare.select("rep", "n", "part", "shingle", "place"), "rare")
     scratch.drop(elements)
     return saved
 
@@ -311,46 +352,24 @@ def near_duplicates(
         "sets",
     )
     members = sets.select("rep", "n", F.explode("buckets").alias("bucket"))
-    ends = members.groupBy("bucket").agg(
-        F.min("rep").alias("low"),
-        # Another one in every bucket, so a member of many meets many.
-        F.min_by("rep", F.xxhash64("rep", "bucket")).alias("other"),
-        F.count("*").alias("size"),
-    )
-    shared = scratch.save(members.join(ends.where("size > 1"), "bucket"), "shared")
-    tried = scratch.save(
-        _ordered(
-            shared.select(F.col("low").alias("a"), F.col("rep").alias("b")).union(
-                shared.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-            )
-        ),
-        "tried",
-    )
+    crowd = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    shared = scratch.save(members.join(crowd, "bucket"), "shared")
     sketches = sets.select("rep", "sketch")
-    first = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("a_sketch"))
-    second = sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("b_sketch"))
-    alike = tried.join(first, "a").join(second, "b").where(agreeing("a_sketch", "b_sketch") >= least_agreeing(percent))
-    pairs = scratch.save(alike.select("a", "b"), "pairs")
-    links = scratch.save(confirmed(pairs, docs, key, text, percent), "confirmed")
-    joined = scratch.save(components(links, scratch), "components")
-
-    # Members of a bucket that are still apart and have not been compared.
-    left = shared.where("size > 3").join(
-        joined.withColumnRenamed("node", "rep"), "rep", "left"
-    ).withColumn("part", F.coalesce("component", "rep"))
-    apart = left.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q")
-    rest = scratch.save(left.join(apart.select("bucket"), "bucket").select("bucket", "size", "rep", "n", "part"), "rest")
-    few = _apart(rest.where(F.col("size") <= CROWD).join(sketches, "rep"), "bucket", percent)
-    rare = rare_shingles(
-        rest.where(F.col("size") > CROWD).select("rep", "n", "part").distinct(), docs, scratch, key, text, percent
-    )
-    more = few.union(_apart(rare.join(sketches, "rep"), "shingle", percent)).distinct().join(tried, ["a", "b"], "left_anti")
-    more = scratch.save(more, "more")
-    late = scratch.save(confirmed(more, docs, key, text, percent), "late")
-    final = joined
-    if not late.isEmpty():
-        stars = joined.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        final = scratch.save(components(stars.union(late), scratch), "components")
+
+    def linked_among(pairs: DataFrame) -> DataFrame:
+        pairs = scratch.save(pairs, "pairs")
+        found_links = scratch.save(confirmed(pairs, docs, key, text, percent), "confirmed")
+        scratch.drop(pairs)
+        return found_links
+
+    near = linked_among(_alike(_with_centres(shared), sketches, percent))
+    # Two steps along the links: not yet whole components, but few parts are left.
+    parts = scratch.save(_hooked(near), "parts")
+    placed = _placed(shared, parts)
+    left = placed.join(_open_buckets(placed).select("bucket"), "bucket").select("rep", "n", "part").distinct()
+    rare = rare_shingles(scratch.save(left, "left"), docs, scratch, key, text, percent)
+    late = linked_among(_apart(rare, sketches, percent))
+    final = components(near.union(late), scratch)
 
     named = (
         found.select("doc_id", "n_shingles", "set_a", "set_b")
@@ -370,16 +389,19 @@ def near_duplicates(
         ),
         "result",
     )
-    scratch.drop(found, sets, shared, tried, pairs, links, rest, rare, more, late, *{id(f): f for f in (joined, final)}.values())
+    scratch.drop(found, sets, shared, near, parts, rare, late)
     return result
 
 
 def distinct_documents(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: one per group.
 
-    Of rows that share an id one stays; rows without an id all stay.
+    Of rows that share an id one stays, the same in every run; rows without an id all stay.
     """
     found = near_duplicates(docs, scratch, key, text)
     ids = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(key))
-    named = docs.where(F.col(key).isNotNull()).join(ids, key, "left_semi").dropDuplicates([key])
-    return named.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(F.col(key).isNull()))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # Of rows that share an id the same one in every run.
+    named = docs.where(F.col(key).isNotNull()).join(ids, key, "left_semi")
+    one = named.groupBy(F.col(key).alias("_key")).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("_row"))
+    return one.select("_row.*").unionByName(docs.where(F.col(key).isNull()))

@@ -20,6 +20,7 @@ an empty table gives an empty one.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -235,22 +236,29 @@ def train(
     texts = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key)
 
     def bags(batches):
-        for batch in batches:
-            rows, counts = passages(texts_of(batch.column(1)))
+        for batch in slices(batches, 1):
+            texts = texts_of(batch.column(1))
+            rows, counts = passages(texts)
             ends = np.cumsum(counts)
-            kept = []
-            for i, (end, n) in enumerate(zip(ends, counts)):
+            kept, draws = [], []
+            for name, data, end, n in zip(batch.column(0).to_pylist(), texts, ends, counts):
                 own = rows[end - n : end]
-                if n > TRAIN_PASSAGES:
-                    own = own[np.sort(np.random.default_rng(SEED + i).permutation(n)[:TRAIN_PASSAGES])]
+                draw = zlib.crc32(data, zlib.crc32(name.encode()))
+                if n > TRAIN_PASSAGES:  # the same ones however the rows are dealt out
+                    own = own[np.sort(np.random.default_rng([SEED, draw]).permutation(n)[:TRAIN_PASSAGES])]
                 kept.append(own.astype(np.float32).tobytes())
+                draws.append(draw)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(kept, pa.binary()), batch.column(2)], ["k", "bag", "label"]
+                [batch.column(0), pa.array(kept, pa.binary()), batch.column(2), pa.array(draws, pa.int64())],
+                ["k", "bag", "label", "draw"],
             )
 
     drawn = texts.select(F.col(key).cast("string"), "_text", F.col("_label").cast("double"))
-    rows = drawn.mapInArrow(bags, "k string, bag binary, label double").collect()
-    rows.sort(key=lambda r: (r["k"], bytes(r["bag"])))
+    each = drawn.mapInArrow(bags, "k string, bag binary, label double, draw bigint")
+    # One row per id, chosen before the shuffle, so no more than ``most`` come to the driver.
+    one = each.groupBy("k").agg(F.min(F.struct("draw", "bag", "label")).alias("r")).select("k", "r.bag", "r.label")
+    rows = one.collect()
+    rows.sort(key=lambda r: r["k"])
     found = [np.frombuffer(r["bag"], np.float32).reshape(-1, FEATURES).astype(float) for r in rows]
     return fit(found, np.array([r["label"] for r in rows]))
 

@@ -170,10 +170,9 @@ def spaced_words(text: bytes, between: bytes = b"") -> list[bytes]:
     return [between.join(m.split()) for m in _RUN.findall(text)]
 
 
-def tokens_of(text: bytes) -> set[bytes]:
+def tokens_of(lowered: bytes, pieces: list[bytes]) -> set[bytes]:
     """Words, and runs of single characters with a blank between each."""
-    lowered = text.lower()
-    return {*lowered.split(), *spaced_words(lowered, b" ")}
+    return {*pieces, *spaced_words(lowered, b" ")}
 
 
 def edge_readings(token: str) -> tuple[list[str], list[str]]:
@@ -201,20 +200,39 @@ def word_starts(lexicon: dict[str, float]) -> dict[bytes, str]:
     return starts | {w.encode(): w for w in words}
 
 
-def closed_up(text: bytes, starts: dict[bytes, str]) -> set[tuple[str, str]]:
-    """``(pieces, word)`` of neighbouring pieces of ``text`` that make a whole word of ``starts``."""
+class Beginnings(dict):
+    """By piece of a text: its letters where a word of the evidence begins with them, nothing
+    where none does. A worker looks at a piece once."""
+
+    def __init__(self, starts: dict[bytes, str], table: bytes):
+        super().__init__()
+        self.starts, self.table = starts, table
+
+    def letters(self, piece: bytes) -> bytes:
+        return piece if piece.isalpha() else piece.strip(_EDGES.encode()).translate(self.table)
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if len(self) > CACHED_TOKENS:
+            self.clear()
+        letters = self.letters(piece)
+        self[piece] = found = letters if letters in self.starts else b""
+        return found
+
+
+def closed_up(pieces: list[bytes], tables: list[Beginnings]) -> set[tuple[str, str]]:
+    """``(pieces, word)`` of neighbouring lower-case pieces that make a whole word of the evidence."""
     found = set()
-    lowered, edges = text.lower(), _EDGES.encode()
-    for table in _AS_LETTERS if b"1" in lowered or b"|" in lowered else _AS_LETTERS[:1]:
-        pieces = [p if p.isalpha() else p.strip(edges).translate(table) for p in lowered.split()]
-        for i in [i for i, p in enumerate(pieces) if p in starts]:
-            joined = pieces[i]
+    for begins in tables:
+        starts = begins.starts
+        for i in [i for i, letters in enumerate(map(begins.__getitem__, pieces)) if letters]:
+            joined = begins[pieces[i]]
             for j in range(i + 1, len(pieces)):
-                joined += pieces[j]
+                letters = begins.letters(pieces[j])
+                joined += letters
                 if joined not in starts:
                     break
-                if starts[joined] and pieces[j]:
-                    found.add((b" ".join(pieces[i : j + 1]).decode(), starts[joined]))
+                if starts[joined] and letters:
+                    found.add((b" ".join(map(begins.letters, pieces[i : j + 1])).decode(), starts[joined]))
     return found
 
 
@@ -229,10 +247,10 @@ class ToxicityModel:
     lexicon: dict[str, float]  # lower bound of the share of label 1
     base: float  # share of label 1 among documents without evidence
     known: dict[bytes, float] = field(default_factory=dict, repr=False)
-    starts: dict[bytes, str] = field(default_factory=dict, repr=False)
+    begins: list[Beginnings] = field(default_factory=list, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}, "starts": {}}
+        return self.__dict__ | {"known": {}, "begins": []}
 
     def decoder(self) -> Decoder:
         return Decoder(self.prices)
@@ -248,12 +266,15 @@ class ToxicityModel:
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Noisy-or of the evidence in each text."""
         known, decoder = self.known, None
-        if not self.starts:
-            self.starts.update(word_starts(self.lexicon))
+        if not self.begins:
+            starts = word_starts(self.lexicon)
+            self.begins += [Beginnings(starts, table) for table in _AS_LETTERS]
         scores = np.empty(len(texts))
         for i, text in enumerate(texts):
             innocent = 1 - self.base
-            tokens = tokens_of(text)
+            lowered = text.lower()
+            pieces_of = lowered.split()
+            tokens = tokens_of(lowered, pieces_of)
             for token in tokens:
                 share = known.get(token)
                 if share is None:
@@ -263,7 +284,8 @@ class ToxicityModel:
                     share = known[token] = self.evidence(token.decode(), decoder)
                 if share:
                     innocent *= 1 - share
-            for pieces, word in closed_up(text, self.starts):
+            tables = self.begins if b"1" in lowered or b"|" in lowered else self.begins[:1]
+            for pieces, word in closed_up(pieces_of, tables):
                 if any(b" " in t and pieces.encode() in t for t in tokens):
                     continue  # counted with its run
                 share = known.get(b"+" + pieces.encode())
@@ -313,7 +335,8 @@ def train(
         for batch in slices(batches, 0):
             for data, hit in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
                 keys = {""}
-                for token in tokens_of(data):
+                lowered = data.lower()
+                for token in tokens_of(lowered, lowered.split()):
                     found = restored.get(token)
                     if found is None:
                         if len(restored) > CACHED_TOKENS:

@@ -152,3 +152,80 @@ def test_spaced_words_beside_others_and_signs_at_edges(spark):
     assert [t for t, s in zip(plain, scores[len(hidden) :]) if s] == []
     ending = toxicity.ToxicityModel(prices, {"ali": 0.9}, 0.0)
     assert ending.score([b"al!", b"al"]).tolist() == pytest.approx([0.9, 0])
+
+
+def readings(token, prices):
+    """Every reading of a token of the lattice with its price, one character after the other."""
+    token = token.strip(toxicity._EDGES) or token
+    dropped = 0.0 if max(map(len, token.split(" "))) == 1 else toxicity.DROPPED_BLANK
+    found = [(0.0, "", 0, 0)]
+    for i, c in enumerate(token):
+        repeat = i > 0 and token[i - 1] == c
+        after = []
+        for price, text, before, last in found:
+            if c == " ":
+                after.append((price + dropped, text, before, last))
+                after.append((price + prices[before][last][0], text + " " if last else text, 0, 0))
+                continue
+            options = [(x, toxicity.AS_LOOKALIKE) for x in toxicity.LOOKALIKES.get(c, "")]
+            if c.isalpha():
+                options.append((c, toxicity.KEPT_DOUBLE if repeat else 0.0))
+            for letter, cost in options:
+                s = toxicity.symbol(letter)
+                after.append((price + cost + prices[before][last][s], text + letter, last, s))
+            if not c.isalpha():
+                after.append((price + toxicity.AS_NOTHING, text, before, last))
+            elif repeat:
+                after.append((price + toxicity.AS_REPEAT, text, before, last))
+        found = after
+    return min((price + prices[before][last][0], text.strip()) for price, text, before, last in found)
+
+
+def test_search_finds_the_cheapest_of_all_readings():
+    rnd, draw = random.Random(8), np.random.default_rng(8)
+    prices = draw.gamma(2.0, 1.5, (toxicity.SIZE,) * 3)
+    decoder, tried = toxicity.Decoder(prices), 0
+    for _ in range(400):
+        alphabet = rnd.choice(["ab1@", "aab0$!", "a b 1", "x|l1 ", "eé3-", "ss5 "])
+        token = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 7))).strip()
+        if token and "  " not in token and toxicity._CHOICE.search(token.strip(toxicity._EDGES) or token):
+            assert decoder.restore(token) == readings(token, prices)[1]
+            tried += 1
+    assert tried > 200
+
+
+def test_bag_score_by_loops():
+    draw = np.random.default_rng(5)
+    bags = [draw.normal(size=(n, mil.FEATURES)) for n in (1, 2, 6, 4)]
+    model = mil.fit(bags, np.array([1.0, 0.0, 1.0, 0.0]))
+    p = model.weights
+
+    def one(bag):
+        hidden, weights = [], []
+        for row in bag:
+            x = [(v - m) / s for v, m, s in zip(row, model.mean, model.scale)]
+            h = [np.tanh(sum(x[i] * p["W"][i][k] for i in range(len(x))) + p["d"][k]) for k in range(mil.HIDDEN)]
+            tall = [np.tanh(sum(h[k] * p["V"][k][g] for k in range(mil.HIDDEN))) for g in range(mil.GATE)]
+            gate = [1 / (1 + np.exp(-sum(h[k] * p["U"][k][g] for k in range(mil.HIDDEN)))) for g in range(mil.GATE)]
+            hidden.append(h)
+            weights.append(np.exp(sum(t * u * w for t, u, w in zip(tall, gate, p["w"]))))
+        mixed = [sum(a * h[k] for a, h in zip(weights, hidden)) / sum(weights) for k in range(mil.HIDDEN)]
+        return 1 / (1 + np.exp(-(sum(z * c for z, c in zip(mixed, p["c"])) + p["b"][0])))
+
+    got = model.score(np.concatenate(bags), np.array([len(b) for b in bags]))
+    assert got == pytest.approx([one(b) for b in bags], abs=1e-12)
+
+
+def test_sample_of_the_quality_model_is_bounded(spark, monkeypatch):
+    """One labelled id on most rows gives one bag, the same however the rows are dealt out."""
+    rows = [(1, f"row {i} " + "of the one id " * (i % 9 * 400), "aa", "s") for i in range(300)]
+    rows += [(2, "other text", "aa", "s"), (3, "third text", "aa", "s")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], LABELS)
+    fitted = []
+    fit = mil.fit
+    monkeypatch.setattr(mil, "fit", lambda bags, y, *a: fitted.append((bags, list(y))) or fit(bags, y, *a))
+    for n in (1, 7):
+        mil.train(documents(spark, rows).repartition(n), labels, F.lit(False), most=2)
+    (first, y), (second, again) = fitted
+    assert len(first) == 2 and y == again
+    assert all(np.array_equal(a, b) for a, b in zip(first, second))

@@ -1,9 +1,10 @@
 """Web pages as WARC archives, written in shards that a rerun repeats byte for byte.
 
-Pages are dealt to shards by their id along bounds that follow from the data alone:
-narrow rows of id and size are sorted, their sizes summed, and a bound is set each
-time a shard is full. Inside a shard records go by id. A shard is one task, and rolls
-to a further file when the compressed size is reached. Headers, record ids and digests
+Pages are dealt to shards by their id and digest along bounds that follow from the data
+alone: narrow rows of id, digest and size are sorted, their sizes summed, and a bound is
+set each time a shard is full. Inside a shard records go by id. A shard is one task of
+its own, and rolls to a further file when the compressed size is reached. A shard has
+``SHARD_BYTES`` of payload at any size of the corpus; the bounds are 16 bytes a shard. Headers, record ids and digests
 are made anew from the payload; the date is a parameter. So neither a rerun nor a
 retried task changes a file.
 
@@ -26,7 +27,9 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +41,7 @@ from rosterlake.llm.common import Scratch, slices, texts_of
 
 SHARD_BYTES = 64 << 20  # payload bytes of a shard
 FILE_BYTES = 16 << 20  # compressed bytes after which a file is full
-MOST_SHARDS = 10_000  # bounds that a task holds; shards of a larger corpus are larger
 MIN_REVISIT_BYTES = 0
-TASKS_PER_SHARD = 2  # partitions the shards are hashed to, so that few share one
 FILES_PER_TASK = 4
 DATE = "2024-03-15T06:00:00Z"
 SPACE = uuid.UUID("5f2c3c1e-6d0a-5b0e-9a51-0d7c2b1e4f60")
@@ -77,16 +78,38 @@ def digested(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     )
 
 
-def shard_bounds(sizes: DataFrame, scratch: Scratch, shard_bytes: int = SHARD_BYTES) -> list[int]:
-    """First ids of all shards but the first, from ``(page_id, size)``.
+NULL_ID = -(1 << 63)
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """First id and digest of all shards but the first, in order."""
+
+    ids: np.ndarray
+    digests: list[str]
+
+    @property
+    def shards(self) -> int:
+        return len(self.ids) + 1
+
+    def shard(self, ids: pa.Array, digests: pa.Array) -> np.ndarray:
+        """Number of bounds up to a key; a null id comes first."""
+        numbers = ids.fill_null(NULL_ID).to_numpy()
+        low, high = (np.searchsorted(self.ids, numbers, side=s) for s in ("left", "right"))
+        for row in np.flatnonzero(low < high):  # ids at which a shard begins
+            low[row] = bisect_right(self.digests, digests[row].as_py(), low[row], high[row])
+        return low
+
+
+def shard_bounds(sizes: DataFrame, scratch: Scratch, shard_bytes: int = SHARD_BYTES) -> Bounds:
+    """Where shards begin, from ``(page_id, digest, size)``.
 
     The sort is by Spark's ranges, but the sums do not depend on where those fall.
     """
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    target = max(shard_bytes, -(-total // MOST_SHARDS))
-    ranged = sizes.where("page_id is not null").repartitionByRange("page_id").sortWithinPartitions("page_id", "size")
+    order = ["page_id", "digest", "size"]
+    ranged = sizes.repartitionByRange(*order).sortWithinPartitions(*order)
     rows = scratch.save(
-        ranged.select("page_id", "size", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
+        ranged.select(*order, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
         "ranged",
     )
     parts = rows.groupBy("part").agg(F.sum("size").alias("bytes"))
@@ -94,11 +117,12 @@ def shard_bounds(sizes: DataFrame, scratch: Scratch, shard_bytes: int = SHARD_BY
     before = parts.select("part", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("before"))
     inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     running = rows.withColumn("own", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(before, "part")
-    shard = F.floor((F.col("before") + F.col("own")) / target)
-    firsts = running.groupBy(shard.alias("shard")).agg(F.min("page_id").alias("first")).where("shard > 0")
-    found = sorted({r["first"] for r in firsts.collect()})
+    shard = F.floor((F.col("before") + F.col("own")) / shard_bytes)
+    key = F.struct(F.coalesce("page_id", F.lit(NULL_ID)).alias("id"), "digest")
+    firsts = running.groupBy(shard.alias("shard")).agg(F.min(key).alias("first")).where("shard > 0")
+    found = sorted({(r["first"]["id"], r["first"]["digest"]) for r in firsts.collect()})  # a row per shard
     scratch.drop(rows)
-    return found
+    return Bounds(np.array([i for i, _ in found], np.int64), [d for _, d in found])
 
 
 def record(page_id, url: str | None, payload: bytes | None, size: int, digest: str, refers_to, date: str) -> bytes:
@@ -176,40 +200,41 @@ def write_archives(
     date: str = DATE,
 ) -> DataFrame:
     """Write the pages below ``root``; gives the committed manifest."""
-    narrow = scratch.save(digested(pages, key, url, html).select("page_id", "size", "same"), "narrow")
-    bounds = np.array(shard_bounds(narrow.select("page_id", "size"), scratch, shard_bytes), np.int64)
+    narrow = scratch.save(digested(pages, key, url, html).select("page_id", "size", "same", "digest"), "narrow")
+    bounds = shard_bounds(narrow.select("page_id", "digest", "size"), scratch, shard_bytes)
     first = narrow.where(F.col("size") >= min_revisit_bytes).groupBy("same").agg(
         F.min("page_id").alias("first"), F.count("*").alias("copies")
     )
     repeated = first.where("copies > 1").select("same", "first")
 
     # Rows that share the smallest id of a payload are all responses; they name no other page.
-    revisits = narrow.join(repeated, "same").where("page_id <> first").select("page_id", "same", "first").distinct()
+    revisits = narrow.join(repeated, "same").where("page_id <> first")
+    revisits = revisits.select("page_id", "same", "digest", "first").distinct()
 
     # A revisit travels as a note that sorts before the page itself, so payloads are
     # shuffled once, to their shard.
     text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     notes = revisits.select(
         "page_id", text.alias("url"), text.alias("html"), number.alias("size"), text.alias("digest"), "same",
-        F.col("first").alias("refers_to"),
+        F.col("first").alias("refers_to"), F.col("digest").alias("begin"),
     )
-    whole = digested(pages, key, url, html).withColumn("refers_to", number)
+    whole = digested(pages, key, url, html).withColumn("refers_to", number).withColumn("begin", F.col("digest"))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.array([-(1 << 63) if i is None else i for i in batch.column(0).to_pylist()], np.int64)
-            shard = np.searchsorted(bounds, ids, side="right")
+            shard = bounds.shard(batch.column(0), batch.column(7))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(shard, pa.int64())], [*batch.schema.names, "shard"]
+                [*batch.columns[:7], pa.array(shard.astype(np.int32))], [*batch.schema.names[:7], "shard"]
             )
 
     columns = (
         "page_id bigint, url string, html string, size bigint, digest string, same binary, "
-        "refers_to bigint, shard bigint"
+        "refers_to bigint, shard int"
     )
-    sharded = notes.unionByName(whole).mapInArrow(dealt, columns).repartition(
-        TASKS_PER_SHARD * (len(bounds) + 1), "shard"
-    ).sortWithinPartitions("shard", "page_id", F.col("digest").asc_nulls_first(), "url")
+    # Partition n is shard n, so no two shards meet in a task.
+    sharded = notes.unionByName(whole).mapInArrow(dealt, columns).repartitionById(
+        bounds.shards, "shard"
+    ).sortWithinPartitions("page_id", F.col("digest").asc_nulls_first(), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rolled():

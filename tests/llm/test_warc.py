@@ -98,3 +98,27 @@ def test_empty_table_and_lost_file(spark):
         os.rename(f"{root.removeprefix('file:')}/{name}", f"{root.removeprefix('file:')}/gone-{name}")
     with pytest.raises(Exception, match="FileNotFoundError"):
         warc.commit(spark, root, f"{root}/manifest")
+
+
+def test_a_shard_is_a_task(spark):
+    frame, _ = pages(spark, 400)
+    scratch = Scratch(spark, "t")
+    listed = warc.write_archives(frame, f"{scratch.root}/archive", scratch, shard_bytes=4_000, file_bytes=1 << 20)
+    shards = [r.shard for r in listed.collect()]
+    assert len(set(shards)) > 15
+    parts = spark.read.parquet(f"{scratch.root}/archive/manifest").selectExpr("_metadata.file_name AS f", "shard")
+    assert parts.groupBy("f").agg({"shard": "approx_count_distinct"}).where("`approx_count_distinct(shard)` > 1").isEmpty()
+
+
+def test_repeated_id_is_cut(spark):
+    """Rows of one id fill several shards, copies of their payloads among them."""
+    rows = [(7, f"u{i}", f"<p>{i % 30}</p>" * 100, "x", 1, "y") for i in range(90)]
+    rows += [(i, "u", f"<p>{i}</p>" * 100, "x", 1, "y") for i in range(20)]
+    frame = spark.createDataFrame(rows, PAGES)
+    scratch = Scratch(spark, "t")
+    root = f"{scratch.root}/archive"
+    listed = warc.write_archives(frame, root, scratch, shard_bytes=20_000, file_bytes=1 << 20)
+    sevens = listed.where("first_id = 7 AND last_id = 7").select("shard").distinct()
+    assert sevens.count() >= 2
+    found = warc.read_archives(spark, root, listed).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)

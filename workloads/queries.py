@@ -777,13 +777,14 @@ def run_alert(spark, sf):
 def run_staged_employees(spark, sf):
     """The staging view, as another session reads it."""
     cfg, _ = finished(spark, sf)
-    return spark.newSession().table(cfg.staged("stg_employees"))
+    rows = configure(spark.newSession()).table(cfg.staged("stg_employees"))
+    return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
 
 
 @query
 def run_staged_applications(spark, sf):
     cfg, _ = finished(spark, sf)
-    return spark.newSession().table(cfg.staged("stg_job_applications"))
+    return configure(spark.newSession()).table(cfg.staged("stg_job_applications"))
 
 
 @query

@@ -27,12 +27,13 @@ Recall: items with up to ``ERRORS`` per cent of random word edits are found with
 least the target of 0.95 at every size; the tests measure it up to 400 words. Exact
 passages always share every sample, and items below ``LEAST_WORDS`` are all found.
 
-The benchmark is read in blocks of ``BLOCK`` items, so what a task holds is bounded
-whatever its size; each block is one pass over the documents.
+The benchmark is read in blocks of ``BLOCK`` items and a task holds one of them, so what
+it holds is bounded whatever the size of the benchmark; each block is one pass over the
+documents, or over those that the blocks before have left.
 
 Cases: null and empty texts, on both sides, hold and are nothing; an item of one or a few
 words is found in ordinary text too, so hits tell the item's words, and ``clean`` takes
-the smallest number that counts (1 unless the caller says otherwise); repeated items and rows each count; null ids are carried along and filtered like others; texts are read whole; other
+the smallest number that counts (1 unless the caller says otherwise); an item that is repeated with its id counts once, repeated rows each count; null ids are carried along and filtered like others; texts are read whole; other
 columns are not read; an empty table on either side gives an empty result.
 """
 
@@ -312,7 +313,7 @@ def searchers(
     """A searcher per block of items; at most about ``BLOCK`` items come to the driver at once."""
     embedding = Embedding()
     named = benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
-    stored = scratch.save(named.where("t is not null"), "items")
+    stored = scratch.save(named.where("t is not null").distinct(), "items")
     blocks = max(1, -(-stored.count() // BLOCK))
     for b in range(blocks):
         mine = F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b
@@ -364,4 +365,12 @@ def clean(
 
         return rest.mapInArrow(run, docs.schema)
 
-    return reduce(without_items, searchers(benchmark, scratch, errors, item_key, item_text), docs)
+    rest, before = docs, None
+    for number, searcher in enumerate(searchers(benchmark, scratch, errors, item_key, item_text)):
+        if number:  # a task holds one block, so what the last one left is written first
+            saved = scratch.save(rest, "rest")
+            if before is not None:
+                scratch.drop(before)
+            rest = before = saved
+        rest = without_items(rest, searcher)
+    return rest

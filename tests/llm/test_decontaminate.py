@@ -171,3 +171,19 @@ def test_short_items_and_scripts_without_blanks(spark):
     assert {(r.doc_id, r.item_id, r.distance, r.item_words) for r in found} == want
     left = lambda **kw: {r.doc_id for r in d.clean(docs, bench, Scratch(spark, "t"), **kw).collect()}
     assert left() == {2, 4, 6, 11} and left(least_words=7) == {1, 2, 4, 5, 6, 11}
+
+
+def test_blocks_are_not_stacked(spark, monkeypatch):
+    """A task holds one block of items, also where one item fills the benchmark."""
+    rnd = random.Random(12)
+    items = items_of(rnd, 9)
+    rows = [(i, f"{sentence(rnd, 20)} {items[i % 12][1] if i % 12 < 9 else ''}", "aa", "s") for i in range(48)]
+    bench = spark.createDataFrame([*items, *[items[0]] * 50], ITEMS)
+    want = {r.doc_id for r in d.clean(documents(spark, rows), bench, Scratch(spark, "t")).collect()}
+    assert want == {i for i in range(48) if i % 12 >= 9}
+    monkeypatch.setattr(d, "BLOCK", 2)
+    left = d.clean(documents(spark, rows), bench, Scratch(spark, "t"))
+    assert left._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id for r in left.collect()} == want
+    sizes = [len(s.bench.ids) for s in d.searchers(bench, Scratch(spark, "t"), d.ERRORS, "item_id", "text")]
+    assert sum(sizes) == 9

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,85 +49,52 @@ class WordEncoder:
 
     The tokenizer splits at white space first and its normaliser joins nothing across
     it, so the ids of a text are those of its words in a row. A worker encodes a word
-    once: the new words of a batch go to the tokenizer in long lines. Words of letters
-    only are one piece each, whose last id is one that ends a word; of other words the
-    offsets of the ids tell where they end. The memory is bounded: words that have not
-    been seen for ``CACHED_WORDS`` others are forgotten.
+    once: the new words of a batch go to the tokenizer in long lines, and the offsets
+    of the ids tell the words apart. The memory is bounded: words that have not been seen
+    for ``CACHED_WORDS`` others are forgotten.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if suffix:
-            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _keep(self, words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> None:
-        packed, start = ids.astype("<u4").tobytes(), 0
-        for word, cut in zip(words, (4 * cuts).tolist()):
-            self.known[word] = packed[start:cut]
-            start = cut
-
     def learn(self, words: list[bytes]) -> None:
         """Put the ids of new words into the cache."""
-        lines, others = [], []
-        plain = [(w, t) for w in words if (t := w.decode()).isalpha()]
-        for at in range(0, len(plain), WORDS_PER_LINE):
-            lines.append(plain[at : at + WORDS_PER_LINE])
-        texts = [" ".join(t for _, t in line) for line in lines]
-        for line, done in zip(lines, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(done.ids, np.int64)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(line):
-                self._keep([w for w, _ in line], ids, cuts)
-            else:  # a tokenizer that does not mark where words end
-                others += [w for w, _ in line]
-        others += [w for w in words if not w.decode().isalpha()]
-        for at in range(0, len(others), WORDS_PER_LINE):
-            some = others[at : at + WORDS_PER_LINE]
+        for at in range(0, len(words), WORDS_PER_LINE):
+            some = words[at : at + WORDS_PER_LINE]
             texts = [w.decode() for w in some]
             done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(done.ids, "<u4")
             places = np.array([start for start, _ in done.offsets], np.int64)
             ends = np.cumsum([len(t) + 1 for t in texts])
-            self._keep(some, np.array(done.ids, np.int64), np.searchsorted(places, ends))
+            cuts = np.searchsorted(places, ends)
+            packed, start = ids.tobytes(), 0
+            for word, cut in zip(some, (4 * cuts).tolist()):
+                self.known[word] = packed[start:cut]
+                start = cut
 
-    def _find(self, words: set[bytes]) -> None:
-        """Put words that are not in the cache there."""
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text as little-endian 32-bit integers."""
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-
-        def remember(some: set[bytes]) -> set[bytes]:
-            seen = some.intersection(older)
-            known.update(zip(seen, map(older.__getitem__, seen)))
-            return some.difference(seen)
-
-        new = remember(words)
+        # The normaliser lowers letters anyway; only a special token's name may not be lowered.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        new = set(chain.from_iterable(split)).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        new -= again
         # Signs after a letter or digit are a piece of their own, so the parts are learned once.
         ends = {w: w.rstrip(SIGNS) for w in new}
         ends = {w: core for w, core in ends.items() if len(core) < len(w) and core[-1:].isalnum()}
         parts = {*new.difference(ends), *ends.values(), *[w[len(core) :] for w, core in ends.items()]}
-        self.learn(list(remember(parts.difference(known))))
+        self.learn(list(parts.difference(known)))
         for w, core in ends.items():
             known[w] = known[core] + known[w[len(core) :]]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text as little-endian 32-bit integers."""
-        # The normaliser lowers letters anyway; only a special token's name may not be lowered.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        missing = [n for n, ids in enumerate(found) if None in ids]
-        if missing:
-            self._find({w for n in missing for w, ids in zip(split[n], found[n]) if ids is None})
-            # Words found in the cache above may since have become older ones.
-            for n in missing:
-                get = self.known.get
-                found[n] = [ids if ids is not None else get(w) for w, ids in zip(split[n], found[n])]
-        return list(map(b"".join, found))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}

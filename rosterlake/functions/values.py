@@ -12,8 +12,14 @@ from rosterlake.schemas import APPLICATION_STATUS_STAGE, DEFAULT_STAGE, RETENTIO
 
 
 def strip(text: Column) -> Column:
-    """Drop leading and trailing white space, all of Unicode and not only blanks."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Drop leading and trailing white space, all of Unicode and not only blanks.
+
+    Trimming looks every character up in the list. A text that begins and ends with a
+    printed ASCII character has nothing to drop and is spared that.
+    """
+    ends = (F.ascii(text), F.ascii(F.substring(text, -1, 1)))
+    printed = ends[0].between(33, 126) & ends[1].between(33, 126)
+    return F.when(printed, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
 
 
 def members(record: Column, keys: Iterable[str]) -> Column:

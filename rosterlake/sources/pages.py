@@ -44,22 +44,25 @@ def _page_lines(spark: SparkSession, path: str | list[str], whole_files: bool) -
     lines = spark.read.text(path, wholetext=whole_files)
     file, block = map(F.col, PLACE)
     placed = lines.select(file_order(file).alias("src_file"), block.alias("src_block"), "value")
-    return placed.where(F.length(F.trim("value")) > 0)
+    # Not by length, which counts the characters of every body.
+    return placed.where(F.trim("value") != "")
 
 
-def _page_data(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
-    """``(src_file, src_block, data)``: the array of every page, an element a VARIANT.
+def _page_elements(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
+    """``(src_file, src_block, record)``: the elements of the array of every page, as VARIANT.
 
     The body is never one VARIANT, whose size is limited: the JSON reader makes one of each
-    element and skips the other members.
+    element and skips the other members. The array is exploded where it is parsed: of a
+    column of its own Spark would first test the size, and parse every body twice.
     """
     shape = "data array<variant>"
     if whole_files:
         reader = spark.read.schema(shape).option("multiLine", True).option("mode", "FAILFAST")
         file, block = map(F.col, PLACE)
-        return reader.json(path).select(file_order(file).alias("src_file"), block.alias("src_block"), "data")
+        placed = reader.json(path).select(file_order(file).alias("src_file"), block.alias("src_block"), "data")
+        return placed.select("src_file", "src_block", F.explode("data").alias("record"))
     body = F.from_json("value", shape, {"mode": "FAILFAST"})
-    return _page_lines(spark, path, False).select("src_file", "src_block", body["data"].alias("data"))
+    return _page_lines(spark, path, False).select("src_file", "src_block", F.explode(body["data"]).alias("record"))
 
 
 def _numbered(records: DataFrame, record: Column) -> DataFrame:
@@ -70,9 +73,7 @@ def _numbered(records: DataFrame, record: Column) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
     """Records of all pages below ``path``. A body that is not JSON fails the job."""
-    pages = _page_data(spark, path, whole_files)
-    records = pages.select("src_file", "src_block", F.explode("data").alias("record"))
-    return _numbered(records, F.col("record"))
+    return _numbered(_page_elements(spark, path, whole_files), F.col("record"))
 
 
 def unwrap_fields(row: Column) -> Column:

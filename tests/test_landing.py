@@ -12,7 +12,7 @@ from rosterlake.operators.constraints import refused
 from rosterlake.operators.envelope import to_envelope
 from rosterlake.operators.upsert import KEYS, last_per_key, merge, read_raw, serve_raw, upsert
 from rosterlake.operators.validate import InvalidBatch, admit, batch_summary, validate
-from rosterlake.schemas import APPLICATION_FIELDS, EMPLOYEE_FIELDS, RAW_REQUIRED
+from rosterlake.schemas import APPLICATION_FIELDS, EMPLOYEE_FIELDS, RAW_REQUIRED, WHITE_SPACE
 from rosterlake.sources.mapping import map_applications, map_workers
 from tests.conftest import RUN_TS
 from tests.people import application, record_frame, worker
@@ -155,6 +155,25 @@ def test_strict_batch_is_all_or_nothing(spark, folder):
     assert (valid.count(), count) == (2, 2)
 
 
+def test_strip_drops_what_a_full_trim_drops(spark):
+    ends = ["", " ", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "\x7f", "\x01", "!", "~", "é", "😀"]
+    texts = [a + b + c for a in ends for b in ("", "a b") for c in ends] + [None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    full = F.btrim(F.col("t"), F.lit(WHITE_SPACE))
+    rows = frame.select(strip(F.col("t")).alias("fast"), full.alias("full")).collect()
+    assert [r.fast for r in rows] == [r.full for r in rows]
+
+
+def test_errors_of_valid_and_broken_records(spark):
+    good, late, bad = worker(1), worker(2), worker(3)
+    late["Hire_Date"], bad["Work_Email"] = "2001-02-30", 7
+    bad["Hire_Date"] = None
+    found = checked(spark, good, late, bad)
+    assert [r.errors for r in found.orderBy("k").collect()] == ["", "hire_date:value", "email:type,hire_date:null"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN  ELSE array_join(" in plan  # broken records only
+
+
 def test_strip_knows_unicode_space(spark):
     frame = spark.createDataFrame([(" 　 a b\t\n",)], "t string")
     assert frame.select(strip(F.col("t")).alias("t")).first().t == "a b"

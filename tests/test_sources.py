@@ -32,6 +32,12 @@ def test_page_without_data_has_no_records(spark, folder):
     assert ids(read_pages(spark, path)) == ["w-1", "w-2"]
 
 
+def test_a_body_is_parsed_once(spark, folder):
+    path = write_pages(folder, "w", [[worker(1)], [worker(2)]])
+    plan = read_pages(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_pretty_printed_pages(spark, folder):
     path = write_pages(folder, "w", [[worker(1)], [worker(2)]], indent=2)
     assert ids(read_pages(spark, path, whole_files=True)) == ["w-1", "w-2"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.functions.values import type_name
+from rosterlake.functions.values import members, type_name
 from rosterlake.operators.constraints import enforced
 from rosterlake.schemas import DRIFT_LOG_REQUIRED, DRIFT_LOG_SCHEMA, PII_ALERT, Field
 
@@ -28,14 +28,14 @@ def infer_schema(
     """
     *leading, last = order
     spark = records.sparkSession
-    members = records.select(*order, "record").lateralJoin(
+    found = records.select(*order, "record").lateralJoin(
         spark.tvf.variant_explode(F.col("record").outer())
     )
     if names is not None:
-        members = members.where(F.col("key").isin(*names))
+        found = found.where(F.col("key").isin(*names))
     seen = (
         # A step of its own, so that a value is classified once.
-        members.select(*order, "key", F.schema_of_variant("value").alias("kind"))
+        found.select(*order, "key", F.schema_of_variant("value").alias("kind"))
         .select(*order, F.col("key").alias("field_name"), type_name(F.col("kind")).alias("type"))
         .groupBy(*leading, "field_name", "type")
         .agg(F.min(last).alias(last))
@@ -66,14 +66,27 @@ def canonical_types(
     return spark.createDataFrame(rows, "field_name string, type_name string")
 
 
-def raw_state(names: Sequence[str], order: Sequence[str]) -> list[Column]:
+def _kind(value: Column) -> Column:
+    return F.when(~F.is_variant_null(value), F.schema_of_variant(value))
+
+
+def with_kinds(records: DataFrame, names: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``records`` with what :func:`raw_state` compares: the place in the source and the kind
+    of each field known by name, for which a record is unpacked once instead of once a field."""
+    picked = records.withColumn("_members", members(F.col("record"), names))
+    kinds = [_kind(F.col("_members")[name]).alias(f"_kind_{i}") for i, name in enumerate(names)]
+    return picked.select(*records.columns, F.struct(*order).alias("_place"), *kinds)
+
+
+def raw_state(names: Sequence[str], order: Sequence[str], unpacked: bool = False) -> list[Column]:
     """The same for records as sent: their common shape, and of the fields known by name
-    the type of the first value."""
+    the type of the first value. ``unpacked`` records come from :func:`with_kinds`."""
     state = [F.schema_of_variant_agg("record").alias("shape")]
+    place = F.col("_place") if unpacked else F.struct(*order)
     for i, name in enumerate(names):
         value = F.try_variant_get("record", f"$['{name}']", "variant")
-        kind = F.when(~F.is_variant_null(value), F.schema_of_variant(value))
-        state.append(F.min_by(kind, F.when(kind.isNotNull(), F.struct(*order))).alias(f"first_{i}"))
+        kind = F.col(f"_kind_{i}") if unpacked else _kind(value)
+        state.append(F.min_by(kind, F.when(kind.isNotNull(), place)).alias(f"first_{i}"))
     return state
 
 

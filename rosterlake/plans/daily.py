@@ -128,14 +128,15 @@ def land(
     kept = [*RECORD_ORDER, "record"] if cfg.drift_raw else list(RECORD_ORDER)
     mapped = source.mapping(entity)(source.read(spark, path), kept)
     checked = validate(mapped, fields, kept)
+    watched_rows, state = checked, drift_ops.canonical_state(fields)
     if cfg.drift_raw:
-        state = drift_ops.raw_state(list(source.field_map(entity)), RECORD_ORDER)
-    else:
-        state = drift_ops.canonical_state(fields)
+        names = list(source.field_map(entity))
+        watched_rows = drift_ops.with_kinds(checked, names, RECORD_ORDER)
+        state = drift_ops.raw_state(names, RECORD_ORDER, unpacked=True)
     target = cfg.landing(entity, source.name, batch_id)
     # Folders of a batch belong to the batch, so a rerun after a crash replaces them.
-    rows, seen = counted(checked, state)
-    rows.write.mode("overwrite").parquet(target)
+    rows, seen = counted(watched_rows, state)
+    rows.select(*checked.columns).write.mode("overwrite").parquet(target)
     return spark.read.schema(checked.schema).parquet(target), seen.get
 
 

@@ -15,6 +15,7 @@ from rosterlake.operators.drift import (
     raw_state,
     raw_types,
     read_log,
+    with_kinds,
 )
 from rosterlake.schemas import EMPLOYEE_BASELINE, PII_FIELDS, WORKER_FIELD_MAP
 from tests.conftest import RUN_TS
@@ -177,6 +178,18 @@ def test_landing_state_equals_the_second_pass(spark, seed):
     assert not any("a" in names or "b" in names for names in asked)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_unpacked_records_give_the_same_state(spark, seed):
+    rnd = random.Random(seed)
+    samples = [None, 1, 2.5, True, "x", [1], {"z": 1}, 10**25]
+    records = [{f: rnd.choice(samples) for f in "abc" if rnd.random() < 0.5} for _ in range(30)] + ["5", "[1]"]
+    frame, known = record_frame(spark, records).repartition(3), ["a", "b", "missing"]
+    unpacked = with_kinds(frame, known, ["k"])
+    want = frame.agg(*raw_state(known, ["k"])).first()
+    assert unpacked.agg(*raw_state(known, ["k"], unpacked=True)).first() == want
+    assert unpacked._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get") == 1
+
+
 def test_known_fields_need_no_second_look(spark):
     records = [SAME | {"badge": v} for v in (None, 1.5, "x")] + [SAME | {"new": "y"}]
     found, asked = landed_types(spark, records, list(BASELINE))

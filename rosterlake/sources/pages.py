@@ -26,24 +26,31 @@ def page_records(pages: DataFrame, page: str = "page") -> DataFrame:
     return pages.select(*kept, F.posexplode(data).alias("pos", "record"))
 
 
-def file_order(path: Column) -> Column:
-    """Text that sorts files by path, the last number of a file name by its value."""
-    number = r"^(.*?)([0-9]+)([^0-9/]*)$"
+def with_file_order(rows: DataFrame, path: Column, name: str) -> DataFrame:
+    """``rows`` with text that sorts files by path, the last number of a file name by its value.
+
+    It is made for every line, so one pattern looks at the file name alone, and what is
+    used again is a step of its own.
+    """
+    file_name = F.substring_index(path, "/", -1)
+    kept = rows.columns
+    found = rows.select(*kept, path.alias("_path"), F.regexp_extract(file_name, r"[0-9]+[^0-9]*$", 0).alias("_tail"))
+    found = found.select(*kept, "_path", "_tail", F.regexp_extract("_tail", r"^[0-9]*", 0).alias("_number"))
     padded = F.concat(
-        F.regexp_extract(path, number, 1),
-        F.lpad(F.regexp_extract(path, number, 2), 20, "0"),
-        F.regexp_extract(path, number, 3),
+        F.left("_path", F.length("_path") - F.length("_tail")),
+        F.lpad("_number", 20, "0"),
+        F.substring("_tail", F.length("_number") + 1, F.length("_tail")),
     )
-    return F.when(path.rlike(number), padded).otherwise(path)
+    return found.select(*kept, F.when(F.col("_tail") != "", padded).otherwise(F.col("_path")).alias(name))
 
 
 PLACE = ("_metadata.file_path", "_metadata.file_block_start")
 
 
 def _page_lines(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
-    lines = spark.read.text(path, wholetext=whole_files)
     file, block = map(F.col, PLACE)
-    placed = lines.select(file_order(file).alias("src_file"), block.alias("src_block"), "value")
+    lines = spark.read.text(path, wholetext=whole_files).select(file.alias("file"), block.alias("src_block"), "value")
+    placed = with_file_order(lines, F.col("file"), "src_file").select("src_file", "src_block", "value")
     # Not by length, which counts the characters of every body.
     return placed.where(F.trim("value") != "")
 
@@ -59,7 +66,8 @@ def _page_elements(spark: SparkSession, path: str | list[str], whole_files: bool
     if whole_files:
         reader = spark.read.schema(shape).option("multiLine", True).option("mode", "FAILFAST")
         file, block = map(F.col, PLACE)
-        placed = reader.json(path).select(file_order(file).alias("src_file"), block.alias("src_block"), "data")
+        bodies = reader.json(path).select(file.alias("file"), block.alias("src_block"), "data")
+        placed = with_file_order(bodies, F.col("file"), "src_file")
         return placed.select("src_file", "src_block", F.explode("data").alias("record"))
     body = F.from_json("value", shape, {"mode": "FAILFAST"})
     return _page_lines(spark, path, False).select("src_file", "src_block", F.explode(body["data"]).alias("record"))

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions.values import member_text
 from rosterlake.sources.mapping import map_applications, map_workers, map_wrapped_employees
-from rosterlake.sources.pages import RECORD_ORDER, first_records, no_records, read_pages, read_wrapped
+from rosterlake.sources.pages import (
+    RECORD_ORDER,
+    first_records,
+    no_records,
+    read_pages,
+    read_wrapped,
+    with_file_order,
+)
 from rosterlake.sources.registry import AIRTABLE, GREENHOUSE, SOURCES, WORKDAY
 from tests.people import application, record_frame, worker, write_pages
 
@@ -38,6 +45,25 @@ def test_a_body_is_parsed_once(spark, folder):
     assert plan.count("from_json") == 1
 
 
+def test_files_sort_by_the_last_number_of_their_names(spark):
+    number = r"^(.*?)([0-9]+)([^0-9/]*)$"
+    paths = ["file:/a1/b/page-10.json", "s3://x/9/p", "/p/2024-01/x007y", "page", "12", "/a/0", "/a/1.2.3", ""]
+    paths += ["/a/%20b%C3%A9-5-c000.txt", "/d/" + "7" * 25 + ".txt", "/d5/", "/d/00012a/x-1-y", "part-00003-7f0a-c000.x"]
+    frame = spark.createDataFrame([(p,) for p in paths], "p string")
+    old = F.concat(
+        F.regexp_extract("p", number, 1), F.lpad(F.regexp_extract("p", number, 2), 20, "0"), F.regexp_extract("p", number, 3)
+    )
+    old = F.when(F.col("p").rlike(number), old).otherwise(F.col("p"))
+    found = with_file_order(frame.select("p", old.alias("old")), F.col("p"), "new")
+    assert [r.new for r in found.collect()] == [r.old for r in found.collect()]
+
+
+def test_a_line_is_placed_by_one_pattern(spark, folder):
+    path = write_pages(folder, "w", [[worker(1)], [worker(2)]])
+    plan = read_wrapped(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "(.*?)" not in plan
+
+
 def test_pretty_printed_pages(spark, folder):
     path = write_pages(folder, "w", [[worker(1)], [worker(2)]], indent=2)
     assert ids(read_pages(spark, path, whole_files=True)) == ["w-1", "w-2"]

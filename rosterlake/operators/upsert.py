@@ -18,7 +18,7 @@ from rosterlake.operators.constraints import enforced
 from rosterlake.schemas import RAW_REQUIRED, RAW_SCHEMA
 
 KEYS = ("source", "source_id")
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 64 << 20  # a task sorts some four times that, as rows, without spilling
 MOST_BUCKETS = 100_000  # Spark's own limit
 UNKNOWN_BYTES = 1 << 60  # plans without statistics count as larger
 

@@ -32,7 +32,7 @@ from rosterlake.schemas import (
     SENSITIVE_FIELDS,
     SERVED_NUMERICS,
 )
-from rosterlake.session import configure
+from rosterlake.session import configure, passing_shuffles
 from rosterlake.sources.pages import RECORD_ORDER, first_records
 from rosterlake.sources.registry import SOURCES, Source
 
@@ -314,7 +314,11 @@ def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None)
     """The whole run in its fixed order."""
     configure(spark)
     check_config(cfg)
-    batch_id = batch_id or str(uuid.uuid4())
+    with passing_shuffles(spark):
+        return _run(spark, cfg, batch_id or str(uuid.uuid4()))
+
+
+def _run(spark: SparkSession, cfg: RunConfig, batch_id: str) -> RunResult:
     result = RunResult()
 
     for layer in LAYERS:
@@ -340,9 +344,10 @@ def run_daily(spark: SparkSession, cfg: RunConfig, batch_id: str | None = None)
             alert = drift_ops.pii_alert(events).first()
         finally:
             events.unpersist()
-        result.checks = build_models(spark, cfg)
     finally:
+        # The models read the raw tables.
         discard(spark, cfg.batch(batch_id))
+    result.checks = build_models(spark, cfg)
     if alert is not None:
         result.alert = alert.message
         log.warning("%s", result.alert)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within the block the shuffle files of a job go when the job ends.
+
+    Spark keeps them until the driver collects its garbage, so a run of many jobs would
+    have all of them on disk. Only for frames that one job reads: a second job on the same
+    frame makes its shuffles again. Later jobs of the session are as before.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
     builder = (

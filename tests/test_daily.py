@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import re
 import uuid
 from dataclasses import replace
 
@@ -15,6 +16,7 @@ from rosterlake.operators.validate import InvalidBatch
 from rosterlake.plans import staging
 from rosterlake.plans.daily import RunConfig, run_daily
 from rosterlake.schemas import APPLICATION_SOURCES, EMPLOYEE_SOURCES
+from rosterlake.session import SHUFFLE_CLEANUP
 from tests.conftest import AS_OF, RUN_TS
 from tests.people import application, worker, write_pages
 
@@ -71,6 +73,29 @@ def test_full_run(spark, folder):
     assert read_log(spark, cfg.drift_log).count() == 10
 
 
+def shuffles_on_disk(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"/shuffle_(\d+)_", files.mkString("\n")))
+
+
+def test_a_run_leaves_the_shuffles_of_no_table(spark, folder, monkeypatch):
+    left = []
+    write = tables.write
+
+    def written(df, name, *args, **kwargs):
+        before = shuffles_on_disk(spark)
+        version = write(df, name, *args, **kwargs)
+        if "analytics" in name and "rpt_" not in name:  # one after the other
+            left.append((name, shuffles_on_disk(spark) - before))
+        return version
+
+    monkeypatch.setattr(tables, "write", written)
+    cfg = config(folder, [worker(i) for i in range(20)], [])
+    run_daily(spark, cfg)
+    assert [len(found) for _, found in left] == [0, 0, 0], left
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_staging_views_equal_the_models(spark, folder):
     left = worker(2, Termination_Date="2023-01-15", Hire_Date="2022-01-10", Base_Pay=None)
     cfg = config(folder, [worker(1), left, worker(3, Performance_Rating="")], [application(1), application(2)])

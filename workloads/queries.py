@@ -30,7 +30,7 @@ from rosterlake.schemas import (
     PII_FIELDS,
     WORKER_FIELD_MAP,
 )
-from rosterlake.session import configure
+from rosterlake.session import configure, passing_shuffles
 from rosterlake.sources import mapping, pages
 from rosterlake.sources.registry import SOURCES
 from workloads.frames import derived, records, table
@@ -695,7 +695,8 @@ def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]
     for source, (entity, recipe, column, order) in paths.items():
         path = f"{root}/dump/{source}"
         # Pages lie in the order of their records, however many tasks write them.
-        derived(spark, sf, recipe).orderBy(order).select(column).write.text(path)
+        with passing_shuffles(spark):
+            derived(spark, sf, recipe).orderBy(order).select(column).write.text(path)
         dumps[source] = {entity: path}
     return dumps
 

@@ -90,6 +90,15 @@ def bucket_count(target: DataFrame | None, known: int | None, batch: DataFrame)
     return known if known and wanted <= 2 * known else wanted
 
 
+def dealt_buckets(wanted: int, partitions: int) -> int:
+    """Buckets of a first version, from a batch that lies in ``partitions`` by the hash of its key.
+
+    A number that divides ``partitions``, so that a partition belongs to one bucket and its
+    rows need not be dealt out again; ``wanted`` if there is none up to twice as large.
+    """
+    return next((n for n in range(wanted, min(2 * wanted, partitions) + 1) if partitions % n == 0), wanted)
+
+
 def _buckets(spark: SparkSession, table: str) -> int:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     return next(int(r.data_type) for r in rows if r.col_name == "Num Buckets")
@@ -108,12 +117,15 @@ def write_upsert(
     target = spark.table(before) if before else None
     known = _buckets(spark, before) if before else None
     buckets = bucket_count(target, known, batch)
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if target is None:
         target = spark.createDataFrame([], RAW_SCHEMA)
+        buckets = dealt_buckets(buckets, dealt)
     new_id = surrogate_id(F.lit(source).alias("source"), F.col("source_id"))
     merged = merge(target, rows, ("source_id",), new_id)
-    if buckets != known:
-        # Dealt by the same hash that the table uses, so a bucket is one file.
+    if buckets != known and (before or dealt % buckets):
+        # Dealt by the same hash that the table uses, so a bucket is one file. The first
+        # batch lies by that hash already: a second shuffle would hold its payloads twice.
         merged = merged.repartition(buckets, "source_id")
     complete = enforced(merged.select(*RAW_SCHEMA.names), RAW_REQUIRED)
     return tables.write(complete, name, buckets=(buckets, "source_id"))

@@ -136,7 +136,8 @@ def land(
     target = cfg.landing(entity, source.name, batch_id)
     # Folders of a batch belong to the batch, so a rerun after a crash replaces them.
     rows, seen = counted(watched_rows, state)
-    rows.select(*checked.columns).write.mode("overwrite").parquet(target)
+    landing = rows.select(*checked.columns).write.mode("overwrite")
+    landing.option("compression", tables.COMPRESSION).parquet(target)
     return spark.read.schema(checked.schema).parquet(target), seen.get
 
 

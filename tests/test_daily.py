@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import json
 import os
 import re
@@ -17,8 +18,12 @@ from rosterlake.plans import staging
 from rosterlake.plans.daily import RunConfig, run_daily
 from rosterlake.schemas import APPLICATION_SOURCES, EMPLOYEE_SOURCES
 from rosterlake.session import SHUFFLE_CLEANUP
+from rosterlake.sources.pages import RECORD_ORDER
+from rosterlake.sources.registry import SOURCES
 from tests.conftest import AS_OF, RUN_TS
 from tests.people import application, worker, write_pages
+from workloads.frames import derived
+from workloads.queries import dumped
 
 
 def config(folder, workers, applications, wrapped=None, **kwargs):
@@ -96,6 +101,31 @@ def test_a_run_leaves_the_shuffles_of_no_table(spark, folder, monkeypatch):
     assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
 
 
+def test_dumps_are_compressed_and_in_order(spark, folder):
+    orders = spark.range(450).selectExpr(
+        "id o_orderkey", "id % 9 o_custkey", "'O' o_orderstatus", "1.5D o_totalprice",
+        "timestamp_ntz'1995-01-01' + make_dt_interval(cast(id as int)) o_orderdate", "'1-URGENT' o_orderpriority",
+    )
+    sf = f"{folder}/sf"
+    orders.repartition(3).write.parquet(f"{sf}/orders.parquet")
+    for other in ("customer", "region"):
+        spark.range(2).write.parquet(f"{sf}/{other}.parquet")
+    dumps = dumped(spark, sf, folder)
+    for source, (entity, recipe, column, order) in {
+        "greenhouse": ("job_applications", "application_pages", "page", "first_k"),
+        "airtable": ("employees", "wrapped_employees", "page_row", "k"),
+    }.items():
+        path = dumps[source][entity]
+        assert {f.split(".", 1)[1] for f in os.listdir(path) if f.startswith("part")} == {"txt.gz"}
+        want = [r[0] for r in derived(spark, sf, recipe).orderBy(order).select(column).collect()]
+        files = sorted(f"{path}/{f}" for f in os.listdir(path) if f.startswith("part"))
+        got = [line for f in files for line in gzip.open(f, "rt", encoding="utf-8").read().splitlines()]
+        assert got == want and len(got) > 4
+    read = SOURCES["greenhouse"].read(spark, dumps["greenhouse"]["job_applications"])
+    ids = [r.id for r in read.orderBy(*RECORD_ORDER).selectExpr("variant_get(record, '$.id', 'string') id").collect()]
+    assert ids == [f"A{i}" for i in range(450)]
+
+
 def test_staging_views_equal_the_models(spark, folder):
     left = worker(2, Termination_Date="2023-01-15", Hire_Date="2022-01-10", Base_Pay=None)
     cfg = config(folder, [worker(1), left, worker(3, Performance_Rating="")], [application(1), application(2)])

@@ -340,6 +340,38 @@ def test_buckets_follow_the_size(spark, raw, monkeypatch):
     assert upsert_module.bucket_count(None, 7, unknown) == 7
 
 
+@pytest.mark.parametrize(
+    ("wanted", "partitions", "buckets"), [(1, 24, 1), (5, 24, 6), (30, 200, 40), (7, 211, 7), (25, 24, 25)]
+)
+def test_buckets_of_a_first_version(wanted, partitions, buckets):
+    assert upsert_module.dealt_buckets(wanted, partitions) == buckets
+
+
+@pytest.mark.parametrize(("size", "buckets"), [(2000, 2), (700, 6)])
+def test_first_batch_is_dealt_out_by_one_shuffle(spark, raw, monkeypatch, size, buckets):
+    plans, write = [], tables.write
+
+    def written(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "write", written)
+    monkeypatch.setattr(upsert_module, "BUCKET_BYTES", size)
+    monkeypatch.setattr(upsert_module, "plan_bytes", lambda df: 4000)
+    workers = [worker(i % 50, Job_Title=f"T{i}") for i in range(80)]
+    upsert(spark, raw, batch(spark, workers, "b1"), "workday", ["k"])
+    table = tables.current(spark, f"{raw}_workday")
+    assert upsert_module._buckets(spark, table) == buckets
+    # Four partitions are whole buckets where their number allows, else they are dealt again.
+    assert ("RepartitionByExpression" in plans[0]) == (buckets == 6)
+    title = member_text(F.col("payload"), "job_title").alias("title")
+    rows = {r.source_id: r.title for r in spark.table(table).select("source_id", title).collect()}
+    assert rows == {f"w-{i}": f"T{i + 50 if i < 30 else i}" for i in range(50)}
+    for i in (0, 17, 49):  # found in the one bucket that is read for it
+        assert spark.table(table).where(F.col("source_id") == f"w-{i}").count() == 1
+    assert all(f.endswith(".zstd.parquet") for f in spark.table(table).inputFiles())
+
+
 @pytest.mark.parametrize("column", ["source_id", "payload", "batch_id"])
 def test_a_null_refuses_the_batch(spark, raw, column):
     upsert(spark, raw, batch(spark, [worker(1)], "b1"), "workday", ["k"])

@@ -695,8 +695,8 @@ def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]
     for source, (entity, recipe, column, order) in paths.items():
         path = f"{root}/dump/{source}"
         # Pages lie in the order of their records, however many tasks write them.
-        with passing_shuffles(spark):
-            derived(spark, sf, recipe).orderBy(order).select(column).write.text(path)
+        pages = derived(spark, sf, recipe).orderBy(order).select(column)
+        pages.write.option("zlib.compress.level", "BEST_SPEED").text(path, compression="gzip")
         dumps[source] = {entity: path}
     return dumps
 
@@ -704,7 +704,8 @@ def dumped(spark, sf, root, workers="worker_pages") -> dict[str, dict[str, str]]
 def run_config(spark, sf, purpose, workers="worker_pages", **options) -> RunConfig:
     root = work_folder(spark, purpose)
     prefix = f"{purpose}_{uuid.uuid4().hex}_"
-    dumps = dumped(spark, sf, root, workers)
+    with passing_shuffles(spark):
+        dumps = dumped(spark, sf, root, workers)
     return RunConfig(root, dumps, AS_OF, RUN_TS, strict=False, prefix=prefix, **options)
 
 

@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ log = logging.getLogger(__name__)
 
 STATS_COLUMNS = "source string, rows bigint, skipped boolean, error string"
 LAYERS = ("raw", "staging", "analytics")
+# A merge deals out the payloads of its batch. One at a time fills the cluster, several
+# would have all their batches on disk once more at the same time.
+MERGING = Lock()
 
 
 @dataclass(frozen=True)
@@ -170,7 +174,8 @@ def extract(
             batch = to_envelope(
                 valid, ENTITY_FIELDS[entity], source.name, batch_id, cfg.run_ts, RECORD_ORDER
             )
-            written.append(write_upsert(spark, cfg.raw(entity), batch, source.name, RECORD_ORDER))
+            with MERGING:
+                written.append(write_upsert(spark, cfg.raw(entity), batch, source.name, RECORD_ORDER))
     except Exception:
         for version in written:
             version.discard()

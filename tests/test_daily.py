@@ -14,7 +14,7 @@ from rosterlake.operators.drift import read_log
 from rosterlake.operators.quality import QualityError
 from rosterlake.operators.upsert import read_raw
 from rosterlake.operators.validate import InvalidBatch
-from rosterlake.plans import staging
+from rosterlake.plans import daily, staging
 from rosterlake.plans.daily import RunConfig, run_daily
 from rosterlake.schemas import APPLICATION_SOURCES, EMPLOYEE_SOURCES
 from rosterlake.session import SHUFFLE_CLEANUP
@@ -126,6 +126,24 @@ def test_dumps_are_compressed_and_in_order(spark, folder):
     assert ids == [f"A{i}" for i in range(450)]
 
 
+def test_sources_merge_one_at_a_time(spark, folder, monkeypatch):
+    running, most = [], []
+    upsert = daily.write_upsert
+
+    def watched(*args):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return upsert(*args)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(daily, "write_upsert", watched)
+    air = {"employees": wrapped_rows(folder, "air", [AIR]), "job_applications": wrapped_rows(folder, "apps", [APPLIED])}
+    run_daily(spark, config(folder, [worker(1)], [application(1)], air))
+    assert most == [1, 1, 1, 1]
+
+
 def test_staging_views_equal_the_models(spark, folder):
     left = worker(2, Termination_Date="2023-01-15", Hire_Date="2022-01-10", Base_Pay=None)
     cfg = config(folder, [worker(1), left, worker(3, Performance_Rating="")], [application(1), application(2)])
